@@ -16,7 +16,7 @@ TARGET_BYTES = 32 * 1024 * 1024
 #: Files of the manifest that one task packs; packing is done within such shards, so no task sees the whole list.
 SHARD_FILES = 50_000
 #: A manifest of more files than this isn't sent to all tasks but joined by a shuffle.
-SMALL_MANIFEST = 200_000
+SMALL_MANIFEST = 50_000
 
 
 def content_bytes(df: DataFrame) -> Column:
