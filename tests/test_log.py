@@ -67,11 +67,12 @@ def test_classes_of_nothing(spark):
 # --- closes ---
 
 
-def test_retractions_against_every_cut(spark):
+@pytest.mark.parametrize("chunk_rows", [500, 3])
+def test_retractions_against_every_cut(spark, chunk_rows):
     r = random.Random(6)
     data = [(r.choice(["a", "b", "c", None]), r.choice([*range(5), None]), r.choice([*range(12), None]), r.randrange(4)) for _ in range(60)]
     df = spark.createDataFrame(data, "k string, ev bigint, ar bigint, v int")
-    changes = [tuple(x) for x in closes.retractions(df, "k", "ev", "ar", ["v"]).select("k", "arrival_us", "sign", "event_us", "v").collect()]
+    changes = [tuple(x) for x in closes.retractions(df, "k", "ev", "ar", ["v"], chunk_rows).select("k", "arrival_us", "sign", "event_us", "v").collect()]
     for cut in range(12):
         best = {}
         for k, ev, ar, v in data:
@@ -112,9 +113,10 @@ def test_checks_catch_planted_faults(spark):
     assert {n for _, n in rows(closes.checks(df.limit(0), ["k"], "close_version"))} == {0}
 
 
-def test_running_total_and_lines(spark):
-    df = spark.createDataFrame([("k", 1, 3, False), ("k", 2, 4, True), ("k", 3, 5, None), ("k", 4, 1, True)], "k string, t int, q int, c boolean")
-    got = closes.running_total(df, ["k"], [F.col("t")], F.col("q"), F.col("c"), "s")
+@pytest.mark.parametrize("chunk_rows", [500, 1])
+def test_running_total_and_lines(spark, chunk_rows):
+    df = spark.createDataFrame([("k", 1, 3, False), ("k", 2, 4, True), ("k", 3, 5, None), ("k", 4, 1, True)], "k string, t bigint, q int, c boolean")
+    got = closes.running_total(df, ["k"], "t", "k", F.col("q"), F.col("c"), "s", chunk_rows)
     assert [r["s"] for r in got.orderBy("t").collect()] == [0, 4, 4, 5]
     kept = spark.createDataFrame(
         [("s2", "order_placed", 5, "o", "s", "c", 1, None, 7), ("s1", "order_placed", 5, "o", "s", "c", 2, None, 8), ("a1", "order_line_amended", 6, "o", "s", None, None, 3, None), ("a2", "order_line_amended", 6, "o", "s", None, None, 9, None)],

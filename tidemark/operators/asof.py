@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.timeline import CHUNK_ROWS, Chunks, last_known, previous, running_max
+from tidemark.operators.timeline import CHUNK_ROWS, Chunks, last_known, previous, running_extreme
 
 
 def first_arrivals(updates: DataFrame, key: str, valid_us: Column, arrival_us: Column, version: str, attributes: list[str]) -> DataFrame:
@@ -31,7 +31,7 @@ def attribute_histories(known: DataFrame, key: str, version: str, attributes: li
     # Updates known at one instant act together: the greatest of them.
     rows = rows.groupBy(key, "known_us").agg(F.max("_update").alias("_update"))
     chunks = Chunks.of(known, key, "known_us", chunk_rows)
-    standing = running_max(chunks.add(rows), chunks, "_update", [F.col("known_us")], "_standing")
+    standing = running_extreme(chunks.add(rows), chunks, "_update", [F.col("known_us")], "_standing")
     out = []
     for c in attributes:
         value = F.struct(F.col(f"_standing.a_{c}.{c}").alias("value"))

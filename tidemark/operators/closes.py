@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import accounting_month
 from tidemark.operators.kept import copy_rank
+from tidemark.operators.timeline import CHUNK_ROWS, Chunks, running_extreme, running_sum
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:
@@ -21,10 +22,15 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[Column], columns: l
     return df.select(*keys, rank.alias("_r")).groupBy(*keys).agg(F.max("_r").alias("_r")).select(*keys, *[F.col(f"_r.v_{c}.{c}").alias(c) for c in columns])
 
 
-def running_total(df: DataFrame, keys: list[str], order: list[Column], amount: Column, counts: Column, name: str) -> DataFrame:
-    """df with the sum of the amounts that count, from the key's first row to this one; rows that don't count add 0."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(name, F.sum(F.when(F.coalesce(counts, F.lit(False)), amount).otherwise(0)).over(w).cast("bigint"))
+def running_total(df: DataFrame, keys: list[str], at_us: str, tie: str, amount: Column, counts: Column, name: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """df with the sum of the amounts that count, from the key's first row to this one, by (at_us, tie).
+
+    Rows that don't count add 0. at_us is BIGINT and not null. A key with very many rows is cut along its timeline;
+    nulls in a key are a value.
+    """
+    one = df.withColumns({"_key": F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), "_amount": F.when(F.coalesce(counts, F.lit(False)), amount.cast("bigint")).otherwise(F.lit(0))})
+    chunks = Chunks.of(one, "_key", at_us, chunk_rows)
+    return running_sum(chunks.add(one), chunks, "_amount", [F.col(at_us), F.col(tie)], name).drop("_key", "_amount", "_chunk")
 
 
 def effective_lines(kept: DataFrame) -> DataFrame:
@@ -45,7 +51,7 @@ def monthly(lines: DataFrame) -> DataFrame:
     return lines.groupBy(month.alias("accounting_month")).agg(F.coalesce(F.sum(F.col("qty") * F.col("unit_price_cents")), F.lit(0)).cast("bigint").alias("gross_cents"), F.count("*").alias("line_count"))
 
 
-def retractions(copies: DataFrame, key: str, event_us: str, arrival_us: str, payload: list[str]) -> DataFrame:
+def retractions(copies: DataFrame, key: str, event_us: str, arrival_us: str, payload: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(key, arrival_us, sign, event_us, payload...): how the kept copy of each key changes as copies arrive.
 
     Going by arrival, a copy that ranks before all earlier ones becomes the kept one: it is added (+1) and the one that
@@ -55,8 +61,8 @@ def retractions(copies: DataFrame, key: str, event_us: str, arrival_us: str, pay
     rank = copy_rank(F.col(event_us), F.col(arrival_us), payload)
     rows = copies.where(F.col(key).isNotNull() & F.col(arrival_us).isNotNull()).select(key, F.col(arrival_us).alias("_at"), rank.alias("_r"))
     best = rows.groupBy(key, "_at").agg(F.min("_r").alias("_r"))  # repeated copies of one instant combine before the shuffle
-    w = Window.partitionBy(key).orderBy("_at")
-    so_far = best.withColumn("_old", F.min("_r").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    chunks = Chunks.of(rows, key, "_at", chunk_rows)
+    so_far = running_extreme(chunks.add(best), chunks, "_r", [F.col("_at")], "_old", least=True, before=True)
     changed = so_far.where(F.col("_old").isNull() | (F.col("_r") < F.col("_old")))
     both = F.array(F.struct(F.lit(1).alias("sign"), F.col("_r").alias("r")), F.struct(F.lit(-1).alias("sign"), F.col("_old").alias("r")))
     out = changed.select(key, F.col("_at").alias("arrival_us"), F.explode(both).alias("_x")).where(F.col("_x.r").isNotNull())

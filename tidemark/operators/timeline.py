@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 #: Rows of one key that one task may sort.
 CHUNK_ROWS = 500_000
-#: Most heavy keys and cuts that are sent to the tasks. As each heavy key has more than total / MOST_KEYS rows, there
-#: are never more of them than this.
-MOST_KEYS = 10_000
+#: Chunks of all heavy keys together: with more rows than CHUNK_ROWS * MOST_CHUNKS the chunks get larger instead. So
+#: the tables of cuts and of what is carried, which go to all tasks, have at most 2 * MOST_CHUNKS rows.
+MOST_CHUNKS = 20_000
+#: Most chunks of one key.
+MOST_PARTS = 1_024
 
 
 class Chunks:
@@ -27,25 +29,27 @@ class Chunks:
     def of(cls, df: DataFrame, key: str, order: str, chunk_rows: int = CHUNK_ROWS) -> Chunks:
         """Counts rows by key (combined before the shuffle); cuts are computed for heavy keys only.
 
-        The total is only asked for when there are heavy keys; the table of cuts has at most MOST_KEYS rows.
+        A heavy key has more than chunk_rows and more than total / MOST_CHUNKS rows, so there are fewer than
+        MOST_CHUNKS of them, and their chunks, one for each such number of rows and one more a key, are bounded alike.
         """
         counts = df.select(F.col(key).alias("_k")).groupBy("_k").agg(F.count("*").alias("_n")).where(F.col("_k").isNotNull())
-        heavy = counts.where(F.col("_n") > chunk_rows).orderBy(F.col("_n").desc(), "_k").limit(MOST_KEYS).collect()
+        most = counts.agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).first()
+        if not most["most"] or most["most"] <= chunk_rows:
+            return cls(key, order, None)
+        each = max(chunk_rows, most["total"] // MOST_CHUNKS)
+        heavy = {r["_k"]: min(MOST_PARTS, r["_n"] // each + 1) for r in counts.where(F.col("_n") > each).collect()}
         if not heavy:
             return cls(key, order, None)
-        spark = df.sparkSession
-        names = spark.createDataFrame([(r["_k"], int(r["_n"] // chunk_rows)) for r in heavy], f"_k {df.schema[key].dataType.simpleString()}, _parts bigint")
-        # A cut at each chunk_rows rows, by quantiles; 256 cuts a key at most keep the table below 20 MB.
-        parts = min(256, max(int(r["_n"] // chunk_rows) for r in heavy) + 1)
-        at = [i / parts for i in range(1, parts)]
-        cuts = (
-            df.join(F.broadcast(names), df[key] == names["_k"])
-            .groupBy("_k")
-            .agg(F.array_sort(F.array_distinct(F.percentile_approx(order, F.array(*[F.lit(x) for x in at]), 10_000))).alias("_cuts"))
-            .collect()
-        )
-        table = spark.createDataFrame([(r["_k"], list(r["_cuts"])) for r in cuts], f"_k {df.schema[key].dataType.simpleString()}, _cuts array<bigint>")
-        return cls(key, order, table)
+        spark, kind = df.sparkSession, df.schema[key].dataType.simpleString()
+        names = F.broadcast(spark.createDataFrame([(k,) for k in heavy], f"_k {kind}"))
+        parts = max(heavy.values())
+        at = F.percentile_approx(order, F.array(*[F.lit(i / parts) for i in range(1, parts)]), 10_000)
+        found = df.join(names, df[key] == F.col("_k")).groupBy("_k").agg(at.alias("_cuts")).collect()
+        rows = []
+        for r in found:  # a smaller heavy key takes every so-manieth quantile
+            own = heavy[r["_k"]]
+            rows.append((r["_k"], sorted({r["_cuts"][i * parts // own - 1] for i in range(1, own)})))
+        return cls(key, order, spark.createDataFrame(rows, f"_k {kind}, _cuts array<bigint>"))
 
     def add(self, df: DataFrame) -> DataFrame:
         """df with _chunk: 0 for rows of ordinary keys, else the number of cuts at or before the row."""
@@ -116,8 +120,16 @@ def last_known(df: DataFrame, chunks: Chunks, columns: list[str], order: list[Co
     return df.withColumns({c: F.coalesce(F.last(c, True).over(w), F.col(f"_c_{c}")) for c in columns}).drop(*[f"_c_{c}" for c in columns])
 
 
-def running_max(df: DataFrame, chunks: Chunks, value: str, order: list[Column], name: str) -> DataFrame:
-    """df with the greatest value so far (up to and including the row), by key and order."""
+def running_extreme(df: DataFrame, chunks: Chunks, value: str, order: list[Column], name: str, *, least: bool = False, before: bool = False) -> DataFrame:
+    """df with the greatest (least) value so far, by key and order: up to and including the row, or before it."""
+    of, pick = (F.min, F.least) if least else (F.max, F.greatest)
+    w = chunks.window().orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
+    df = chunks.carry(df, {"_carry": of(value)}, {"_carry": of("_carry").over(chunks.before())})
+    return df.withColumn(name, pick(of(value).over(w), F.col("_carry"))).drop("_carry")
+
+
+def running_sum(df: DataFrame, chunks: Chunks, value: str, order: list[Column], name: str) -> DataFrame:
+    """df with the sum of a BIGINT column so far, by key and order, up to and including the row."""
     w = chunks.window().orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = chunks.carry(df, {"_carry": F.max(value)}, {"_carry": F.max("_carry").over(chunks.before())})
-    return df.withColumn(name, F.greatest(F.max(value).over(w), F.col("_carry"))).drop("_carry")
+    df = chunks.carry(df, {"_carry": F.sum(value)}, {"_carry": F.sum("_carry").over(chunks.before())})
+    return df.withColumn(name, F.sum(value).over(w) + F.coalesce("_carry", F.lit(0))).drop("_carry")

@@ -146,7 +146,7 @@ def running_returns(spark, sf_dir):
     kept = silver(spark, sf_dir)
     lines = closes.effective_lines(kept).select("order_id", "sku", "sale_us")
     returns = kept.where(F.col("event_type") == "return_registered").select("event_id", "order_id", "sku", "qty", "event_us").join(lines, ["order_id", "sku"], "left")
-    total = closes.running_total(returns, ["order_id", "sku"], [F.col("event_us"), F.col("event_id")], F.col("qty"), F.col("event_us") >= F.col("sale_us"), "returned_so_far")
+    total = closes.running_total(returns, ["order_id", "sku"], "event_us", "event_id", F.col("qty"), F.col("event_us") >= F.col("sale_us"), "returned_so_far")
     return total.select("event_id", F.col("sale_us").isNotNull().alias("has_sale"), "returned_so_far")
 
 
