@@ -12,7 +12,10 @@ from tidemark.session import cut
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The table; where it lies in fewer splits than there are cores, as only small ones do, its rows are spread over all cores."""
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,8 +48,11 @@ BREAKS = regex.compile(r"(?<=[.!?])\s+|[\r\n]+")
 OPENING = regex.compile(r"^(?:(?:agent|customer|C|Q|A)\s?[>:]|\[\d\d:\d\d\]|[>*\-#]+|\d+\.)\s*")
 
 
+DIGIT, BLANKS, SENTENCE, LINE = (regex.compile(p) for p in (r"\d", r"\s+", r"(?<=[.!?])\s+", r"[\r\n]+"))
+
+
 def prepared(text: str) -> str:
-    return regex.sub(r"\s+", " ", regex.sub(r"\d", "0", text.lower()))
+    return BLANKS.sub(" ", DIGIT.sub("0", text.lower()))
 
 
 def grams(text: str) -> np.ndarray:
@@ -119,7 +122,7 @@ class Models:
 
     def placeholders(self, text: str) -> bool:
         """Whether a placeholder stands unfilled in the text. Windows are what stands around it in its sentence."""
-        for line in regex.split(r"[\r\n]+", text):
+        for line in LINE.split(text):
             spans = [m.span() for m in PLACEHOLDER.finditer(line)]
             if not spans:
                 continue
@@ -127,8 +130,8 @@ class Models:
             at = -1
             for _ in spans:
                 at = marked.index("\ue000", at + 1)
-                left = regex.split(r"(?<=[.!?])\s+", marked[max(0, at - 60) : at])[-1]
-                right = regex.split(r"(?<=[.!?])\s", marked[at + 1 : at + 60])[0]
+                left = SENTENCE.split(marked[max(0, at - 60) : at])[-1]
+                right = SENTENCE.split(marked[at + 1 : at + 60])[0]
                 around = OPENING.sub("", left + "@" + right).replace("\ue000", "@")
                 if self.unfilled[grams(prepared(around))].sum() > EVIDENCE:
                     return True
