@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import row_hash
 from tidemark.operators.timeline import CHUNK_ROWS, Chunks, following, last_known, previous
+from tidemark.session import cut
 
 
 def standing_updates(updates: DataFrame, key: str, moment_us: Column, version: Column, attributes: list[str]) -> DataFrame:
@@ -46,7 +47,7 @@ def split_by_change_rate(standing: DataFrame, key: str, attributes: list[str], c
     return list(groups.values())
 
 
-def history_view(satellites: list[tuple[DataFrame, list[str]]], key: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def history_view(satellites: list[tuple[DataFrame, list[str]]], key: str, chunk_rows: int = CHUNK_ROWS, chunks: Chunks | None = None) -> DataFrame:
     """(key, at_us, end_us, attributes...) over all satellites; end_us is null for the open version.
 
     A version begins where any satellite has a row; each satellite's attributes are then its last known ones.
@@ -58,7 +59,7 @@ def history_view(satellites: list[tuple[DataFrame, list[str]]], key: str, chunk_
         part = rows.select(key, "at_us", *[(value if j == i else F.lit(None).cast(_struct_type(satellites[j]))).alias(n) for j, n in enumerate(names)])
         parts = part if parts is None else parts.unionByName(part)
     merged = parts.groupBy(key, "at_us").agg(*[F.max(n).alias(n) for n in names])
-    chunks = Chunks.of(merged, key, "at_us", chunk_rows)
+    chunks = Chunks.of(merged, key, "at_us", chunk_rows) if chunks is None else chunks
     merged = chunks.add(merged)
     if len(names) > 1:
         merged = last_known(merged, chunks, names, [F.col("at_us")])
@@ -75,10 +76,11 @@ def build_history(updates: DataFrame, key: str, moment_us: Column, version: Colu
 
     An empty table gives an empty history; a null attribute is a value; updates that change nothing leave no version.
     """
-    standing = standing_updates(updates, key, moment_us, version, attributes)
-    chunks = Chunks.of(updates.select(F.col(key), moment_us.alias("at_us")), key, "at_us", chunk_rows)
+    # Several steps read the standing updates; they are written once, so that what made them isn't done again.
+    standing = cut(standing_updates(updates, key, moment_us, version, attributes))
+    chunks = Chunks.of(standing, key, "at_us", chunk_rows)
     groups = split_by_change_rate(standing, key, attributes, chunks)
-    return history_view([(satellite(standing, key, g, chunks), g) for g in groups], key, chunk_rows)
+    return history_view([(satellite(standing, key, g, chunks), g) for g in groups], key, chunk_rows, chunks)
 
 
 def append_batch(stored: DataFrame | None, log: DataFrame, batch_keys: DataFrame, key: str, attributes: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
