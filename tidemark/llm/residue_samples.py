@@ -16,11 +16,11 @@ DUMMY_LATIN = "lorem ipsum dolor sit amet consectetur consec adipiscing adipis e
 STRUCK = "asdf asdfasdf qwer qwerty blah bla foo bar baz test testtest xyz".split()
 CROSSES = "xx xxx xxxx xxxxx XXXX XXX".split()
 FILLER = [
-    "Your {description|text|copy|title} here.", "{Text|Content|Copy} goes here.", "{Insert|Add} product {copy|text|description}.", "Sample text, replace before {publishing|printing}.", "Placeholder {paragraph|text} for layout.", "{content|text|copy} to follow", "TBD TBD TBD", "TBD", "To be defined. To be written.",
-    "Párrafo de relleno.", "Texto de relleno.", "Descripción pendiente.", "Aquí va el texto.", "Texto pendiente.", "Su texto aquí.",
-    "Parágrafo de enchimento.", "O texto vai aqui.", "Descrição pendente.", "Descrição em breve.", "O seu texto aqui.",
-    "Paragraphe de remplissage.", "Description à venir.", "Votre texte ici.", "Texte à venir.", "Texte de remplissage.",
-    "Paragrafo riempitivo.", "Testo segnaposto.", "Descrizione in arrivo.", "Il testo va qui.", "Il tuo testo qui.", "Testo di prova da sostituire.", "Inserire qui il testo.", "Descrizione da scrivere.", "Short {blurb|text} (to be written)", "To be written.",
+    "Your {description|text|copy|title} here.", "{Text|Content|Copy} goes here.", "{Insert|Add} product {copy|text|description}.", "Sample text, replace before {publishing|printing}.", "Placeholder {paragraph|text} for layout.", "{content|text|copy} to follow", "TBD TBD TBD", "TBD", "To be defined. To be written.", "This is {dummy|sample|example|filler} {content|text|copy}.", "Dummy text, please replace.", "Lorem ipsum.",
+    "Párrafo de relleno.", "Texto de relleno.", "Descripción pendiente.", "Aquí va el texto.", "Texto pendiente.", "Su texto aquí.", "Texto de ejemplo, sustituir antes de publicar.", "Contenido de ejemplo.", "Texto por escribir.",
+    "Parágrafo de enchimento.", "O texto vai aqui.", "Descrição pendente.", "Descrição em breve.", "O seu texto aqui.", "Texto de exemplo, substituir antes de publicar.", "Conteúdo de exemplo.", "Descrição por escrever.", "Texto por escrever.",
+    "Paragraphe de remplissage.", "Description à venir.", "Votre texte ici.", "Texte à venir.", "Texte de remplissage.", "Texte factice à remplacer avant publication.", "Texte d'exemple.", "Description à écrire.",
+    "Paragrafo riempitivo.", "Testo segnaposto.", "Descrizione in arrivo.", "Il testo va qui.", "Il tuo testo qui.", "Testo di prova da sostituire.", "Inserire qui il testo.", "Descrizione da scrivere.", "Testo di esempio da sostituire prima della pubblicazione.", "Short {blurb|text} (to be written)", "To be written.",
 ]
 _SCRIPT = "{JavaScript|Javascript|JS|Scripting|script support|client-side scripting}"
 _GUION = "{JavaScript|JS|la ejecución de scripts}"
@@ -38,7 +38,7 @@ NOTICE = [
     "Ative o {JavaScript|JS} no navegador para ver esta página.", "O {JavaScript|JS} está desligado.", "Esta página precisa de {JavaScript|JS}.", "Sem {JavaScript|JS} não é possível mostrar a encomenda.",
     "Activez {JavaScript|JS} pour afficher cette page.", "{JavaScript|JS} est désactivé dans votre navigateur.", "Cette page a besoin de {JavaScript|JS}.", "Sans {JavaScript|JS}, la commande ne peut pas s'afficher.",
     "Attiva {JavaScript|JS} per vedere questa pagina.", "{JavaScript|JS} è disattivato nel browser.", "Questa pagina richiede {JavaScript|JS}.", "Senza {JavaScript|JS} l'ordine non può essere mostrato.",
-    f"{_CODE} {_STATUS}", f"{_CODE} {_STATUS}.", f"{_STATUS}", f"HTTP {_CODE}", f"HTTP Status {_CODE} - {_STATUS}", f"HTTP {_CODE} - {_STATUS}", f"Error {_CODE}: {_SAID}", f"Error {_CODE} {_SAID}", f"<h1>{_CODE} {_STATUS}</h1><hr>app/1.0", f'{{"status": {_CODE}, "error": "{_STATUS}", "trace": "0"}}'.replace('{"', '\x02"').replace('"0"}', '"0"\x03'), f'\x02"message":"{_SAID}","code":{_CODE}\x03',
+    f"{_CODE} {_STATUS}", f"{_CODE} {_STATUS}.", *[f"{_STATUS}"] * 4, f"HTTP {_CODE}", f"HTTP Status {_CODE} - {_STATUS}", f"HTTP {_CODE} - {_STATUS}", f"Error {_CODE}: {_SAID}", f"Error {_CODE} {_SAID}", f"<h1>{_CODE} {_STATUS}</h1><hr>app/1.0", f'{{"status": {_CODE}, "error": "{_STATUS}", "trace": "0"}}'.replace('{"', '\x02"').replace('"0"}', '"0"\x03'), f'\x02"message":"{_SAID}","code":{_CODE}\x03',
     f"Code {_CODE}.", "Request id: 0", "Traceback (most recent call last):", f'File "app/{_STEP}.py", line 1, in {_STEP}', f"at close.Main.{_STEP}(Main.java:1)", "at close.Main.run(Main.java:1)", f'Exception in thread "worker-1" {_CAUSE}', f"{_CAUSE}", f"Fatal error: {_CAUSE} in /srv/app/{_STEP}.php on line 1",
     f"{_WHAT} {{took too long to respond|gave no answer|failed to open|crashed while rendering|has moved or was deleted|no longer exists at this address|is temporarily unavailable|cannot be shown to guests|is not available right now|could not be loaded}}.",
     *[f"{_WHAT} {{has moved or was deleted|was moved or deleted|has been moved}}."] * 3, "Contact support if this keeps happening.", "Check the address and reload.", "You will be sent back to the start page.", "We have been notified.", "Please try again later.", "(ref 0)", "Try again in a few minutes.", "Something broke on our side.", "Oops! That link is broken.", "An unexpected error occurred while loading the order.", "We could not find the page you asked for.", "You do not have permission to view this report.", "Your session has expired, please sign in again.", "Connection to the database was refused.", "The request took too long and was stopped.", "The close service is temporarily unavailable.",
@@ -70,7 +70,7 @@ ABOUT = [
 #: Texts about scripts, errors and filler, which share their words but are natural.
 MENTION = [
     "The return form works without JavaScript since {0|May}, so older tablets can be used again.", "Turn JavaScript off when you test the plain version of the returns page, then compare the totals.", "After the update the old tablets asked for JavaScript once, 0 shops reported it and all of them sell again.", "Scripts must be signed before the job runs them; the last one was 0 lines long.", "noscript tags were removed from the page and nobody missed them.",
-    f"One night in {{July|0}} the report server answered {{error {_CODE}|{_STATUS}|{_CODE} {_STATUS}}} for 0 minutes, then the nightly close ran as usual.", f"Shop staff saw {{error {_CODE}|{_STATUS}|{_CODE} {_STATUS}}} on the old link, the new address is in the handbook.", f"The customer wrote 'your page says {{{_CODE}|{_STATUS}|{_CODE} {_STATUS}}}' and attached the slip for 0.", f"Please count how often the tills logged {_CODE} {_STATUS} last week, the vendor claims never.", "A KeyError in the loader cost us 0 records, all of them were read again the next day.", "The auditor could not open the report on the first try, the second copy worked.", "Timeout for the courier: 0 days.", "Unauthorized discount of 0 %, taken back.", "Error in the sheet, corrected.", "Not found in stock.", "We found the error on the page and corrected it.",
+    f"One night in {{July|0}} the report server answered {{error {_CODE}|{_STATUS}|{_CODE} {_STATUS}}} for 0 minutes, then the nightly close ran as usual.", f"Shop staff saw {{error {_CODE}|{_STATUS}|{_CODE} {_STATUS}}} on the old link, the new address is in the handbook.", f"The customer wrote 'your page says {{{_CODE}|{_STATUS}|{_CODE} {_STATUS}}}' and attached the slip for 0.", f"Please count how often the tills logged {_CODE} {_STATUS} last week, the vendor claims never.", "A KeyError in the loader cost us 0 records, all of them were read again the next day.", "The auditor could not open the report on the first try, the second copy worked.", "Timeout for the courier: 0 days.", "Error in the sheet, corrected.", "Not found in stock.", "We found the error on the page and corrected it.",
     "El formulario funciona sin JavaScript desde {mayo|0}.", f"La caja registró {{error {_CODE}|{_STATUS}|{_CODE} {_STATUS}}} dos veces y luego vendió con normalidad.", f"El servidor respondió {{error {_CODE}|{_STATUS}|{_CODE} {_STATUS}}} durante 0 minutos y después cerró {{mayo|0}} sin problema.", "Error en la hoja, corregido.", "No encontrado en tienda.", "El texto del proveedor era relleno y lo rechazamos.",
     "A página funciona sem JavaScript desde {maio|0}.", f"O servidor deu {{error {_CODE}|{_STATUS}|{_CODE} {_STATUS}}} durante 0 minutos e depois fechou {{maio|0}}.", "Erro na folha, corrigido.", "O texto do fornecedor era de enchimento e foi recusado.",
     "La page marche sans JavaScript depuis {mai|0}.", f"Le serveur a répondu {{error {_CODE}|{_STATUS}|{_CODE} {_STATUS}}} pendant 0 minutes, puis tout est rentré dans l'ordre.", "Erreur dans la feuille, corrigée.", "Le texte du fournisseur était du remplissage, refusé.",
