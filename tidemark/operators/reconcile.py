@@ -25,6 +25,8 @@ from tidemark.session import cut
 PRIME = 2**61 - 1
 #: Points a bucket is evaluated at, those of them kept back to verify, rows a bucket should hold.
 POINTS, VERIFY, BUCKET_ROWS = 20, 4, 64
+#: Buckets, most of which need no decoding, that one task decodes.
+BUCKETS_PER_TASK = 10_000
 
 
 def points(seed: int, n: int = POINTS) -> list[int]:
@@ -232,6 +234,8 @@ def differing_elements(a: DataFrame, b: DataFrame, rows: int, *, bucket_rows: in
         joined = sides[0].join(sides[1], "bucket", "full").na.fill(0, ["n_a", "n_b"])
         # Buckets whose values agree need no decoding and don't go to Python.
         joined = joined.where((F.col("n_a") != F.col("n_b")) | ~F.col("v_a").eqNullSafe(F.col("v_b")))
+        # Decoding costs milliseconds a bucket but few bytes, so its tasks are sized by buckets, not by bytes.
+        joined = joined.repartition(max(spark.sparkContext.defaultParallelism, buckets // BUCKETS_PER_TASK))
         got = cut(joined.mapInArrow(decoded, "bucket bigint, element bigint, in_a boolean"))
         found = got.where(F.col("element").isNotNull()).select("element", "in_a")
         done = found if done is None else done.unionByName(found)
