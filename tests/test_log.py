@@ -277,3 +277,53 @@ def test_entry_without_texts():
     """The engine works where the subpackage for texts isn't there."""
     code = "import sys; sys.modules['tidemark.llm'] = None; import __spark_entry__ as e; q = e.queries(); assert 'p1_found' in q and set(e.oracle_sql()) <= set(q), q"
     assert subprocess.run([sys.executable, "-c", code], cwd=ROOT, timeout=60).returncode == 0
+
+
+# --- generated log, serving, mutants of the rules ---
+
+
+@pytest.fixture(scope="module")
+def generated(spark, tmp_path_factory):
+    from tidemark.sources import fixtures
+
+    root = str(tmp_path_factory.mktemp("log"))
+    return root, fixtures.generate(root, 400, 11)
+
+
+def test_engine_finds_what_was_generated(spark, generated):
+    from tidemark import cli
+
+    root, ledger = generated
+    log = bronze.INGESTORS["jsonl"].read(spark, bronze.IngestSpec(root))
+    tagged = quarantine.classify(log)
+    assert dict(rows(tagged.groupBy("quarantine_reason").count())) == ledger.reasons
+    a = quality.row_accounting(tagged).first().asDict()
+    assert (a["delivered"], a["repeated"]) == (ledger.lines, ledger.repeats) and quality.conserved(a)
+    assert {r["accounting_month"]: r["gross_cents"] for r in cli.monthly(spark, root).collect()} == ledger.gross_cents
+    assert "<td>2026-01</td>" in __import__("tidemark.operators.serving", fromlist=["x"]).report(cli.monthly(spark, root), "t", ["accounting_month", "gross_cents"])
+
+
+@pytest.mark.parametrize("dropped", range(1, 7))
+def test_every_rule_is_needed(matrix, dropped):
+    """A classification that lacks one rule is told apart by the matrix of records."""
+    of = [x for i, x in enumerate(quarantine.rules()) if i != dropped]
+    got = [r["r"] for r in matrix.select(quarantine.quarantine_reason(of).alias("r")).collect()]
+    assert got != [w for _, w in VARIANTS]
+
+
+def test_rule_order_is_needed(matrix):
+    got = [r["r"] for r in matrix.select(quarantine.quarantine_reason(quarantine.rules()[::-1]).alias("r")).collect()]
+    assert got != [w for _, w in VARIANTS]
+
+
+def test_serving(spark):
+    from tidemark.operators import serving
+
+    cents = spark.createDataFrame([(67269342,), (-5,), (0,), (100000,), (None,)], "c bigint")
+    assert [r[0] for r in cents.select(serving.euros(F.col("c"))).collect()] == ["672 693,42", "-0,05", "0,00", "1 000,00", None]
+    months = spark.createDataFrame([("2026-01",), ("2026-06",)], "m string")
+    got = [r[0] for r in months.select(F.date_format(F.timestamp_micros(serving.deadline_us(F.col("m"))), "yyyy-MM-dd HH:mm:ss")).collect()]
+    assert got == ["2026-02-05 22:59:59", "2026-07-05 21:59:59"]
+    log = spark.createDataFrame([(1_768_000_000_000_000,), (None,)], "us bigint")
+    ledger = spark.createDataFrame([("2025-12",)], "m string")
+    assert [r["m"] for r in serving.overdue(log, "us", ledger, "m", 1_900_000_000_000_000).collect()] == ["2026-01"]
