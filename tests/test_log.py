@@ -327,3 +327,78 @@ def test_serving(spark):
     log = spark.createDataFrame([(1_768_000_000_000_000,), (None,)], "us bigint")
     ledger = spark.createDataFrame([("2025-12",)], "m string")
     assert [r["m"] for r in serving.overdue(log, "us", ledger, "m", 1_900_000_000_000_000).collect()] == ["2026-01"]
+
+
+MERGE = """
+import sys
+sys.path.insert(0, {root!r})
+from tidemark.session import build_session
+from tidemark.sources.snapshot import SnapshotTable
+spark = build_session("worker", master="local[2]", partitions=2)
+SnapshotTable(spark, {at!r}, ["k"]).upsert(spark.createDataFrame([(1, "new"), (3, "c")], "k int, v string"))
+"""
+COMMIT = """
+import sys
+sys.path.insert(0, {root!r})
+from tidemark.operators import compaction
+from tidemark.session import build_session
+spark = build_session("worker", master="local[2]", partitions=2)
+compaction.compact(spark.createDataFrame([("e", "f")], "event_id string, file string"), "file", root={at!r})
+"""
+
+
+def _crash(code, point):
+    return subprocess.run([sys.executable, "-c", code], env=os.environ | {"TIDEMARK_CRASH": point}, capture_output=True, timeout=240).returncode
+
+
+def test_crash_amid_a_merge(spark, tmp_path):
+    at = f"file://{tmp_path}/t"
+    t = SnapshotTable(spark, at, ["k"])
+    t.create(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
+    assert _crash(MERGE.format(root=ROOT, at=at), "mid_merge") == 17
+    assert t.versions() == [0] and rows(t.read()) == [(1, "a"), (2, "b")]
+    t.upsert(spark.createDataFrame([(1, "new"), (3, "c")], "k int, v string"))
+    assert rows(t.read()) == [(1, "new"), (2, "b"), (3, "c")]
+
+
+def test_crash_before_a_commit(spark, tmp_path):
+    from tidemark.operators import compaction
+
+    at = f"file://{tmp_path}/c"
+    assert _crash(COMMIT.format(root=ROOT, at=at), "before_close_marker") == 17
+    with pytest.raises(FileNotFoundError):
+        compaction.read_committed(spark, at)
+
+
+def test_close_job(spark, tmp_path):
+    from tidemark.operators import close_job
+
+    figures = ["gross_cents", "returns_cents", "net_cents", "line_count"]
+    ddl = "m string, gross_cents bigint, returns_cents bigint, net_cents bigint, line_count bigint"
+    t = SnapshotTable(spark, f"file://{tmp_path}/l", ["m", "close_version"])
+    t.create(spark.createDataFrame([], "m string, close_version int, gross_cents bigint, returns_cents bigint, net_cents bigint, line_count bigint"))
+    first = spark.createDataFrame([("2026-01", 10, 1, 9, 2), ("2026-02", 5, 0, 5, 1)], ddl)
+    got = close_job.run(first, t, ["m"], "close_version", figures)
+    assert (got.branch, got.versions_written, got.ok) == ("recorded", 2, True)
+    assert close_job.run(first, t, ["m"], "close_version", figures) == close_job.Status("nothing to record", 0)
+    wrong = spark.createDataFrame([("2026-01", 10, 1, 8, 2)], ddl)
+    got = close_job.run(wrong, t, ["m"], "close_version", figures)
+    assert (got.versions_written, got.failed) == (1, {"net_is_gross_minus_returns": 1}) and t.read().count() == 3
+
+
+def test_evidence_and_statistics(tmp_path):
+    from tidemark.functions import statistics
+    from tidemark.operators import evidence
+
+    p = str(tmp_path / "chain.jsonl")
+    evidence.append(p, {"a": 1})
+    last = evidence.append(p, {"a": 2})
+    assert evidence.verify(p) == last
+    text = (tmp_path / "chain.jsonl").read_text()
+    (tmp_path / "chain.jsonl").write_text(text.replace('"a": 1', '"a": 3'))
+    with pytest.raises(ValueError, match="record 1"):
+        evidence.verify(p)
+    lo, hi = statistics.wilson(20, 20)
+    assert 0.83 < lo < 0.85 and hi == 1.0 and statistics.wilson(0, 0) == (0.0, 1.0)
+    assert abs(statistics.none_seen(20) - 0.1391) < 1e-3
+    assert statistics.kappa([(1, 1), (0, 0), (1, 0), (0, 1)]) == 0 and statistics.kappa([]) == 1

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.crash import barrier
 from tidemark.functions.hashing import row_hash
 from tidemark.session import scratch
 
@@ -99,6 +100,7 @@ def commit_once(spark: SparkSession, path: str, content: dict) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
         raise FileExistsError(path)
+    barrier("before_close_marker")
     temporary = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     out = fs.create(temporary, True)
     out.write(bytearray(json.dumps(content, sort_keys=True).encode()))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.crash import barrier
 from tidemark.operators.layout import file_stats
 
 
@@ -47,6 +48,7 @@ class SnapshotTable:
         return json.loads(self.spark.read.text(f"{self.root}/_log/{version:010d}.json", wholetext=True).first()[0])
 
     def _publish(self, base: int, operation: str, files: list[dict], schema: StructType, metrics: dict) -> int:
+        barrier("mid_merge")
         version = base + 1
         content = {"version": version, "operation": operation, "at": time.time(), "files": files, "schema": json.loads(schema.json()), "metrics": metrics}
         temporary, final = self._path(f"{self.root}/_log/.{uuid.uuid4().hex}"), self._path(f"{self.root}/_log/{version:010d}.json")

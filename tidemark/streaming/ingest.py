@@ -2,32 +2,17 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.crash import barrier
 from tidemark.functions.times import instant
 from tidemark.operators.quarantine import ACCEPTED, classify
 from tidemark.sources.bronze import INGESTORS, IngestSpec
 
-#: Places where a crash can be asked for, to test replays.
-CRASH_POINTS = ("before_write", "after_write", "mid_merge", "before_close_marker")
-
-
-def barrier(point: str) -> None:
-    """Ends the process at once if TIDEMARK_CRASH names this point; the n-th pass, if it says point:n."""
-    asked = os.environ.get("TIDEMARK_CRASH", "")
-    name, _, nth = asked.partition(":")
-    if name == point:
-        left = int(nth or 1) - 1
-        os.environ["TIDEMARK_CRASH"] = f"{name}:{left}" if left else ""
-        if not left:
-            os._exit(17)
-
-
 def write_batch(root: str, idempotent: bool = True) -> Callable[[DataFrame, int], None]:
     """Writer of one micro-batch: classified rows into silver/batch_id=<n>, quarantined ones into quarantine/batch_id=<n>.
 
