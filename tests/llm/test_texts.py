@@ -158,3 +158,17 @@ def test_held_out_rows(spark, models):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     share = residue.judged(docs, "doc_id", "text", models).where("reason is not null").count() / docs.count()
     assert 0.03 < share < 0.11
+
+
+BARE = ["{{content}}", "Welcome to {{x}}", "Kind regards, {{x}}", "Customer {{x}}", "Your parcel {{x}} left the depot on Monday.", "The meeting with [client name] is on Friday.", "The template order of *|CUSTOMER|* was sent on Monday.", "Il pacco di ${nome} arriva domani.", "The blanket is back.\nBest wishes, <%= sender %>"]
+SPOKEN_OF = ["Type {{name}} where the name should go.", "The placeholder {{name}} is filled in when the letter is printed.", "We looked for *|AMOUNT|* in all letters of May and found nothing.", "El marcador {{nombre}} se cambia al enviar.", "Le champ {{date}} est remplacé par la date.", "The tokens [MASK] and [SEP] are ordinary text.", "The engine calls a[i] and List<String> x."]
+
+
+@pytest.mark.parametrize("text", BARE)
+def test_placeholders_in_unseen_frames(models, text):
+    assert models.judged(text)[0] == "placeholder"
+
+
+@pytest.mark.parametrize("text", SPOKEN_OF)
+def test_placeholders_spoken_of_in_unseen_frames(models, text):
+    assert models.judged(text)[0] is None

@@ -5,8 +5,10 @@ residue_samples). A model is the frequency of hashed n-grams of lower-case text,
 into windows, its lines and sentences (long ones into pieces); each window gets the mean log likelihood ratio of each
 class against prose, and the class of the greatest ratio above a margin. The text is then judged by coverage:
 filler by its length, notices by their share of all that isn't menu. Placeholders are found by the markers that
-surround a name, and count unless a further pair of models, for texts that use and texts that are about placeholders,
-says that the window is about them. Frequencies, not counts, are smoothed: an n-gram neither model knows says nothing,
+surround a name, and each counts unless there is evidence that it is spoken of or is content: a run of n-grams around it
+that a further pair of models, of what is said about placeholders and of texts that use them, finds likely to be about
+it, or, for brackets that natural texts have too, a name that is a control string, a cell or a single letter, or code
+that the bracket is part of. Frequencies, not counts, are smoothed: an n-gram neither model knows says nothing,
 and results don't drift with the size of the corpus.
 """
 
@@ -25,13 +27,16 @@ from tidemark.llm.residue_samples import samples
 
 #: Length of n-grams, buckets they are hashed into, smoothing of frequencies.
 N, BUCKETS, SMOOTHING = 5, 2**18, 2e-6
-#: Longest window, mean and whole log ratio a window needs, log ratio a placeholder needs, characters of filler and share of notices that make a case.
-WINDOW, MARGIN, LEAST, EVIDENCE, FILLER_CHARS, NOTICE_SHARE = 160, 0.05, 7.0, 4.0, 9, 0.5
+#: Longest window, mean and whole log ratio a window needs, log ratio a run of n-grams about a placeholder needs, characters of filler and share of notices that make a case.
+WINDOW, MARGIN, LEAST, EVIDENCE, FILLER_CHARS, NOTICE_SHARE = 160, 0.05, 7.0, 17.0, 9, 0.5
+#: What an n-gram costs a run that neither model knows, so that chance matches far from each other don't add up.
+UNKNOWN = 4.0
 
 #: Classes that a window is held against prose for; mention is prose that shares the words of the others.
 CLASSES = ("filler", "notice", "chrome", "mention")
 #: Control strings and tags that are no placeholders. Fixed values.
-TAGS = "unk|s|pad|bos|eos|mask|sep|cls|startoftext|endoftext|noscript|script|hr|br|h\\d|p|b|i|em|strong|div|span|td|tr|th|li|ul|ol|a|html|body|head|title"
+CONTROLS = "unk|s|pad|bos|eos|mask|sep|cls"
+TAGS = CONTROLS + "|startoftext|endoftext|noscript|script|hr|br|h\\d|p|b|i|em|strong|div|span|td|tr|th|li|ul|ol|a|html|body|head|title"
 
 #: Windows that a task remembers the class or the number of.
 REMEMBERED = 100_000
@@ -39,16 +44,20 @@ REMEMBERED = 100_000
 NAME = r"[\p{L}][\p{L}\p{M}\p{N} ._\-]{0,40}"
 WORD = r"[\p{L}][\p{L}\p{M}\p{N}_.\-]{1,40}"
 #: Opening and closing markers around a name. Fixed values.
-MARKERS = [(r"\{\{\s*#?", r"\s*\}\}"), (r"[$#]\{\s*", r"\s*\}"), (r"<%=?\s*", r"\s*%>"), (r"\[\[\s*", r"\s*\]\]"), (r"<<\s*", r"\s*>>"), (r"\*\|\s*", r"\s*\|\*"), (r"\{%\s*", r"\s*%\}"), (r"%\(", r"\)s"), (r"@@", r"@@"), (r"\[", r"\]"), (r"\{", r"\}"), (rf"<(?!(?i:{TAGS})>)", r">")]
+MARKERS = [(r"\{\{\s*#?", r"\s*\}\}"), (r"[$#]\{\s*", r"\s*\}"), (r"<%=?\s*", r"\s*%>"), (r"\[\[\s*", r"\s*\]\]"), (r"<<\s*", r"\s*>>"), (r"\*\|\s*", r"\s*\|\*"), (r"\{%\s*", r"\s*%\}"), (r"%\(", r"\)s"), (r"@@", r"@@"), (r"\[", r"\]"), (r"\{", r"\}"), (rf"<(?!(?i:{TAGS})>|(?i:{CONTROLS})\b)", r">")]
 #: The same around a single word.
 TIGHT = [(r"\$", r"\$"), (r"__", r"__"), (r"%", r"%")]
 PLACEHOLDER = regex.compile("|".join([o + NAME + c for o, c in MARKERS] + [o + WORD + c for o, c in TIGHT] + [r"\{\d{1,3}\}"]))
+#: Names and single characters that brackets hold in natural texts, and code that a bracket is part of. Fixed values.
+CONTENT = regex.compile(r"(?:\[(?:\p{L}|[A-Z]{1,2}\d+)\]|\{(?:\p{L}|[A-Z]{1,2}\d+)\}|<\p{L}>|(?:\[|<|<<|\[\[|__)(?i:sic|mask|sep|cls|pad|unk|bos|eos|inst|sys|info|warn|warning|error|debug|trace|fatal|init|main|name|file)(?:\]|>|>>|\]\]|__))")
+IN_CODE = regex.compile(r"[\w)\]]$")
 BREAKS = regex.compile(r"(?<=[.!?])\s+|[\r\n]+")
 #: A record's opening in transcripts and lists: speaker, time, bullet.
 OPENING = regex.compile(r"^(?:(?:agent|customer|C|Q|A)\s?[>:]|\[\d\d:\d\d\]|[>*\-#]+|\d+\.)\s*")
 
 
-DIGIT, BLANKS, SENTENCE, LINE = (regex.compile(p) for p in (r"\d", r"\s+", r"(?<=[.!?])\s+", r"[\r\n]+"))
+#: AFTER: a capital right behind a placeholder opens a sentence too.
+DIGIT, BLANKS, SENTENCE, LINE, AFTER = (regex.compile(p) for p in (r"\d", r"\s+", r"(?<=[.!?])\s+", r"[\r\n]+", r"(?<=[.!?])\s+|^\s+(?=\p{Lu}\p{Ll})"))
 
 
 def prepared(text: str) -> str:
@@ -75,9 +84,11 @@ def add(counts: np.ndarray, windows_seen: Counter) -> None:
     windows_seen.clear()
 
 
-def counted(texts: list[str]) -> np.ndarray:
+def counted(texts: list[str], borders: bool = True) -> np.ndarray:
+    """n-gram counts of texts; of phrases, which stand anywhere in a sentence, without those of the borders."""
     out = np.zeros(BUCKETS, np.int64)
-    add(out, Counter(map(prepared, texts)))
+    for t, n in Counter(map(prepared, texts)).items():
+        np.add.at(out, grams(t) if borders else grams(t)[2:-2], n)
     return out
 
 
@@ -90,16 +101,30 @@ def windows(text: str) -> list[str]:
     return [p for p in out if p.strip()]
 
 
+def is_content(line: str, m: regex.Match) -> bool:
+    """Whether a bracketed name is part of what was written: a control string, a cell, a letter, or a piece of code."""
+    if CONTENT.fullmatch(m[0]):
+        return True
+    return m[0][0] in "[<" and m[0][:2] not in ("[[", "<<", "<%") and bool(IN_CODE.search(line[: m.start()][-1:]))
+
+
+def best_run(ratios: np.ndarray) -> float:
+    """The greatest sum of ratios that stand side by side, at least 0."""
+    sums = np.concatenate([[0.0], np.cumsum(ratios, dtype=np.float64)])
+    return float((sums - np.minimum.accumulate(sums)).max())
+
+
 class Models:
     """Log ratios of the classes: filler, notice and chrome against prose, unfilled against about."""
 
     def __init__(self, prose: np.ndarray, seed: int = 1):
-        s = {k: counted(v).astype(float) for k, v in samples(seed).items()}
+        s = {k: counted(v, borders=k in CLASSES).astype(float) for k, v in samples(seed).items()}
         frequency = lambda c: c / max(1.0, c.sum()) + SMOOTHING
         natural = frequency(prose.astype(float))
         self.against_prose = np.log(np.stack([frequency(s[k]) / natural for k in CLASSES])).astype(np.float32)
         self._known: dict[str, str] = {}
-        self.unfilled = np.log(frequency(s["unfilled"]) / frequency(s["about"])).astype(np.float32)
+        self.about = np.log(frequency(s["about"]) / frequency(s["unfilled"])).astype(np.float32)
+        self.about[(s["about"] == 0) & (s["unfilled"] == 0)] = -UNKNOWN
 
     def window_class(self, window: str) -> str:
         """Class of a window. Windows that only differ in digits share it, so a task remembers the last ones."""
@@ -123,17 +148,19 @@ class Models:
     def placeholders(self, text: str) -> bool:
         """Whether a placeholder stands unfilled in the text. Windows are what stands around it in its sentence."""
         for line in LINE.split(text):
-            spans = [m.span() for m in PLACEHOLDER.finditer(line)]
-            if not spans:
+            found = list(PLACEHOLDER.finditer(line))
+            if not found:
                 continue
             marked = PLACEHOLDER.sub("\ue000", line)
             at = -1
-            for _ in spans:
+            for m in found:
                 at = marked.index("\ue000", at + 1)
+                if is_content(line, m):
+                    continue
                 left = SENTENCE.split(marked[max(0, at - 60) : at])[-1]
-                right = SENTENCE.split(marked[at + 1 : at + 60])[0]
+                right = AFTER.split(marked[at + 1 : at + 60])[0]
                 around = OPENING.sub("", left + "@" + right).replace("\ue000", "@")
-                if self.unfilled[grams(prepared(around))].sum() > EVIDENCE:
+                if best_run(self.about[grams(prepared(around))]) <= EVIDENCE:
                     return True
         return False
 

@@ -60,11 +60,21 @@ UNFILLED = [
     "Bonjour @, le retour de @ est accepté.", "Bonjour @, le retour de 0 est accepté.", "Votre commande @ part le @.", "Clôture de @ signée par @.", "Motif de la correction : @", "Merci pour votre achat de @.",
     "Ciao @, il tuo ordine @ parte il @.", "Gentile @, il reso di @ è stato accettato.", "Chiusura di @ firmata da @.", "Motivo della rettifica: @", "Grazie per aver acquistato @.",
 ]
-#: Around a placeholder in a text about it, and around brackets and markup that are content.
+#: Small words that stand around a placeholder in any sentence, so that they say nothing about it.
+AROUND = [
+    "{in|for|with|from|of|to|at|by|and|on|about|the|your|our|this} @ {is|was|has|will be|in|on|at|for|from|and|with|to|by|of|or} {the|a|your|our|this|sent|ready|it}", "{we|you|they|I} {found|sent|got|have|took|saw|moved|set|put|need|wrote} @ {in|on|at|to|for|from} the", "{the|your|our|this|a} {template|draft|manual|code|script|query|editor|source|list|group|item|text|column|cell|field|field name|tag|total|month} {of|for|from|in|to|with} @ {is|was|and|has}", "{the|your|our|a} @ {list|group|item|order|is|was|of|in}", "{holds|shows|has|reads|uses|contains} the", "and found the", "and found it", "nothing is", "of the {shop|order|sheet|customer|month|box}", "on {monday|friday|the}", "is set by", "are set by the", "must not be", "{searched|looked} for the", "{the|your} {string|word|parameter|marker|token}", "{for|to|in} the {template|draft|manual|script}",
+    "{de|del|en|para|por|con|el|la|su|a} @ {de|del|en|el|la|y|es|se|con|para|por|al}", "{de|da|do|em|para|por|com|o|a} @ {de|da|do|em|e|o|a|foi|é|no|na|nos|nas|com|para|por}", "{de|du|à|pour|par|avec|le|la|votre} @ {de|du|à|est|le|la|et|dans|pour|par|avec}", "{di|del|da|per|con|il|la|su|a} @ {di|del|è|il|la|e|nel|nella|per|con|viene|da}", "{el|la} {campo|marcador|variable|borrador|plantilla} {de|del}", "{o|a} {campo|marcador|variável|rascunho|modelo} {de|do|da}", "{le|la} {champ|marqueur|variable|brouillon|modèle} {de|du}", "{il|la} {campo|segnaposto|variabile|bozza|modello} {di|del}",
+]
+#: What is said of a placeholder (@), or of a name in code or a table, in texts about it, whatever the rest of the sentence is.
+_THING = "{placeholder|marker|variable|token|merge field|template variable|tag|parameter}"
+_SHEET = "{template|draft|manual|code|script|query|config file|settings file|editor|source}"
 ABOUT = [
-    "In the mail editor, write @ where the order number belongs; the mailer fills it in when it sends.", "The manual explains that @ stands for the value of the field and must not be typed by hand.", "We searched the sent mails of 0 for @ and found none, so the fix works.", "Why does the draft for 0 show @?", "The letter left the building with the marker @ still in it, so we fixed the export and resent it.", "Variables like @ are set by the job before the script starts.", "The template uses @ for the name of the customer.", "We agreed to write @ in the draft of the manual and to leave the real months to the shops.",
-    "Order note: engraving text is @ on the lid, size @.", "Cell @ holds the total and @ the month; add <0 %> for rounding.", "The payload was @ and the parser took it.", "Run `select net_cents from @.main.closes` with the catalogue of your shop in place of the braces.", "Price tags say 0% off, receipts agree, and the @ groups are treated alike.", "The @ list of the 0 close is empty, @ items moved to the next one.", "The query reads @ from the settings file.", "Replace @ by the name of the shop before you run the script.",
-    "En la plantilla, @ se sustituye por el número real al enviar el correo.", "Buscamos @ en los correos de 0 y no quedaba ninguno.", "El borrador de 0 muestra @.", "No modelo, @ é trocado pelo número real no envio.", "Procurámos @ nos mails de 0 e não havia nenhum.", "Dans le modèle, @ est remplacé par le vrai numéro à l'envoi.", "Nous avons cherché @ dans les mails de 0, sans rien trouver.", "Nel modello, @ viene sostituito dal numero vero all'invio.", "Abbiamo cercato @ nelle mail di 0, non ce n'era nessuno.",
+    "{write|type} @ {where|wherever|literally|as is}", "{to write|to type} @ in the", f"write @ in the {_SHEET}", f"{{a|the|this}} {_THING} @ ", f"{_THING}s {{like|such as}} @ ", "variables {like|such as} @ are", f"@ is {{a|the}} {_THING}", "@ stands for the", "that @ stands for", "@ is {replaced|substituted|filled in} {by|with|when}", "{replace|substitute} @ {by|with} the", "@ must not be {typed|translated|changed}", "@ still in it", "the literal @ ", "the {text|string|word} @ ", "{searched|grepped|looked|search|looking} for @ ", "we searched the", "{looked|searched} for @ in all", " for @ and found {none|nothing|no}", "why does the draft", f"the {_SHEET} {{uses|shows|contains|reads|has}} @ ", f"in the {_SHEET}, @ ", f"does the {_SHEET} for", " show @?", "{instead|in place} of @ ", "in place of the {braces|brackets|markers}", "with @ in place of",
+    "select @ from", " from @.", "`select ", "cell @ holds", "cells @ and @", "column @ holds", "holds the total and @ the", "engraving text is", "the payload was @", "the regex @", "the syntax @", "the @ {list|groups|items} ", "the query reads @ from",
+    "se {sustituye|reemplaza|cambia} por {el|la}", "@ se {sustituye|reemplaza}", "en la plantilla, @ ", "la plantilla usa @ ", "{el marcador|la variable|el campo} @ ", "{buscamos|busqué|buscar} @ en", "el borrador de", "el borrador muestra @", " muestra @", "escribir @ donde", "escriba @ donde", "variables como @ ",
+    "@ é {trocado|substituído} {pelo|pela|por}", "no modelo, @ ", "o modelo usa @ ", "{o marcador|a variável|o campo} @ ", "{procurámos|procurei|procurar} @ n", "o rascunho mostra @", "escreva @ onde", "variáveis como @ ",
+    "@ est remplacé par", "dans le modèle, @ ", "le modèle utilise @ ", "{le marqueur|la variable|le champ} @ ", "{cherché|chercher|cherchons} @ dans", "le brouillon montre @", "écrivez @ à l'endroit", "des variables comme @ ",
+    "@ viene sostituit{o|a} d", "nel modello, @ ", "il modello usa @ ", "{il segnaposto|la variabile|il campo} @ ", "{cercato|cercare|cerchiamo} @ {nel|nei|nella|nelle} ", "la bozza mostra @", "scriva @ dove", "variabili come @ ",
 ]
 
 #: Texts about scripts, errors and filler, which share their words but are natural.
@@ -104,6 +114,6 @@ def samples(seed: int = 1) -> dict[str, list[str]]:
         "notice": expand(NOTICE, 4000, seed),
         "chrome": expand(CHROME, 400, seed),
         "mention": expand(MENTION, 1200, seed),
-        "unfilled": UNFILLED,
-        "about": ABOUT,
+        "unfilled": UNFILLED + expand(AROUND, 1500, seed),
+        "about": expand(ABOUT, 1500, seed),
     }
