@@ -172,3 +172,22 @@ def test_placeholders_in_unseen_frames(models, text):
 @pytest.mark.parametrize("text", SPOKEN_OF)
 def test_placeholders_spoken_of_in_unseen_frames(models, text):
     assert models.judged(text)[0] is None
+
+
+WITHIN = "The desk lamp from order 12 came with the wrong colour and the customer wants a refund"
+
+
+@pytest.mark.parametrize("text", [f"{WITHIN} lorem ipsum dolor sit amet consectetur.", f"{WITHIN}, lorem ipsum dolor sit amet", f"{WITHIN}, TBD TBD TBD", "The kettle is red asdf qwer asdf asdf blah and goes back.", f"{WITHIN} and keeps the box until the depot sends a new slip for it, dear all lorem ipsum dolor sit amet and the kettle goes back to the shelf"])
+def test_filler_within_a_sentence(models, text):
+    assert models.judged(text)[0] == "filler"
+
+
+def test_filler_across_a_border_of_pieces(models):
+    prose = "the kettle goes back to the shelf and the customer keeps the box " * 6
+    for at in range(residue.WINDOW - 27, residue.WINDOW + 1, 9):
+        assert models.judged(prose[:at] + " lorem ipsum dolor sit amet " + prose)[0] == "filler"
+
+
+@pytest.mark.parametrize("text", [WITHIN, "The supplier's text was 'Lorem ipsum dolor sit amet' and we refused it.", "The supplier's blurb was only lorem ipsum; the catalogue team refused it and asked for a real one."])
+def test_filler_quoted_or_absent(models, text):
+    assert models.judged(text)[0] is None

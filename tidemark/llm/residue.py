@@ -3,7 +3,8 @@
 Natural prose is counted over all texts of the corpus, the other classes over a bounded labelled sample (see
 residue_samples). A model is the frequency of hashed n-grams of lower-case text, digits written as 0. A text is cut
 into windows, its lines and sentences (long ones into pieces); each window gets the mean log likelihood ratio of each
-class against prose, and the class of the greatest ratio above a margin. The text is then judged by coverage:
+class against prose, and the class of the greatest ratio above a margin. Filler that is only a part of a sentence is the run of n-grams with the
+greatest sum of log ratios, less a cost for each, in the whole sentence, unless it is quoted or spoken of. The text is then judged by coverage:
 filler by its length, notices by their share of all that isn't menu. Placeholders are found by the markers that
 surround a name, and each counts unless there is evidence that it is spoken of or is content: a run of n-grams around it
 that a further pair of models, of what is said about placeholders and of texts that use them, finds likely to be about
@@ -31,6 +32,8 @@ N, BUCKETS, SMOOTHING = 5, 2**18, 2e-6
 WINDOW, MARGIN, LEAST, EVIDENCE, FILLER_CHARS, NOTICE_SHARE = 160, 0.05, 7.0, 17.0, 9, 0.5
 #: What an n-gram costs a run that neither model knows, so that chance matches far from each other don't add up.
 UNKNOWN = 4.0
+#: What an n-gram costs a run of filler or mention, and the sums that runs need.
+COST, FILLER_RUN, MENTION_RUN = 2.0, 15.0, 25.0
 
 #: Classes that a window is held against prose for; mention is prose that shares the words of the others.
 CLASSES = ("filler", "notice", "chrome", "mention")
@@ -52,6 +55,8 @@ PLACEHOLDER = regex.compile("|".join([o + NAME + c for o, c in MARKERS] + [o + W
 CONTENT = regex.compile(r"(?:\[(?:\p{L}|[A-Z]{1,2}\d+)\]|\{(?:\p{L}|[A-Z]{1,2}\d+)\}|<\p{L}>|(?:\[|<|<<|\[\[|__)(?i:sic|mask|sep|cls|pad|unk|bos|eos|inst|sys|info|warn|warning|error|debug|trace|fatal|init|main|name|file)(?:\]|>|>>|\]\]|__))")
 IN_CODE = regex.compile(r"[\w)\]]$")
 BREAKS = regex.compile(r"(?<=[.!?])\s+|[\r\n]+")
+#: What a text quotes, cut out before filler is looked for within a sentence.
+QUOTED = regex.compile(r"(?<!\w)(?:'[^']{1,300}'|\"[^\"]{1,300}\"|«[^»]{1,300}»|“[^”]{1,300}”|„[^“”]{1,300}[“”]|‘[^’]{1,300}’)(?!\w)")
 #: A record's opening in transcripts and lists: speaker, time, bullet.
 OPENING = regex.compile(r"^(?:(?:agent|customer|C|Q|A)\s?[>:]|\[\d\d:\d\d\]|[>*\-#]+|\d+\.)\s*")
 
@@ -92,13 +97,18 @@ def counted(texts: list[str], borders: bool = True) -> np.ndarray:
     return out
 
 
+def parts(text: str) -> list[str]:
+    """Lines and sentences of a text without their openings."""
+    return [OPENING.sub("", p.strip()) for p in BREAKS.split(text)]
+
+
+def pieces(part: str) -> list[str]:
+    return [p for i in range(0, len(part), WINDOW) if (p := part[i : i + WINDOW]).strip()]
+
+
 def windows(text: str) -> list[str]:
-    """Lines and sentences of a text without their openings; those beyond WINDOW in pieces of WINDOW characters."""
-    out = []
-    for part in BREAKS.split(text):
-        part = OPENING.sub("", part.strip())
-        out += [part[i : i + WINDOW] for i in range(0, len(part), WINDOW)]
-    return [p for p in out if p.strip()]
+    """Lines and sentences of a text; those beyond WINDOW in pieces of WINDOW characters."""
+    return [w for part in parts(text) for w in pieces(part)]
 
 
 def is_content(line: str, m: regex.Match) -> bool:
@@ -110,8 +120,15 @@ def is_content(line: str, m: regex.Match) -> bool:
 
 def best_run(ratios: np.ndarray) -> float:
     """The greatest sum of ratios that stand side by side, at least 0."""
+    return best_span(ratios)[0]
+
+
+def best_span(ratios: np.ndarray) -> tuple[float, int, int]:
+    """The greatest sum of ratios that stand side by side, at least 0, and where they begin and end."""
     sums = np.concatenate([[0.0], np.cumsum(ratios, dtype=np.float64)])
-    return float((sums - np.minimum.accumulate(sums)).max())
+    over = sums - np.minimum.accumulate(sums)
+    end = int(over.argmax())
+    return float(over[end]), int(sums[: end + 1].argmin()), end
 
 
 class Models:
@@ -123,6 +140,7 @@ class Models:
         natural = frequency(prose.astype(float))
         self.against_prose = np.log(np.stack([frequency(s[k]) / natural for k in CLASSES])).astype(np.float32)
         self._known: dict[str, str] = {}
+        self._runs: dict[str, int] = {}
         self.about = np.log(frequency(s["about"]) / frequency(s["unfilled"])).astype(np.float32)
         self.about[(s["about"] == 0) & (s["unfilled"] == 0)] = -UNKNOWN
 
@@ -145,6 +163,27 @@ class Models:
         sure = sums[best] > max(MARGIN * len(g), LEAST)
         return CLASSES[best] if sure and CLASSES[best] != "mention" else "prose"
 
+    def filler_run(self, part: str) -> int:
+        """Characters of the filler within a sentence or line that is prose as a whole."""
+        part = prepared(QUOTED.sub(" ", part))
+        known = self._runs.get(part)
+        if known is None:
+            if len(self._runs) >= REMEMBERED:
+                self._runs.clear()
+            known = self._filler_run(part)
+            if len(part) <= WINDOW:
+                self._runs[part] = known
+        return known
+
+    def _filler_run(self, part: str) -> int:
+        g = grams(part)
+        filler, mention = (self.against_prose[CLASSES.index(c), g] for c in ("filler", "mention"))
+        most, begin, end = best_span(filler - np.maximum(mention, 0) - COST)
+        mention = mention - np.maximum(filler, 0)  # the filler's own words, which texts about it have too
+        if most <= FILLER_RUN or max(best_run(mention[:begin] - COST), best_run(mention[end:] - COST)) > MENTION_RUN:
+            return 0
+        return min(end - begin + N - 1, len(part))
+
     def placeholders(self, text: str) -> bool:
         """Whether a placeholder stands unfilled in the text. Windows are what stands around it in its sentence."""
         for line in LINE.split(text):
@@ -169,8 +208,14 @@ class Models:
         if not text or not text.strip():
             return None, 0, 0
         size = dict.fromkeys(("filler", "notice", "chrome", "prose"), 0)
-        for w in windows(text):
-            size[self.window_class(w)] += len(w)
+        for part in parts(text):
+            of = [(self.window_class(w), len(w)) for w in pieces(part)]
+            for c, n in of:
+                size[c] += n
+            if any(c == "prose" for c, _ in of) and all(c in ("prose", "chrome") for c, _ in of):
+                run = min(self.filler_run(part), sum(n for c, n in of if c == "prose"))
+                size["filler"] += run
+                size["prose"] -= run
         total = sum(size.values())
         if self.placeholders(text):
             return "placeholder", size["filler"] + size["notice"], total
