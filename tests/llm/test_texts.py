@@ -191,3 +191,13 @@ def test_filler_across_a_border_of_pieces(models):
 @pytest.mark.parametrize("text", [WITHIN, "The supplier's text was 'Lorem ipsum dolor sit amet' and we refused it.", "The supplier's blurb was only lorem ipsum; the catalogue team refused it and asked for a real one."])
 def test_filler_quoted_or_absent(models, text):
     assert models.judged(text)[0] is None
+
+
+@pytest.mark.parametrize("text", ["TBD", "xxx xxxx", "Home | Orders | Returns | Help\nTBD"])
+def test_short_filler(models, text):
+    assert models.judged(text)[0] == "filler"
+
+
+@pytest.mark.parametrize("text", ["Done.", "ok bye!", "Fine by me.", "The kettle is red and has a steel handle.\nTBD"])
+def test_short_texts(models, text):
+    assert models.judged(text)[0] is None

@@ -5,7 +5,7 @@ residue_samples). A model is the frequency of hashed n-grams of lower-case text,
 into windows, its lines and sentences (long ones into pieces); each window gets the mean log likelihood ratio of each
 class against prose, and the class of the greatest ratio above a margin. Filler that is only a part of a sentence is the run of n-grams with the
 greatest sum of log ratios, less a cost for each, in the whole sentence, unless it is quoted or spoken of. The text is then judged by coverage:
-filler by its length, notices by their share of all that isn't menu. Placeholders are found by the markers that
+filler by its length or, where it is short, its share, notices by their share of all that isn't menu. Placeholders are found by the markers that
 surround a name, and each counts unless there is evidence that it is spoken of or is content: a run of n-grams around it
 that a further pair of models, of what is said about placeholders and of texts that use them, finds likely to be about
 it, or, for brackets that natural texts have too, a name that is a control string, a cell or a single letter, or code
@@ -28,7 +28,7 @@ from tidemark.llm.residue_samples import samples
 
 #: Length of n-grams, buckets they are hashed into, smoothing of frequencies.
 N, BUCKETS, SMOOTHING = 5, 2**18, 2e-6
-#: Longest window, mean and whole log ratio a window needs, log ratio a run of n-grams about a placeholder needs, characters of filler and share of notices that make a case.
+#: Longest window, mean and whole log ratio a window needs, log ratio a run of n-grams about a placeholder needs, characters of filler in a longer text and share of filler or notices that make a case.
 WINDOW, MARGIN, LEAST, EVIDENCE, FILLER_CHARS, NOTICE_SHARE = 160, 0.05, 7.0, 17.0, 9, 0.5
 #: What an n-gram costs a run that neither model knows, so that chance matches far from each other don't add up.
 UNKNOWN = 4.0
@@ -219,9 +219,9 @@ class Models:
         total = sum(size.values())
         if self.placeholders(text):
             return "placeholder", size["filler"] + size["notice"], total
-        if size["filler"] >= FILLER_CHARS:
-            return "filler", size["filler"], total
         rest = total - size["chrome"]
+        if size["filler"] >= FILLER_CHARS or (rest and size["filler"] / rest >= NOTICE_SHARE):
+            return "filler", size["filler"], total
         if rest and size["notice"] / rest >= NOTICE_SHARE:
             return "notice", size["notice"], total
         return None, size["filler"] + size["notice"], total
