@@ -201,3 +201,13 @@ def test_short_filler(models, text):
 @pytest.mark.parametrize("text", ["Done.", "ok bye!", "Fine by me.", "The kettle is red and has a steel handle.\nTBD"])
 def test_short_texts(models, text):
     assert models.judged(text)[0] is None
+
+
+@pytest.mark.parametrize("name", ["{{ name | upper }}", "{{/if}}", "{{ .Values.shop }}", "<%= @name %>", "{{ user[0].name }}", "{{_id}}", "${_id}", "{{ the name of the customer who placed the order, as it is written on the slip }}", "*|IF:NAME|*", '{% if order.total > 5 %}'])
+def test_names_between_clear_markers(models, name):
+    assert models.judged(f"Dear {name}, your refund has been approved.")[0] == "placeholder"
+
+
+@pytest.mark.parametrize("text", ["{{" * 20_000, "{{ a " * 20_000, "<% " * 20_000, "{{ }} and ${} are empty"])
+def test_markers_without_a_name(models, text):
+    assert not models.placeholders(text)

@@ -47,10 +47,12 @@ REMEMBERED = 100_000
 NAME = r"[\p{L}][\p{L}\p{M}\p{N} ._\-]{0,40}"
 WORD = r"[\p{L}][\p{L}\p{M}\p{N}_.\-]{1,40}"
 #: Opening and closing markers around a name. Fixed values.
-MARKERS = [(r"\{\{\s*#?", r"\s*\}\}"), (r"[$#]\{\s*", r"\s*\}"), (r"<%=?\s*", r"\s*%>"), (r"\[\[\s*", r"\s*\]\]"), (r"<<\s*", r"\s*>>"), (r"\*\|\s*", r"\s*\|\*"), (r"\{%\s*", r"\s*%\}"), (r"%\(", r"\)s"), (r"@@", r"@@"), (r"\[", r"\]"), (r"\{", r"\}"), (rf"<(?!(?i:{TAGS})>|(?i:{CONTROLS})\b)", r">")]
+MARKERS = [(r"%\(", r"\)s"), (r"\[\[\s*", r"\s*\]\]"), (r"<<\s*", r"\s*>>"), (r"@@", r"@@"), (r"\[", r"\]"), (r"\{", r"\}"), (rf"<(?!(?i:{TAGS})>|(?i:{CONTROLS})\b)", r">")]
+#: Markers that only templates have: anything but blanks may stand between them, as long as no other one opens.
+CLEAR = [(r"\{\{", r"\}\}"), (r"[$#]\{", r"\}"), (r"<%", r"%>"), (r"\{%", r"%\}"), (r"\*\|", r"\|\*")]
 #: The same around a single word.
 TIGHT = [(r"\$", r"\$"), (r"__", r"__"), (r"%", r"%")]
-PLACEHOLDER = regex.compile("|".join([o + NAME + c for o, c in MARKERS] + [o + WORD + c for o, c in TIGHT] + [r"\{\d{1,3}\}"]))
+PLACEHOLDER = regex.compile("|".join([rf"{o}\s*+(?!{c})(?:(?!{o}|{c}).)++{c}" for o, c in CLEAR] + [o + NAME + c for o, c in MARKERS] + [o + WORD + c for o, c in TIGHT] + [r"\{\d{1,3}\}"]))
 #: Names and single characters that brackets hold in natural texts, and code that a bracket is part of. Fixed values.
 CONTENT = regex.compile(r"(?:\[(?:\p{L}|[A-Z]{1,2}\d+)\]|\{(?:\p{L}|[A-Z]{1,2}\d+)\}|<\p{L}>|(?:\[|<|<<|\[\[|__)(?i:sic|mask|sep|cls|pad|unk|bos|eos|inst|sys|info|warn|warning|error|debug|trace|fatal|init|main|name|file)(?:\]|>|>>|\]\]|__))")
 IN_CODE = regex.compile(r"[\w)\]]$")
