@@ -201,8 +201,8 @@ def test_versions_in_time(spark):
 # --- 5 ---
 
 
-@pytest.mark.parametrize("ids_per_word", [24, 2000])
-def test_deduplicated(spark, ids_per_word):
+@pytest.mark.parametrize("sizes", [{}, {"rate": 0.3}, {"most_words": 0}])
+def test_deduplicated(spark, sizes):
     r = random.Random(5)
     data = [(f"id{r.randrange(900)}" if r.random() < 0.97 else None, r.choice([1, 2, 3, None]), r.choice([*range(50), None]), f"p{r.randrange(9)}") for _ in range(1500)] + [("hot", 1, 1, "x")] * 800
     df = spark.createDataFrame(data, "id string, ev bigint, ar bigint, _maybe_not string")
@@ -214,9 +214,9 @@ def test_deduplicated(spark, ids_per_word):
             k = (ev is None, ev or 0, ar is None, ar or 0, p)
             best[i] = min(best.get(i, (k, None))[0], k), None
             count[i] = count.get(i, 0) + 1
-    got = rows(bloom_dedup.deduplicated(df, "id", bucket, F.col("ev"), F.col("ar"), ids_per_word=ids_per_word))
+    got = rows(bloom_dedup.deduplicated(df, "id", bucket, F.col("ev"), F.col("ar"), **sizes))
     assert [(g[0], g[3]) for g in got] == sorted(((i, b[0][4]) for i, b in best.items()), key=repr)
-    again = rows(bloom_dedup.repeated(df, "id", bucket, F.col("ev"), F.col("ar"), ["ar"], ids_per_word=ids_per_word).select("id", "copies"))
+    again = rows(bloom_dedup.repeated(df, "id", bucket, F.col("ev"), F.col("ar"), ["ar"], **sizes).select("id", "copies"))
     assert again == sorted(((i, n) for i, n in count.items() if n > 1), key=repr)
 
 
@@ -225,13 +225,46 @@ def test_no_events(spark):
     assert rows(bloom_dedup.deduplicated(df, "id", F.lit(1), F.col("ev"), F.col("ar"))) == []
 
 
-def test_seen_store(spark, tmp_path):
-    store = bloom_dedup.SeenStore(spark, f"file://{tmp_path}/seen", words=64)
+@pytest.mark.parametrize("shards", [1, 8])
+def test_seen_store(spark, tmp_path, shards):
+    """Opened anew for each batch; only the first batch's identifiers have a null bucket."""
     got = []
-    for ids in (["a", "b", "b", None], ["b", "c"], ["a", "c", "d", "d"]):
-        df = spark.createDataFrame([(x, i) for i, x in enumerate(ids)], "id string, at int")
-        got.append(sorted(r["id"] for r in store.ingest(df, "id", F.col("at") % 2, F.col("at")).collect()))
-    assert got == [["a", "b"], ["c"], ["d"]]
+    for i, ids in enumerate((["a", "b", "b", None], ["b", "c"], ["a", "c", "d", "d"], [])):
+        store = bloom_dedup.SeenStore(spark, f"file://{tmp_path}/seen", shards=shards)
+        df = spark.createDataFrame([(x, j) for j, x in enumerate(ids)], "id string, at int")
+        got.append(sorted(r["id"] for r in store.ingest(df, "id", F.when(F.lit(i > 0), F.col("at") % 2), F.col("at")).collect()))
+    assert got == [["a", "b"], ["c"], ["d"], []]
+    assert [b["rows"] for b in store.batches()] == [2, 1, 1, 0]
+
+
+def test_seen_store_ignores_what_was_not_committed(spark, tmp_path):
+    at = f"file://{tmp_path}/seen"
+    df = spark.createDataFrame([("a", 1)], "id string, at int")
+    bloom_dedup.SeenStore(spark, at).ingest(df, "id", F.col("at"), F.col("at"))
+    (tmp_path / "seen" / "commits" / "000000.json").unlink()
+    assert bloom_dedup.SeenStore(spark, at).ingest(df, "id", F.col("at"), F.col("at")).count() == 1
+    assert bloom_dedup.SeenStore(spark, at).ingest(df, "id", F.col("at"), F.col("at")).count() == 0
+
+
+@pytest.mark.parametrize("scale", [10, 100])
+def test_false_alarms_stay_rare(spark, scale):
+    """With 10 and 100 times as many repeats the filters grow, so that single identifiers stay out of the exact check."""
+    ids = spark.range(40_000 + 1_500 * scale).select(F.col("id"), F.when(F.col("id") < 40_000, 1).otherwise(2).alias("n"))
+    df = ids.select(F.concat(F.lit("e"), "id").alias("id"), (F.col("id") < 40_000).alias("single"), F.explode(F.sequence(F.lit(1), "n")).alias("k"))
+    df = df.withColumn("bucket", F.when(F.col("k") == 1, F.pmod(F.xxhash64("id"), F.lit(13))).otherwise(F.lit(3)))
+    got = bloom_dedup.screened(df, "id", F.col("bucket")).groupBy("single").agg(F.avg(F.col("_maybe").cast("int")).alias("share")).collect()
+    share = {r["single"]: r["share"] for r in got}
+    assert share[False] == 1.0 and share[True] < 0.02
+
+
+def test_rate_of_filters():
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    ids = r.integers(0, 2**40, 50_000).astype(np.uint64)
+    words = bloom_dedup.build(np.unique(ids), 0.01)
+    assert bloom_dedup.known(words, bloom_dedup._places(ids)).all()
+    assert bloom_dedup.known(words, bloom_dedup._places(r.integers(0, 2**40, 200_000).astype(np.uint64))).mean() < 0.013
 
 
 def test_kept_copy_of_unreadable_times(spark):

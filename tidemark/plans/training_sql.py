@@ -62,6 +62,9 @@ P5 = f"""WITH {_kept(ties="arrival_ts")} SELECT event_id, arrival_ts FROM kept W
 COLUMNS = ["event_type", "event_ts", "arrival_ts", "order_id", "customer_id", "sku", "qty", "new_qty", "unit_price_cents", "currency", "return_id", "reason", "segment", "country", "boundary", "_rescued_data", "ingest_file"]
 P5_ROWS = f"""WITH {_kept(", ".join(f"{c} ASC NULLS LAST" for c in COLUMNS))} SELECT event_id, {", ".join(COLUMNS)} FROM kept"""
 
+P5_BATCHES = f"""WITH d AS (SELECT event_id, strftime({_ts("arrival_ts")} AT TIME ZONE 'UTC', '%Y-%m') m FROM bronze_events WHERE event_id IS NOT NULL)
+SELECT event_id, CAST(min(CASE WHEN m >= '2026-07' THEN 2 WHEN m >= '2026-04' THEN 1 ELSE 0 END) AS INTEGER) AS delivery FROM d GROUP BY 1"""
+
 KNOWN = f"""{_kept(ties="customer_id")},
 sales AS (SELECT event_id, customer_id, ev FROM kept WHERE event_type = 'order_placed' AND ev IS NOT NULL AND customer_id IS NOT NULL),
 u AS (SELECT customer_id, event_id update_event_id, {_ts("valid_from")} vf, min({_ts("arrival_ts")}) fa, any_value(segment) segment, any_value(country) country FROM customer_updates WHERE customer_id IS NOT NULL GROUP BY 1, 2, 3),
@@ -80,6 +83,7 @@ SQL = {
     "p4_serving": P4_SERVING,
     "p5_found": P5,
     "p5_rows": P5_ROWS,
+    "p5_batches": P5_BATCHES,
     "p6_found": P6,
     "p6_attributes": P6_ATTRIBUTES,
 }
