@@ -133,21 +133,24 @@ def test_history_of_nothing(spark):
     assert rows(got) == []
 
 
-def test_satellite_by_batches(spark):
-    """Loads batch by batch, late corrections included, end at the same history as one load."""
-    u = [x for x in _updates(9, 90, ["a", "b"]) if x[0] is not None and x[1] is not None]
-    stored, seen = None, []
-    for i in range(3):
-        batch = u[i::3]
-        seen += batch
-        log = satellites.standing_updates(spark.createDataFrame(seen, DDL2), "customer_id", F.col("at"), F.col("event_id"), ["segment"])
-        new = satellites.append_batch(stored, log, spark.createDataFrame(batch, DDL2), "customer_id", ["segment"]).withColumn("load", F.lit(i))
-        new = spark.createDataFrame(new.collect(), new.schema)
-        stored = new if stored is None else stored.unionByName(new)
-    got = satellites.current_rows(stored, "customer_id", ["segment"], "load")
-    want = [(c, at, s) for c, at, _, s, _ in history([(c, at, e, s, None) for c, at, e, s, _ in u])]
-    # A tie of versions is decided by values; both sides use the same log.
-    assert rows(got.select("customer_id", "at_us", "segment")) == sorted(want, key=repr)
+UNDONE = [[("c", 1, "e1", "A", None), ("c", 2, "e2", "B", None)], [("c", 2, "e3", "A", None)]]
+RESTORED = [[("c", 1, "e1", "A", None), ("c", 2, "e2", "B", "x")], [("c", 2, "e3", "C", "x")], [("c", 2, "e4", "B", "x"), (None, 1, "e0", "B", None)], []]
+
+
+@pytest.mark.parametrize("batches", [UNDONE, RESTORED, 1, 2, 3])
+def test_satellites_by_batches(spark, tmp_path, batches):
+    """Loads batch by batch end at the history of one load: corrections that undo or restore a value, random batching."""
+    if isinstance(batches, int):
+        r = random.Random(batches)
+        u = [(c, at, f"{e}-{i}", s, k) for i, (c, at, e, s, k) in enumerate(_updates(9 + batches, 90, ["a", "b"]))]
+        cuts = sorted(r.sample(range(91), 3))
+        batches = [u[a:b] for a, b in zip([0, *cuts], [*cuts, 90], strict=True)]
+    for b in batches:
+        store = satellites.SatelliteStore(spark, f"file://{tmp_path}/sat", "customer_id", [["segment"], ["country"]], chunk_rows=10)
+        store.load(spark.createDataFrame(b, DDL2), F.col("at"), F.col("event_id"))
+    whole = satellites.build_history(spark.createDataFrame([x for b in batches for x in b], DDL2), "customer_id", F.col("at"), F.col("event_id"), ["segment", "country"])
+    columns = ["customer_id", "at_us", "end_us", "segment", "country"]
+    assert rows(store.history().select(columns)) == rows(whole.select(columns))
 
 
 # --- 3 ---

@@ -7,11 +7,14 @@ a correction is a further row, and end dates exist in the view alone, as the beg
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import commits
 from tidemark.functions.hashing import row_hash
 from tidemark.operators.timeline import CHUNK_ROWS, Chunks, following, last_known, previous
 from tidemark.session import cut
@@ -83,21 +86,71 @@ def build_history(updates: DataFrame, key: str, moment_us: Column, version: Colu
     return history_view([(satellite(standing, key, g, chunks), g) for g in groups], key, chunk_rows, chunks)
 
 
-def append_batch(stored: DataFrame | None, log: DataFrame, batch_keys: DataFrame, key: str, attributes: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Rows to append to a stored satellite after a batch of updates, late corrections included.
+def append_batch(stored: DataFrame | None, log: DataFrame, batch_keys: DataFrame, key: str, attributes: list[str], load: str = "load", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(key, at_us, hash_diff, attributes..., gone): rows to append to a stored satellite after a batch of updates.
 
     log holds the standing updates of all batches so far, batch_keys the keys of the new batch. Only these keys are
-    derived anew; what the satellite has already is not written again. Nothing is deleted: a stored row that a later
-    one at the same instant replaces, or that a late row made superfluous, is left to current_rows().
+    derived anew and held against the rows that currently stand for them, the last load of each instant. A row is
+    appended for each instant whose row changes; where a correction made an instant's row superfluous, one that is
+    gone, with null attributes. Nothing is changed or deleted.
     """
-    touched = log.join(batch_keys.select(key).distinct(), key, "left_semi")
+    touched = log.join(batch_keys.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
     chunks = Chunks.of(touched, key, "at_us", chunk_rows)
     wanted = satellite(touched, key, attributes, chunks)
-    return wanted if stored is None else wanted.join(stored.select(key, "at_us", "hash_diff"), [key, "at_us", "hash_diff"], "left_anti")
+    if stored is None:
+        return wanted.withColumn("gone", F.lit(False))
+    standing = current_rows(stored.join(batch_keys.select(key).distinct(), key, "left_semi"), key, attributes, load)
+    old = standing.select(key, "at_us", F.col("hash_diff").alias("_old"))
+    both = wanted.withColumn("gone", F.lit(False)).join(old, [key, "at_us"], "full")
+    changed = both.where(~F.col("_old").eqNullSafe(F.col("hash_diff")))
+    return changed.select(key, "at_us", F.coalesce("hash_diff", F.lit(0).cast("bigint")).alias("hash_diff"), *attributes, F.coalesce("gone", F.lit(True)).alias("gone"))
 
 
-def current_rows(stored: DataFrame, key: str, attributes: list[str], load: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """View of an insert-only satellite: the last load of each instant counts, then rows that change nothing are skipped."""
-    latest = stored.groupBy(key, "at_us").agg(F.max_by(F.struct("hash_diff", *attributes), load).alias("_v")).select(key, "at_us", "_v.*")
-    chunks = Chunks.of(latest, key, "at_us", chunk_rows)
-    return satellite(latest, key, attributes, chunks)
+def current_rows(stored: DataFrame, key: str, attributes: list[str], load: str = "load") -> DataFrame:
+    """View of an insert-only satellite, (key, at_us, hash_diff, attributes...): the last load of each instant, less those gone."""
+    last = stored.groupBy(key, "at_us").agg(F.max_by(F.struct("hash_diff", *attributes, "gone"), load).alias("_v")).select(key, "at_us", "_v.*")
+    return last.where(~F.col("gone")).drop("gone")
+
+
+class SatelliteStore:
+    """Insert-only satellites in a folder, a load after the other: log/<load>/ holds the updates as they came, sat<i>/
+    <load>/ the rows appended to each satellite, commits/<load>.json what a load consists of. What no commit names
+    doesn't exist; of two writers of one load one gets FileExistsError.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, groups: list[list[str]], chunk_rows: int = CHUNK_ROWS):
+        self.spark, self.path, self.key, self.groups, self.chunk_rows = spark, path.rstrip("/"), key, groups, chunk_rows
+
+    def loads(self) -> list[str]:
+        """Folders of the committed loads, in order."""
+        return [json.loads(commits.read_text(self.spark, f"{self.path}/commits/{n}"))["folder"] for n in commits.names(self.spark, f"{self.path}/commits")]
+
+    def _read(self, what: str, folders: list[str]) -> DataFrame | None:
+        # The number of the load is the begin of its folder's name; it comes from the path.
+        if not folders:
+            return None
+        df = self.spark.read.parquet(*[f"{self.path}/{what}/{f}" for f in folders])
+        return df.withColumn("load", F.regexp_extract(F.col("_metadata.file_path"), rf"/{what}/(\d{{6}})-", 1).cast("int"))
+
+    def load(self, updates: DataFrame, moment_us: Column, version: Column) -> None:
+        """Takes in a batch of updates, late corrections included. An empty batch makes an empty load."""
+        attributes = [c for g in self.groups for c in g]
+        done = self.loads()
+        folder = f"{len(done):06d}-{uuid.uuid4().hex}"
+        slim = updates.select(F.col(self.key), moment_us.alias("at_us"), version.alias("version"), *attributes).where(F.col(self.key).isNotNull() & F.col("at_us").isNotNull())
+        slim.write.parquet(f"{self.path}/log/{folder}")
+        new = self._read("log", [folder])
+        keys = cut(new.select(self.key).distinct())
+        touched = self._read("log", [*done, folder]).join(keys, self.key, "left_semi")
+        standing = cut(standing_updates(touched, self.key, F.col("at_us"), F.col("version"), attributes))
+        for i, g in enumerate(self.groups):
+            append_batch(self._read(f"sat{i}", done), standing, keys, self.key, g, chunk_rows=self.chunk_rows).write.parquet(f"{self.path}/sat{i}/{folder}")
+        commits.publish(self.spark, f"{self.path}/commits/{len(done):06d}.json", json.dumps({"folder": folder}).encode())
+
+    def history(self) -> DataFrame:
+        """(key, at_us, end_us, attributes...) of all loads so far, end dates computed in the view."""
+        done = self.loads()
+        if not done:
+            raise LookupError(f"no load in {self.path}")
+        parts = [(current_rows(self._read(f"sat{i}", done), self.key, g), g) for i, g in enumerate(self.groups)]
+        return history_view(parts, self.key, self.chunk_rows)

@@ -40,10 +40,28 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = _history(spark, sf_dir)
+    return _versions_of(_history(spark, sf_dir))
+
+
+def _versions_of(h: DataFrame) -> DataFrame:
     return h.select("customer_id", utc_text(F.col("at_us")).alias("valid_from"), F.coalesce(utc_text(F.col("end_us")), F.lit("")).alias("valid_to"), F.coalesce("segment", F.lit("")).alias("segment"))
 
 
+#: Numbers of the batches at which a further load begins.
+LOADS = (14, 27, 40)
+
+
+def p2_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history after loading the updates by batch_no, late corrections included: equal to p2_found."""
+    updates = table(spark, sf_dir, "customer_updates")
+    no = sum((F.coalesce("batch_no", F.lit(0)) >= b).cast("int") for b in LOADS)
+    at = scratch(spark, "satellites")
+    for i in range(len(LOADS) + 1):
+        store = satellites.SatelliteStore(spark, at, "customer_id", [["segment"], ["country"]])
+        store.load(updates.where(no == i), instant_us(F.col("valid_from")), F.col("event_id"))
+    return _versions_of(store.history())
+
+
 # --- 3 ---
 
 
@@ -177,5 +195,5 @@ def p7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p3_found, p3_rows, p4_found, p4_versions, p4_serving, p5_found, p5_rows, p5_batches, p6_found, p6_attributes, p7_found, p7_quarantine, p7_records)
+    f.__name__: f for f in (p1_found, p2_found, p2_batches, p3_found, p3_rows, p4_found, p4_versions, p4_serving, p5_found, p5_rows, p5_batches, p6_found, p6_attributes, p7_found, p7_quarantine, p7_records)
 }

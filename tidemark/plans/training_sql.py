@@ -76,6 +76,7 @@ P6_ATTRIBUTES = f"WITH {KNOWN} SELECT event_id, customer_id, b.id AS known_updat
 SQL = {
     "p1_found": P1,
     "p2_found": P2,
+    "p2_batches": P2,
     "p3_found": P3,
     "p3_rows": P3_ROWS,
     "p4_found": P4,
