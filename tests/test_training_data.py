@@ -190,15 +190,63 @@ def test_uncommitted_is_invisible(spark, tmp_path):
 # --- 4 ---
 
 
-def test_versions_in_time(spark):
-    calendar = spark.createDataFrame([("m", 0, 10), ("m", 1, 20), ("n", 0, 10)], "p string, v int, s bigint").select("p", "v", F.timestamp_seconds("s").alias("at"))
+def _calendar(spark):
+    return spark.createDataFrame([("m", 0, 10), ("m", 1, 20), ("n", 0, 10)], "p string, v int, s bigint").select("p", "v", F.timestamp_seconds("s").alias("at"))
+
+
+LAYERS = {"period": "p", "arrival_us": "us", "version": "v", "closed_at": "at"}
+
+
+@pytest.mark.parametrize("small", [100, 0])
+def test_versions_in_time(spark, small):
     log = spark.createDataFrame([("a", "m", 10_000_000), ("b", "m", 10_000_001), ("c", "m", 30_000_000), ("d", "n", 11_000_000), ("e", "none", 1)], "id string, p string, us bigint")
-    got = lambda_views.first_version_in_time(log, calendar, period="p", arrival_us="us", version="v", closed_at="at")
+    got = lambda_views.first_version_in_time(log, _calendar(spark), **LAYERS, small=small)
     assert rows(got.select("id", "first_version", "late")) == [("a", 0, False), ("b", 1, True), ("c", -1, True), ("d", -1, True)]
-    deltas = lambda_views.increments(got, "p", {"n": F.count("*")})
-    assert rows(lambda_views.batch_view(deltas, calendar, period="p", version="v", figures=["n"])) == [("m", 0, 1), ("m", 1, 2), ("n", 0, 0)]
-    served = lambda_views.layers_at(got, calendar, period="p", arrival_us="us", version="v", closed_at="at", figures={"n": F.count("*")}, last_batch_us=15_000_000, now_us=40_000_000)
-    assert rows(served.select("p", "n", "status")) == [("m", 3, "provisional")]
+
+
+def _log(spark, data):
+    return lambda_views.first_version_in_time(spark.createDataFrame(data, "id string, p string, us bigint, qty bigint"), _calendar(spark), **LAYERS)
+
+
+def test_layers(spark, tmp_path):
+    """Any schedule ends at the same views; a wrong increment lasts until the next batch; frozen figures never change."""
+    r = random.Random(4)
+    data = [(f"e{i}", r.choice("mmmn"), r.randrange(1, 40) * 1_000_000, r.choice([None, 1, 2, 3])) for i in range(80)]
+    log, ends = _log(spark, data), []
+    figures = {"n": F.count("*"), "q": F.coalesce(F.sum("qty"), F.lit(0))}
+    for k, batches in enumerate([[20], [5, 12, 20], [10, 30]]):
+        store = lambda_views.LambdaStore(spark, f"file://{tmp_path}/s{k}", _calendar(spark), key="id", figures=figures, **LAYERS)
+        for t in batches:
+            store.batch(log, t * 1_000_000)
+        store.increment(log, lambda_views.ALWAYS)
+        ends.append((rows(store.versions()), rows(store.late()), rows(store.serve())))
+    assert ends[0] == ends[1] == ends[2]
+    at = {("m", 0): 10, ("m", 1): 20, ("n", 0): 10}
+    arrived = lambda p, s: [q or 0 for _, x, us, q in data if x == p and us <= s * 1_000_000]
+    assert ends[0][0] == sorted((p, v, len(arrived(p, s)), sum(arrived(p, s))) for (p, v), s in at.items())
+    late = [(i, p, next((v for v in (0, 1) if (p, v) in at and us <= at[p, v] * 1_000_000), -1)) for i, p, us, _ in data]
+    assert ends[0][1] == sorted(x for x in late if x[2])
+
+    store = lambda_views.LambdaStore(spark, f"file://{tmp_path}/wrong", _calendar(spark), key="id", figures=figures, **LAYERS)
+    store.increment(log.unionByName(log), 8_000_000)  # the fast layer counts everything twice
+    assert rows(store.serve().where("p = 'm'").select("n")) == [(2 * len(arrived("m", 8)),)]
+    store.batch(log, 8_000_000)
+    assert rows(store.serve().where("p = 'm'").select("n", "status")) == [(len(arrived("m", 8)), "provisional")]
+    for t in (10, 20, 25):
+        store.batch(log, t * 1_000_000)
+    store.increment(log, lambda_views.ALWAYS)
+    assert (rows(store.versions()), rows(store.late()), rows(store.serve())) == ends[0]
+    (tmp_path / "s0" / "commits" / "000002.json").unlink()  # the last increment broke off before it was published
+    again = lambda_views.LambdaStore(spark, f"file://{tmp_path}/s0", _calendar(spark), key="id", figures=figures, **LAYERS)
+    again.increment(log, lambda_views.ALWAYS)
+    assert rows(again.late()) == ends[0][1]
+
+
+def test_layers_of_nothing(spark, tmp_path):
+    store = lambda_views.LambdaStore(spark, f"file://{tmp_path}/s", _calendar(spark), key="id", figures={"n": F.count("*")}, **LAYERS)
+    assert rows(store.versions()) == rows(store.late()) == rows(store.serve()) == []
+    store.batch(_log(spark, []), 50_000_000)
+    assert rows(store.versions()) == [("m", 0, 0), ("m", 1, 0), ("n", 0, 0)] and rows(store.late()) == []
 
 
 # --- 5 ---

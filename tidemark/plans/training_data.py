@@ -91,30 +91,50 @@ def _versioned_sales(spark: SparkSession, sf_dir: str, columns: list[str]) -> Da
     return lambda_views.first_version_in_time(log, table(spark, sf_dir, "close_calendar"), period="accounting_month", arrival_us="arrival_us", version="close_version", closed_at="closed_at")
 
 
-def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _versioned_sales(spark, sf_dir, []).where("late").select("event_id", "accounting_month", F.col("first_version").alias("close_version"))
-
-
 FIGURES: dict[str, Callable[[], Column]] = {
     "sale_count": lambda: F.count("*"),
     "unit_count": lambda: F.coalesce(F.sum("qty"), F.lit(0)),
 }
 
 
-def p4_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly figures of each close version, as corrected by what had arrived by then."""
+def _layers(spark: SparkSession, sf_dir: str) -> tuple[lambda_views.LambdaStore, DataFrame, DataFrame]:
+    """An empty store, the log of kept sales with their versions, written once as all runs read it, and the calendar."""
+    calendar, at = table(spark, sf_dir, "close_calendar"), scratch(spark, "layers")
     log = _versioned_sales(spark, sf_dir, ["qty"]).withColumn("qty", F.when(F.col("qty").between(1, 10_000), F.col("qty")))
-    deltas = lambda_views.increments(log, "accounting_month", {n: f() for n, f in FIGURES.items()})
-    return lambda_views.batch_view(deltas, table(spark, sf_dir, "close_calendar"), period="accounting_month", version="close_version", figures=list(FIGURES))
+    log.select("event_id", "accounting_month", "arrival_us", "qty", "first_version", "late", "cut_us").write.parquet(f"{at}/log")
+    store = lambda_views.LambdaStore(
+        spark, f"{at}/store", calendar, key="event_id", period="accounting_month", arrival_us="arrival_us", version="close_version", closed_at="closed_at", figures={n: f() for n, f in FIGURES.items()}
+    )
+    return store, spark.read.parquet(f"{at}/log"), calendar
+
+
+def _run_to_the_end(spark: SparkSession, sf_dir: str) -> lambda_views.LambdaStore:
+    """Batches a third and two thirds through the closes and at the last one, the fast layer in between and afterwards."""
+    store, log, calendar = _layers(spark, sf_dir)
+    at = calendar.agg(F.percentile(F.unix_micros(F.col("closed_at").cast("timestamp")), [1 / 3, 2 / 3, 1.0]).alias("at")).first()["at"]
+    for t in at or []:
+        store.batch(log, int(t))
+    store.increment(log, lambda_views.ALWAYS)
+    return store
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the layers recorded of the sales that missed version 0."""
+    late = _run_to_the_end(spark, sf_dir).late()
+    return late.select("event_id", "accounting_month", F.col("first_version").alias("close_version"))
+
+
+def p4_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly figures of each close version, as corrected by what had arrived by then: the view of the last batch."""
+    return _run_to_the_end(spark, sf_dir).versions()
 
 
 def p4_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The serving view on 2026-08-20T00:00Z, the last batch having run on 2026-08-15T00:00Z."""
-    log = _versioned_sales(spark, sf_dir, ["qty"]).withColumn("qty", F.when(F.col("qty").between(1, 10_000), F.col("qty")))
-    return lambda_views.layers_at(
-        log, table(spark, sf_dir, "close_calendar"), period="accounting_month", arrival_us="arrival_us", version="close_version", closed_at="closed_at",
-        figures={n: f() for n, f in FIGURES.items()}, last_batch_us=1_786_752_000_000_000, now_us=1_787_184_000_000_000,
-    )
+    store, log, _ = _layers(spark, sf_dir)
+    store.batch(log, 1_786_752_000_000_000)
+    store.increment(log, 1_787_184_000_000_000)
+    return store.serve()
 
 
 # --- 5 ---
