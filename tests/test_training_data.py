@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import instant_us, plain_month
 from tidemark.operators import asof, bloom_dedup, compaction, lambda_views, reconcile, satellites
 from tidemark.operators.kept import copy_rank, kept_copies
-from tidemark.operators.timeline import Chunks
+from tidemark.operators.timeline import Chunks, running_sum
 from tidemark.sources import grammar, landing
 
 
@@ -344,12 +344,22 @@ def test_as_known(spark, chunk_rows):
             want.append((e, m[1], m[4]))
     up = spark.createDataFrame(updates, "c string, valid bigint, arr bigint, u string, seg string")
     known = asof.first_arrivals(up, "c", F.col("valid"), F.col("arr"), "u", ["seg"]).withColumn("uid", F.col("u"))
-    h = asof.attribute_histories(known, "c", "u", ["uid", "seg"], chunk_rows)
     ev = spark.createDataFrame(events, "e string, c string, t bigint, at_us_too int")
-    chunks = Chunks.of(ev.select("c", F.col("t").alias("at_us")), "c", "at_us", chunk_rows)
-    got = asof.as_known_at(ev, "c", "t", ["e"], h, chunks)
-    assert rows(got.where("matched").select("e", "known_uid", "known_seg")) == sorted(want, key=repr)
-    assert got.count() == len(events)
+    chunks = asof.timeline_chunks(ev, up, "c", "e", F.col("t"), F.greatest("valid", "arr"), chunk_rows)
+    assert (chunks.cuts is None) == (chunk_rows > 1000)
+    h = {a: asof.attribute_history(known, "c", "u", a, chunks) for a in ("uid", "seg")}
+    got = asof.as_known_at(ev, "c", "e", "t", h, chunks)
+    assert rows(got.select("e", "known_uid", "known_seg")) == sorted(want, key=repr)
+
+
+def test_chunks_of_one_instant(spark):
+    """A key whose rows share one instant is cut by the tie, and every key by as many cuts as its rows ask for."""
+    df = spark.range(6_000).select(F.lit("hot").alias("k"), F.lit(7).cast("bigint").alias("at_us"), F.format_string("e%05d", "id").alias("tie"), F.lit(1).cast("bigint").alias("v"))
+    chunks = Chunks.of(df, "k", "at_us", 4, F.col("tie"))
+    sizes = chunks.add(df).groupBy("_chunk").count()
+    assert sizes.count() > 1_024 and sizes.agg(F.max("count")).first()[0] <= 8
+    total = running_sum(chunks.add(df), chunks, "v", [F.col("at_us"), F.col("tie")], "n")
+    assert total.where(F.col("n") != F.substring("tie", 2, 5).cast("int") + 1).count() == 0
 
 
 # --- 7 ---

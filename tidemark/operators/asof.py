@@ -3,8 +3,8 @@
 An update is known from the later of its valid_from and its first arrival. Going through a customer's updates by that
 instant, the one that stands is the one with the greatest (valid_from, version) so far; so "latest valid_from among
 what was known" is a running maximum, and each attribute gets its own history (known_from, value) with a row only where
-the value that stands changes. Events are matched with the last known row of each history separately, in one pass over
-the timeline, and the matched values are pivoted back to one column per attribute.
+the value that stands changes. Events are matched with each history on its own, by the last row known, and the matched
+values are pivoted back to one row per event.
 """
 
 from __future__ import annotations
@@ -25,38 +25,55 @@ def first_arrivals(updates: DataFrame, key: str, valid_us: Column, arrival_us: C
     return once.withColumn("known_us", F.greatest("valid_us", "_arrival")).drop("_arrival")
 
 
-def attribute_histories(known: DataFrame, key: str, version: str, attributes: list[str], chunk_rows: int = CHUNK_ROWS) -> list[tuple[str, DataFrame]]:
-    """For each attribute its own history (key, known_us, value), value being a struct (null is a value)."""
-    rows = known.select(key, "known_us", F.struct("valid_us", F.col(version).isNotNull(), F.col(version).alias("_version"), *[F.struct(F.col(c).isNotNull(), F.col(c)).alias(f"a_{c}") for c in attributes]).alias("_update"))
+def attribute_history(known: DataFrame, key: str, version: str, attribute: str, chunks: Chunks) -> DataFrame:
+    """(key, at_us, value): the history of one attribute by the instant from which it was known; value is a struct, as
+    null is a value. A row stands only where the value changes.
+
+    chunks must be cut over a column named at_us. Of updates with equal valid_us and version the greatest value counts.
+    """
+    rank = F.struct("valid_us", F.col(version).isNotNull(), F.col(version).alias("_version"), F.col(attribute).isNotNull(), F.col(attribute).alias("_value"))
+    rows = known.select(key, F.col("known_us").alias("at_us"), F.lit(0).alias("_kind"), F.lit(None).cast("string").alias("_event"), rank.alias("_update"))
+    rows = chunks.add(rows).repartition(key, "_chunk")
     # Updates known at one instant act together: the greatest of them.
-    rows = rows.groupBy(key, "known_us").agg(F.max("_update").alias("_update"))
-    chunks = Chunks.of(known, key, "known_us", chunk_rows)
-    standing = running_extreme(chunks.add(rows), chunks, "_update", [F.col("known_us")], "_standing")
-    out = []
-    for c in attributes:
-        value = F.struct(F.col(f"_standing.a_{c}.{c}").alias("value"))
-        h = previous(standing.select(key, "known_us", "_chunk", value.alias("value")), chunks, F.col("value"), "_before")
-        out.append((c, h.where(F.col("_before").isNull() | ~F.col("_before.value").eqNullSafe(F.col("value.value"))).select(key, "known_us", "value")))
-    return out
+    rows = rows.groupBy(key, "_chunk", "at_us").agg(F.max("_update").alias("_update"))
+    standing = running_extreme(rows, chunks, "_update", [F.col("at_us")], "_standing")
+    h = previous(standing.select(key, "at_us", "_chunk", F.struct(F.col("_standing._value").alias("value")).alias("value")), chunks, F.col("value"), "_before")
+    return h.where(F.col("_before").isNull() | ~F.col("_before.value").eqNullSafe(F.col("value.value"))).select(key, "at_us", "value")
+
+
+def matched(events: DataFrame, key: str, event: str, at_us: str, history: DataFrame, chunks: Chunks) -> DataFrame:
+    """(key, event, value) of the events for which a row of the history was known: the last one at or before the event.
+
+    A history that changes at the very instant of an event counts for it. event is a text that tells events apart.
+    """
+    kind = history.schema["value"].dataType
+    left = events.select(key, F.col(at_us).alias("at_us"), F.lit(1).alias("_kind"), F.col(event).alias("_event"), F.lit(None).cast(kind).alias("value"))
+    right = history.select(key, "at_us", F.lit(0).alias("_kind"), F.lit(None).cast("string").alias("_event"), "value")
+    filled = last_known(chunks.add(left.unionByName(right)), chunks, ["value"], [F.col("at_us"), F.col("_kind"), F.col("_event")])
+    return filled.where((F.col("_kind") == 1) & F.col("value").isNotNull()).select(key, F.col("_event").alias(event), "value")
+
+
+def _tie() -> Column:
+    """Orders a timeline's rows of one instant: histories before events, then events by their text."""
+    return F.concat(F.col("_kind").cast("string"), F.coalesce("_event", F.lit("")))
+
+
+def timeline_chunks(events: DataFrame, updates: DataFrame, key: str, event: str, event_us: Column, known_us: Column, chunk_rows: int = CHUNK_ROWS) -> Chunks:
+    """Chunks for matching: events and updates of a key count together."""
+    left = events.select(key, event_us.alias("at_us"), F.lit(1).alias("_kind"), F.col(event).alias("_event"))
+    right = updates.select(key, known_us.alias("at_us"), F.lit(0).alias("_kind"), F.lit(None).cast("string").alias("_event"))
+    return Chunks.of(left.unionByName(right), key, "at_us", chunk_rows, _tie())
 
 
-def as_known_at(events: DataFrame, key: str, at_us: str, payload: list[str], histories: list[tuple[str, DataFrame]], chunks: Chunks) -> DataFrame:
-    """(key, at_us, payload..., known_<attribute>..., matched) of all events; matched: whether anything was known.
+def as_known_at(events: DataFrame, key: str, event: str, at_us: str, histories: dict[str, DataFrame], chunks: Chunks) -> DataFrame:
+    """(key, event, known_<attribute>...) of the events that anything was known for: one match per history, pivoted by event.
 
-    chunks must be cut over a column named at_us. Histories that change at the very instant of an event count for it.
+    event tells events apart. Each history is matched on its own, so histories may change asynchronously.
     """
-    types = {name: h.schema["value"].dataType for name, h in histories}
-    blank = {f"_h_{n}": F.lit(None).cast(t) for n, t in types.items()}
-    timeline = events.select(key, F.col(at_us).alias("at_us"), F.lit(1).alias("_kind"), F.struct(*payload).alias("_payload")).withColumns(blank)
-    payload_type = timeline.schema["_payload"].dataType
-    for name, h in histories:
-        values = {**blank, f"_h_{name}": F.col("value")}
-        timeline = timeline.unionByName(h.select(key, F.col("known_us").alias("at_us"), F.lit(0).alias("_kind"), F.lit(None).cast(payload_type).alias("_payload"), *[c.alias(n) for n, c in values.items()]))
-    filled = last_known(chunks.add(timeline), chunks, list(blank), [F.col("at_us"), F.col("_kind")])
-    return filled.where(F.col("_kind") == 1).select(
-        key,
-        "at_us",
-        *[F.col(f"_payload.{c}").alias(c) for c in payload],
-        *[F.col(f"_h_{n}.value").alias(f"known_{n}") for n in types],
-        F.col(next(iter(blank))).isNotNull().alias("matched"),
-    )
+    types = {n: h.schema["value"].dataType for n, h in histories.items()}
+    long = None
+    for name, h in histories.items():
+        got = matched(events, key, event, at_us, h, chunks)
+        part = got.select(key, event, *[(F.col("value") if n == name else F.lit(None).cast(t)).alias(n) for n, t in types.items()])
+        long = part if long is None else long.unionByName(part)
+    return long.groupBy(key, event).agg(*[F.max(F.col(n)).alias(n) for n in types]).select(key, event, *[F.col(f"{n}.value").alias(f"known_{n}") for n in types])

@@ -25,11 +25,11 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[Column], columns: l
 def running_total(df: DataFrame, keys: list[str], at_us: str, tie: str, amount: Column, counts: Column, name: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """df with the sum of the amounts that count, from the key's first row to this one, by (at_us, tie).
 
-    Rows that don't count add 0. at_us is BIGINT and not null. A key with very many rows is cut along its timeline;
+    Rows that don't count add 0. at_us is BIGINT and not null, tie a text. A key with very many rows is cut along its timeline;
     nulls in a key are a value.
     """
     one = df.withColumns({"_key": F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), "_amount": F.when(F.coalesce(counts, F.lit(False)), amount.cast("bigint")).otherwise(F.lit(0))})
-    chunks = Chunks.of(one, "_key", at_us, chunk_rows)
+    chunks = Chunks.of(one, "_key", at_us, chunk_rows, F.col(tie).cast("string"))
     return running_sum(chunks.add(one), chunks, "_amount", [F.col(at_us), F.col(tie)], name).drop("_key", "_amount", "_chunk")
 
 

@@ -1,63 +1,80 @@
 """Windows over the timeline of a key that hold when one key has a third of all rows.
 
 A window partitioned by a key puts all rows of that key into one task. Here the timelines of heavy keys are first cut
-into chunks at quantiles of their order column; windows run by (key, chunk), and what must pass from one chunk to the
-next (last known values, running maxima, the neighbouring row) is carried over by a table with one row per chunk.
+into chunks of like size; windows run by (key, chunk), and what must pass from one chunk to the next (last known
+values, running maxima, the neighbouring row) is carried over by a table with one row per chunk. A cut lies between
+two rows in the order of (order, tie), so rows of one instant are spread too where a tie tells them apart.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of one key that one task may sort.
 CHUNK_ROWS = 500_000
-#: Chunks of all heavy keys together: with more rows than CHUNK_ROWS * MOST_CHUNKS the chunks get larger instead. So
-#: the tables of cuts and of what is carried, which go to all tasks, have at most 2 * MOST_CHUNKS rows.
+#: Chunks of all heavy keys together: with more rows than CHUNK_ROWS * MOST_CHUNKS the chunks get larger instead, so
+#: that at 10^12 rows a task sorts 5 * 10^7 of them, with spilling. The tables of cuts and of what is carried, which go
+#: to all tasks, have at most 2 * MOST_CHUNKS rows.
 MOST_CHUNKS = 20_000
-#: Most chunks of one key.
-MOST_PARTS = 1_024
+#: Rows of a chunk that its cuts are chosen from, on the driver: at most PER_CHUNK * MOST_CHUNKS in all. Which ones
+#: they are changes the sizes of chunks, never a result.
+PER_CHUNK = 16
 
 
 class Chunks:
-    """Cuts of the heavy keys of a timeline. order is a BIGINT column (microseconds)."""
+    """Cuts of the heavy keys of a timeline. order is a BIGINT column (microseconds), tie a text expression or None.
+
+    The windows' order must begin with order and go on with what tie orders by; a null order comes first.
+    """
 
-    def __init__(self, key: str, order: str, cuts: DataFrame | None):
-        self.key, self.order, self.cuts = key, order, cuts
+    def __init__(self, key: str, order: str, cuts: DataFrame | None, tie: Column | None = None):
+        self.key, self.order, self.cuts, self.tie = key, order, cuts, F.lit("") if tie is None else tie
 
     @classmethod
-    def of(cls, df: DataFrame, key: str, order: str, chunk_rows: int = CHUNK_ROWS) -> Chunks:
+    def of(cls, df: DataFrame, key: str, order: str, chunk_rows: int = CHUNK_ROWS, tie: Column | None = None) -> Chunks:
         """Counts rows by key (combined before the shuffle); cuts are computed for heavy keys only.
 
         A heavy key has more than chunk_rows and more than total / MOST_CHUNKS rows, so there are fewer than
         MOST_CHUNKS of them, and their chunks, one for each such number of rows and one more a key, are bounded alike.
         """
-        counts = df.select(F.col(key).alias("_k")).groupBy("_k").agg(F.count("*").alias("_n")).where(F.col("_k").isNotNull())
-        most = counts.agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).first()
-        if not most["most"] or most["most"] <= chunk_rows:
-            return cls(key, order, None)
+        counts = df.select(F.col(key).alias("_k")).groupBy("_k").agg(F.count("*").alias("_n")).where(F.col("_k").isNotNull() & (F.col("_n") > chunk_rows))
+        most = counts.agg(F.sum("_n").alias("total")).first()
+        if not most["total"]:
+            return cls(key, order, None, tie)
         each = max(chunk_rows, most["total"] // MOST_CHUNKS)
-        heavy = {r["_k"]: min(MOST_PARTS, r["_n"] // each + 1) for r in counts.where(F.col("_n") > each).collect()}
+        heavy = {r["_k"]: r["_n"] // each + 1 for r in counts.where(F.col("_n") > each).collect()}
         if not heavy:
-            return cls(key, order, None)
+            return cls(key, order, None, tie)
         spark, kind = df.sparkSession, df.schema[key].dataType.simpleString()
         names = F.broadcast(spark.createDataFrame([(k,) for k in heavy], f"_k {kind}"))
-        parts = max(heavy.values())
-        at = F.percentile_approx(order, F.array(*[F.lit(i / parts) for i in range(1, parts)]), 10_000)
-        found = df.join(names, df[key] == F.col("_k")).groupBy("_k").agg(at.alias("_cuts")).collect()
-        rows = []
-        for r in found:  # a smaller heavy key takes every so-manieth quantile
-            own = heavy[r["_k"]]
-            rows.append((r["_k"], sorted({r["_cuts"][i * parts // own - 1] for i in range(1, own)})))
-        return cls(key, order, spark.createDataFrame(rows, f"_k {kind}, _cuts array<bigint>"))
+        rows = df.join(names, df[key] == F.col("_k")).select("_k", F.col(order).alias("o"), (F.lit("") if tie is None else tie).alias("t"))
+        chosen: dict[object, list[tuple[int, str]]] = {}
+        for r in rows.where(F.col("o").isNotNull()).sample(min(1.0, PER_CHUNK / each), 1).collect():
+            chosen.setdefault(r["_k"], []).append((r["o"], r["t"] or ""))
+        table = []
+        for k, places in chosen.items():
+            places.sort()
+            cuts = sorted({places[i * len(places) // heavy[k]] for i in range(1, heavy[k])})
+            step = max(1, math.isqrt(len(cuts)))
+            table.append((k, step, [cuts[i : i + step] for i in range(0, len(cuts), step)]))
+        return cls(key, order, spark.createDataFrame(table, f"_k {kind}, _cut_step int, _cuts array<array<struct<o: bigint, t: string>>>"), tie)
 
     def add(self, df: DataFrame) -> DataFrame:
-        """df with _chunk: 0 for rows of ordinary keys, else the number of cuts at or before the row."""
+        """df with _chunk: 0 for rows of ordinary keys, else the number of cuts at or before the row.
+
+        The cuts lie in groups, so that a row is compared with about twice the root of their number.
+        """
         if self.cuts is None:
             return df.withColumn("_chunk", F.lit(0))
-        cuts = F.broadcast(self.cuts)
-        n = F.size(F.filter(F.col("_cuts"), lambda c: c <= F.col(self.order)))
-        return df.join(cuts, df[self.key] == cuts["_k"], "left").withColumn("_chunk", F.when(F.col("_cuts").isNull(), 0).otherwise(n)).drop("_k", "_cuts")
+        at = F.struct(F.col(self.order).alias("o"), self.tie.alias("t"))
+        joined = df.withColumn("_cut_at", at).join(F.broadcast(self.cuts), df[self.key] == F.col("_k"), "left")
+        group = F.size(F.filter("_cuts", lambda g: g[0] <= F.col("_cut_at")))
+        within = F.size(F.filter(F.element_at("_cuts", F.greatest(F.col("_cut_group"), F.lit(1))), lambda c: c <= F.col("_cut_at")))
+        chunk = F.when(F.coalesce(F.col("_cut_group"), F.lit(0)) < 1, 0).otherwise((F.col("_cut_group") - 1) * F.col("_cut_step") + within)
+        return joined.withColumn("_cut_group", F.when(F.col("_cuts").isNotNull(), group)).withColumn("_chunk", chunk).drop("_k", "_cut_step", "_cuts", "_cut_at", "_cut_group")
 
     def window(self) -> Window:
         """All rows of one key in one chunk."""

@@ -11,7 +11,7 @@ from tidemark.functions.times import accounting_month, instant, instant_us, plai
 from tidemark.operators import asof, bloom_dedup, compaction, lambda_views, reconcile, satellites
 from tidemark.operators.kept import copy_rank, kept_copies
 from tidemark.operators.timeline import Chunks
-from tidemark.session import scratch
+from tidemark.session import cut, scratch
 from tidemark.sources import landing
 
 #: A file with fewer rows than this is too small.
@@ -176,21 +176,29 @@ def p5_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 6 ---
 
 
-def p6_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(event_id, customer_id, known_update_id, known_segment, known_country) of every sale that an update was known for."""
+def _known(spark: SparkSession, sf_dir: str, attributes: list[str]) -> tuple[DataFrame, Callable[[str], DataFrame], Chunks]:
+    """Sales, the history of an attribute by its name, and the chunks of both timelines."""
     updates = table(spark, sf_dir, "customer_updates").withColumnRenamed("event_id", "update_event_id")
-    known = asof.first_arrivals(updates, "customer_id", instant_us(F.col("valid_from")), instant_us(F.col("arrival_ts")), "update_event_id", ["segment", "country"])
-    known = known.withColumn("update_id", F.col("update_event_id"))
-    histories = asof.attribute_histories(known, "customer_id", "update_event_id", ["update_id", "segment", "country"])
+    valid, arrived = instant_us(F.col("valid_from")), instant_us(F.col("arrival_ts"))
+    known = asof.first_arrivals(updates, "customer_id", valid, arrived, "update_event_id", attributes).withColumn("update_id", F.col("update_event_id"))
     sales = _sales(spark, sf_dir, ["customer_id"]).where(F.col("event_us").isNotNull() & F.col("customer_id").isNotNull())
-    raw = table(spark, sf_dir, "bronze_events").where(F.col("event_type") == "order_placed").select("customer_id", instant_us(F.col("event_ts")).alias("at_us"))
-    chunks = Chunks.of(raw, "customer_id", "at_us")
-    out = asof.as_known_at(sales, "customer_id", "event_us", ["event_id"], histories, chunks)
-    return out.where("matched").select("event_id", "customer_id", "known_update_id", "known_segment", "known_country")
+    raw = table(spark, sf_dir, "bronze_events").where(F.col("event_type") == "order_placed")
+    chunks = asof.timeline_chunks(raw, updates, "customer_id", "event_id", instant_us(F.col("event_ts")), F.greatest(valid, arrived))
+    return sales, lambda a: asof.attribute_history(known, "customer_id", "update_event_id", a, chunks), chunks
+
+
+def p6_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, customer_id, known_update_id, known_segment, known_country) of every sale that an update was known for."""
+    sales, history, chunks = _known(spark, sf_dir, ["segment", "country"])
+    out = asof.as_known_at(cut(sales), "customer_id", "event_id", "event_us", {a: history(a) for a in ("update_id", "segment", "country")}, chunks)
+    return out.select("event_id", "customer_id", "known_update_id", "known_segment", "known_country")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p6_attributes(spark, sf_dir).select("event_id", F.col("known_update_id").alias("update_event_id"))
+    """Of all attributes only the update itself is asked for, so only its history is built and matched."""
+    sales, history, chunks = _known(spark, sf_dir, [])
+    out = asof.matched(sales, "customer_id", "event_id", "event_us", history("update_id"), chunks)
+    return out.select("event_id", F.col("value.value").alias("update_event_id"))
 
 
 # --- 7 ---
