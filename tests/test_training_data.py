@@ -3,6 +3,7 @@
 import json
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -475,7 +476,36 @@ def test_recovery_after_broken_quotes():
     assert [(r.fault is None, r.members) for r in got] == [(True, ["a", 'b "c"', "d"]), (False, ["e"]), (True, ["h", "i", "j"]), (True, ["k", "l", "m"])]
 
 
+@pytest.mark.parametrize("text", ['"' + 'a""\n' * 40_000, 'x,"\n' * 40_000, '"a\n' + '"b" c\n' * 40_000, '{"a":{' * 30_000, '{"a":[{"b":"' * 20_000, '{"a" ' * 40_000])
+def test_broken_texts_take_linear_time(text):
+    began = time.perf_counter()
+    (grammar.Json(text) if text[0] == "{" else grammar.Delimited(text, 3)).records()
+    assert time.perf_counter() - began < 10
+
+
+def test_quotes_that_cannot_close():
+    """What is remembered of open quotes gives the records that scanning each quote anew gives."""
+    r = random.Random(6)
+    for _ in range(3_000):
+        text = "".join(r.choice(['"', '""', "a", ",", "\n"]) for _ in range(r.randrange(1, 25)))
+        clever, plain = grammar.Delimited(text, 2), grammar.Delimited(text, 2)
+        plain.closes = lambda at: True
+        assert clever.records() == plain.records(), text
+
+
+def test_records_of_texts(spark):
+    """Records behind a fault come out as rows, from lines and from files in which a quote is broken across lines."""
+    second = GOOD.replace('"e"', '"e2"')
+    texts = [(1, "jsonl", GOOD), (2, "jsonl", '{"event_id":"a"b"} ' + second), (3, "jsonl", GOOD + "\n{\"event_id\":\"bro\nken\n" + second), (4, "csv", 'e1,"x\n' + ",".join(["e5"] + [""] * 14)), (5, "csv", None), (6, "jsonl", "")]
+    df = spark.createDataFrame(texts, "line_id bigint, feed string, line_text string")
+    got = landing.records(df, "line_id", "feed", "line_text").where("fault_at is null")
+    assert rows(got.select("line_id", "record_no", "line_no", "event_id", "whole")) == [(1, 0, 0, "e", True), (2, 1, 0, "e2", False), (3, 0, 0, "e", False), (3, 2, 3, "e2", False), (4, 1, 1, "e5", False)]
+    assert rows(landing.recovered(df).select("line_id", "event_id", "quarantine_reason")) == [(2, "e2", "accepted"), (3, "e", "accepted"), (3, "e2", "accepted"), (4, "e5", "unknown_event_type")]
+
+
 def test_typed_values():
+    odd = landing.parse_line('{"event_id":7.0,"sku":123,"reason":{"a": [1]},"segment":true,"country":null}', "jsonl")[0]
+    assert [odd[c] for c in ("event_id", "sku", "reason", "segment", "country")] == ["7.0", "123", '{"a": [1]}', "true", None]
     line = "e,order_placed,2026-01-01T00:00:00Z,2026-01-01T00:00:00Z,o,c,s,+5,,12,EUR,,\"a, \"\"b\"\"\",,"
     fields, offset, _, _ = landing.parse_line(line, "csv")
     assert (fields["qty"], fields["unit_price_cents"], fields["reason"], fields["country"], offset) == (None, 12, 'a, "b"', None, None)

@@ -73,6 +73,47 @@ m AS (SELECT s.event_id, s.customer_id, arg_max(struct_pack(id := u.update_event
 P6 = f"WITH {KNOWN} SELECT event_id, b.id AS update_event_id FROM m"
 P6_ATTRIBUTES = f"WITH {KNOWN} SELECT event_id, customer_id, b.id AS known_update_id, b.seg AS known_segment, b.cou AS known_country FROM m"
 
+_STRING = r'"([^"\\\x00-\x1f]|\\(["\\/bfnrt]|u[0-9a-fA-F]{4}))*"'
+_PLAIN = rf"({_STRING}|-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null)"
+
+
+def _json_object(depth: int) -> str:
+    """Pattern of a JSON object (RFC 8259) whose values are nested at most so deep."""
+    b, value = r"[ \t\n\r]*", _PLAIN
+    for _ in range(depth):
+        value = rf"({_PLAIN}|\[{b}({value}{b}(,{b}{value}{b})*)?\]|\{{{b}({_STRING}{b}:{b}{value}{b}(,{b}{_STRING}{b}:{b}{value}{b})*)?\}})"
+    return rf"{b}\{{{b}({_STRING}{b}:{b}{value}{b}(,{b}{_STRING}{b}:{b}{value}{b})*)?\}}{b}"
+
+
+RECORD = ["event_id", "event_type", "event_ts", "arrival_ts", "order_id", "customer_id", "sku", "qty", "new_qty", "unit_price_cents", "currency", "return_id", "reason", "segment", "country"]
+_FIELD = r'("(?:[^"]|"")*"|[^",\r\n]*)'
+_CSV = ",".join([_FIELD] * len(RECORD))
+
+
+def _csv_field(i: int) -> str:
+    raw = f"regexp_extract(line_text, '^(?:[^\",\r\n]*,|\"(?:[^\"]|\"\")*\",){{{i}}}{_FIELD}', 1)"
+    return f"nullif(CASE WHEN starts_with({raw}, '\"') THEN replace(substr({raw}, 2, length({raw}) - 2), '\"\"', '\"') ELSE {raw} END, '')"
+
+
+def _json_field(f: str) -> str:
+    if f in ("qty", "new_qty", "unit_price_cents"):
+        return f"CAST(json_extract(line_text, '$.{f}') AS VARCHAR)"
+    return f"json_extract_string(line_text, '$.{f}')"
+
+
+P7_LINES = f"""l AS (SELECT line_id, feed, ingest_file, line_text, coalesce(CASE WHEN feed = 'jsonl' THEN regexp_full_match(line_text, '{_json_object(2)}') ELSE regexp_full_match(line_text, '{_CSV}') END, false) AS whole FROM landing_lines),
+f AS (SELECT line_id, whole, {", ".join(f"CASE WHEN NOT whole THEN NULL WHEN feed = 'jsonl' THEN {_json_field(c)} ELSE {_csv_field(i)} END AS {c}" for i, c in enumerate(RECORD))} FROM l),
+n AS (SELECT * REPLACE ({", ".join(f"CASE WHEN regexp_full_match({c}, '-?[0-9]+') THEN TRY_CAST({c} AS BIGINT) END AS {c}" for c in ("qty", "new_qty", "unit_price_cents"))}) FROM f),
+q AS (SELECT *, CASE WHEN event_type = 'order_line_amended' THEN new_qty WHEN event_type IN ('order_placed', 'return_registered') THEN qty ELSE 1 END AS quantity FROM n),
+classified AS (SELECT *, CASE WHEN NOT whole OR event_id IS NULL THEN 'unparseable_json'
+ WHEN event_type IS NULL OR event_type NOT IN ('order_placed', 'order_line_amended', 'return_registered', 'customer_upserted') THEN 'unknown_event_type'
+ WHEN {_ts("event_ts")} IS NULL OR {_ts("arrival_ts")} IS NULL OR quantity IS NULL OR (event_type = 'customer_upserted' AND customer_id IS NULL) OR (event_type <> 'customer_upserted' AND (order_id IS NULL OR sku IS NULL))
+ OR (event_type = 'order_placed' AND (customer_id IS NULL OR unit_price_cents IS NULL OR currency IS NULL)) THEN 'missing_required_field'
+ WHEN quantity < 1 THEN 'non_positive_quantity' WHEN event_type = 'order_placed' AND unit_price_cents < 0 THEN 'negative_price' WHEN event_type = 'order_placed' AND currency <> 'EUR' THEN 'unknown_currency'
+ WHEN quantity > 10000 OR (event_type = 'order_placed' AND unit_price_cents > 1000000) THEN 'amount_out_of_range' ELSE 'accepted' END AS reason_found FROM q)"""
+P7 = f"WITH {P7_LINES} SELECT line_id, reason_found AS quarantine_reason FROM classified WHERE reason_found <> 'accepted'"
+P7_RECORDS = f"""WITH {P7_LINES} SELECT line_id, {", ".join(f"{_ts(c)} AT TIME ZONE 'UTC' AS {c}" if c.endswith("_ts") else c for c in RECORD)} FROM classified WHERE reason_found = 'accepted'"""
+
 SQL = {
     "p1_found": P1,
     "p2_found": P2,
@@ -87,4 +128,6 @@ SQL = {
     "p5_batches": P5_BATCHES,
     "p6_found": P6,
     "p6_attributes": P6_ATTRIBUTES,
+    "p7_found": P7,
+    "p7_records": P7_RECORDS,
 }

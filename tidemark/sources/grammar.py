@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 BLANKS = re.compile(r"[ \t\n\r]*")
 STRING = re.compile(r'"((?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*)"')
+OPEN_STRING = re.compile(r'"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*')
 NUMBER = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?")
 WORD = re.compile(r"true|false|null")
 ESCAPE = re.compile(r'\\(?:u([0-9a-fA-F]{4})|(.))')
@@ -49,7 +50,10 @@ def unescape(body: str) -> str:
 
 
 class Json:
-    """Parser of JSON objects. A member is (kind, text); kind is string, number, word (true, false, null) or nested."""
+    """Parser of JSON objects. A member is (kind, text); kind is string, number, word (true, false, null) or nested.
+
+    The text of a string is its content, that of any other value its source.
+    """
 
     def __init__(self, text: str):
         self.text = text
@@ -67,7 +71,8 @@ class Json:
                 raise _error(self.broken_string(at), "end of string")
             return "string", unescape(m[1]), m.end()
         if c in "{[" and c:
-            return "nested", "", self.nested(at)
+            end = self.nested(at)
+            return "nested", t[at:end], end
         m = WORD.match(t, at)
         if m:
             return "word", m[0], m.end()
@@ -77,8 +82,7 @@ class Json:
         raise _error(at, "value")
 
     def broken_string(self, at: int) -> int:
-        m = re.compile(r'"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*').match(self.text, at)
-        return m.end()
+        return OPEN_STRING.match(self.text, at).end()
 
     def key(self, at: int) -> tuple[str, int]:
         m = STRING.match(self.text, at)
@@ -145,10 +149,16 @@ class Json:
             return record
 
     def anchor(self, at: int) -> int:
-        """The next place from `at` on where an object starts and its first member parses; the text's end if none."""
+        """The next place from `at` on where an object starts and its first member parses; the text's end if none.
+
+        Of a nested first value only the bracket is looked at, so that many anchors within each other stay cheap.
+        """
         for m in ANCHOR.finditer(self.text, at):
+            begin = self.blanks(m.end())
+            if self.text[begin : begin + 1] in ("{", "["):
+                return m.start()
             try:
-                self.value(self.blanks(m.end()))
+                self.value(begin)
             except SyntaxError:
                 continue
             return m.start()
@@ -176,6 +186,7 @@ def _error(offset: int, expected: str) -> SyntaxError:
 
 
 QUOTED = re.compile(r'"((?:[^"]|"")*)"')
+RUN = re.compile(r'"+')
 UNQUOTED = re.compile(r'[^",\r\n]*')
 LINE = re.compile(r"\r\n|\n|\r")
 
@@ -185,11 +196,20 @@ class Delimited:
 
     def __init__(self, text: str, fields: int):
         self.text, self.fields = text, fields
+        self.open_from: int | None = None  # the first quote known not to close
+
+    def closes(self, at: int) -> bool:
+        """Whether a quote at a place may close. Behind one that doesn't, all quotes stand in pairs; a quote there
+        closes only within the run of quotes it begins, so nothing is scanned to the text's end again."""
+        if self.open_from is None or at <= self.open_from:
+            return True
+        return len(RUN.match(self.text, at)[0]) % 2 == 0
 
     def field_at(self, at: int) -> tuple[str, int]:
         if self.text[at : at + 1] == '"':
-            m = QUOTED.match(self.text, at)
+            m = QUOTED.match(self.text, at) if self.closes(at) else None
             if not m:
+                self.open_from = at if self.open_from is None else min(at, self.open_from)
                 raise _error(len(self.text), "closing quote")
             return m[1].replace('""', '"'), m.end()
         m = UNQUOTED.match(self.text, at)

@@ -26,7 +26,10 @@ def integer(text: str | None) -> int | None:
 
 
 def typed(record: Record) -> dict[str, str | int | None]:
-    """The fields of a record; a missing one, and a number field that is no plain integer, is None."""
+    """The fields of a record; a missing one, and a number field that is no plain integer, is None.
+
+    A text field that holds a number, a word or something nested has its source as text.
+    """
     if isinstance(record.members, list):
         got = {k: v or None for k, v in zip(FIELDS, record.members, strict=False)}
         return {k: integer(got.get(k)) if k in NUMBERS else got.get(k) for k in FIELDS}
@@ -38,23 +41,32 @@ def typed(record: Record) -> dict[str, str | int | None]:
         elif k in NUMBERS:
             out[k] = integer(text) if kind == "number" else None
         else:
-            out[k] = text if kind == "string" else f"({kind}) {text}"  # never equal to a text value
+            out[k] = text
     return out
 
 
+def records_of(text: str, feed: str | None) -> list[Record]:
+    """All records of a text and the faults between them. A text of an unknown feed is read as JSON if it starts with
+    a brace, else as delimited."""
+    if feed not in ("jsonl", "csv"):
+        feed = "jsonl" if text.lstrip().startswith("{") else "csv"
+    return (Json(text) if feed == "jsonl" else Delimited(text, len(FIELDS))).records()
+
+
+def is_whole(text: str, found: list[Record]) -> bool:
+    """Whether a line is exactly one record."""
+    return len(found) == 1 and found[0].fault is None and (isinstance(found[0].members, dict) or found[0].end == len(text))
+
+
 def parse_line(text: str | None, feed: str | None) -> tuple[dict, int | None, str | None, int]:
     """fields, offset of the fault, what was expected there, records recovered from the line.
 
-    A line is whole if it is exactly one record. Of a broken line the fields are those of the first record, or piece
-    of one, with an event_id. A null line has none. A line of an unknown feed is read as JSON if it starts with a
-    brace, else as delimited.
+    Of a broken line the fields are those of the first record, or piece of one, with an event_id. A null line has none.
     """
     if text is None:
         return dict.fromkeys(FIELDS), 0, "a line", 0
-    if feed not in ("jsonl", "csv"):
-        feed = "jsonl" if text.lstrip().startswith("{") else "csv"
-    records = (Json(text) if feed == "jsonl" else Delimited(text, len(FIELDS))).records()
-    if len(records) == 1 and records[0].fault is None and (feed == "jsonl" or records[0].end == len(text)):
+    records = records_of(text, feed)
+    if is_whole(text, records):
         return typed(records[0]), None, None, 1
     if not records:
         return dict.fromkeys(FIELDS), 0, "object", 0
@@ -65,6 +77,41 @@ def parse_line(text: str | None, feed: str | None) -> tuple[dict, int | None, st
     return best, offset, expected, sum(r.fault is None for r in records)
 
 
+def records(texts: DataFrame, key: str, feed: str, text: str) -> DataFrame:
+    """(key, record_no, line_no, begin_at, end_at, the 15 fields, fault_at, fault_expected, whole): every record and
+    every fault of each text, in order.
+
+    A text may be a line or a whole file: parsing goes on behind a fault at the next anchor, also where a quote is
+    broken across lines. whole says whether the text is exactly this record. Null and empty texts have no records.
+    """
+    selected = texts.select(F.col(key).alias("_key"), F.col(feed).alias("_feed"), F.col(text).alias("_text"))
+    ddl = [f"`{key}` {dict(selected.dtypes)['_key']}", "record_no int", "line_no int", "begin_at int", "end_at int", *[f"{f} {'bigint' if f in NUMBERS else 'string'}" for f in FIELDS], "fault_at int", "fault_expected string", "whole boolean"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int32()] * 4 + [pa.int64() if f in NUMBERS else pa.string() for f in FIELDS] + [pa.int32(), pa.string(), pa.bool_()]
+        for b in batches:
+            of, out = [], []
+            for i, (f, t) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
+                found, line, at = records_of(t, f) if t else [], 0, 0
+                whole = is_whole(t, found) if t else False
+                for no, r in enumerate(found):
+                    line, at = line + t.count("\n", at, r.start), r.start
+                    fields = typed(r)
+                    of.append(i)
+                    out.append((no, line, r.start, r.end, *[fields[c] for c in FIELDS], r.fault.offset if r.fault else None, r.fault.expected if r.fault else None, whole))
+            columns = list(zip(*out, strict=True)) if out else [()] * len(kinds)
+            keys = b.column(0).take(pa.array(of, pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], [key, "record_no", "line_no", "begin_at", "end_at", *FIELDS, "fault_at", "fault_expected", "whole"])
+
+    return selected.mapInArrow(run, ", ".join(ddl))
+
+
+def recovered(lines: DataFrame, line_id: str = "line_id", feed: str = "feed", text: str = "line_text") -> DataFrame:
+    """(line_id, record_no, the 15 fields, quarantine_reason) of the whole records that stand in broken lines."""
+    found = records(lines, line_id, feed, text).where(~F.col("whole") & F.col("fault_at").isNull())
+    return found.select(line_id, "record_no", *FIELDS).withColumn("quarantine_reason", quarantine_reason())
+
+
 def parsed(lines: DataFrame, line_id: str, feed: str, text: str, carry: list[str] | None = None) -> DataFrame:
     """(line_id, carry..., the 15 fields, fault_offset, fault_expected, recovered) of every line, in batches of Arrow."""
     carry = carry or []
