@@ -1,8 +1,10 @@
 """The engine's own operators: rules, closes by retraction, snapshot tables, streams and crashes, privacy, layout."""
 
+import datetime
 import hashlib
 import hmac
 import json
+import math
 import os
 import random
 import subprocess
@@ -146,9 +148,13 @@ def test_parity_and_digest(spark):
     assert quality.encoded(True) != quality.encoded(1) != quality.encoded("1")
 
 
-def test_history_violations(spark):
-    dim = spark.createDataFrame([("ok", "1", "2", False), ("ok", "2", None, True), ("gap", "1", "2", False), ("gap", "3", None, True), ("two", "1", None, True), ("two", "2", None, True), ("flag", "1", None, False)], "customer_id string, valid_from string, valid_to string, is_current boolean")
-    assert rows(quality.history_violations(dim)) == [("flag", "wrong_flag"), ("gap", "gap_or_overlap"), ("two", "gap_or_overlap"), ("two", "not_one_open_version")]
+@pytest.mark.parametrize("chunk_rows", [100, 1])
+def test_history_violations(spark, chunk_rows):
+    day = lambda n: n and f"2026-01-0{n}T00:00:00Z"
+    data = [("ok", 1, 2, False), ("ok", 2, None, True), ("gap", 1, 2, False), ("gap", 3, None, True), ("two", 1, None, True), ("two", 2, None, True), ("flag", 1, None, False)]
+    dim = spark.createDataFrame([(k, day(f), day(t), c) for k, f, t, c in data], "customer_id string, valid_from string, valid_to string, is_current boolean")
+    want = [("flag", "wrong_flag"), ("gap", "gap_or_overlap"), ("two", "gap_or_overlap"), ("two", "not_one_open_version")]
+    assert rows(quality.history_violations(dim, chunk_rows=chunk_rows)) == want
 
 
 # --- snapshot tables ---
@@ -166,6 +172,8 @@ def test_snapshot_table(spark, tmp_path):
     t.delete(F.col("k") == 9)
     t.compact(10**9)
     assert rows(t.read()) == [(1, "A"), (2, "b")] and len(t.manifest()["files"]) == 1
+    with pytest.raises(ValueError, match="several source rows"):
+        t.upsert(spark.createDataFrame([(1, "x"), (1, "y")], ddl))
     assert rows(t.read(only=("v", "A", "A"))) == [(1, "A"), (2, "b")] and rows(t.read(only=("v", "x", "y"))) == []
     assert json.loads(t.history().where("operation = 'delete'").first()["metrics"])["rows_deleted"] == 1
     assert t.residual("v", "n") == [2]
@@ -178,6 +186,36 @@ def test_snapshot_table(spark, tmp_path):
         t.read(99)
 
 
+def test_statistics_are_typed(spark, tmp_path):
+    t = SnapshotTable(spark, f"file://{tmp_path}/t", ["k"], ["k", "n", "d"])
+    ddl = "k int, n bigint, d date"
+    day = datetime.date(2026, 1, 9)
+    t.create(spark.createDataFrame([(3, None, day), (10, None, day)], ddl).coalesce(1))
+    assert t.read(only=("k", 2, 10)).count() == 2 and t.read(only=("k", 4, 9)).count() == 2 and t.read(only=("k", 11, 99)).count() == 0
+    assert t.read(only=("n", 0, 9)).count() == 0 and t.read(only=("d", day, day)).count() == 2
+    t.append(spark.createDataFrame([(None, None, None)], ddl).fillna({"k": 77}))
+    assert rows(t.read(only=("k", 50, 99)).select("k")) == [(77,)] and t.residual("k", 77) == [1]
+
+
+def test_one_of_two_writers_succeeds(spark, tmp_path):
+    """Many writers publish one name at once: exactly one gets it, and the file holds its content alone."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tidemark.functions import commits
+
+    def write(i):
+        try:
+            commits.publish(spark, f"file://{tmp_path}/log/1.json", str(i).encode() * 1000)
+            return i
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [i for i in pool.map(write, range(16)) if i is not None]
+    assert len(won) == 1 and commits.read_text(spark, f"file://{tmp_path}/log/1.json") == str(won[0]) * 1000
+    assert commits.names(spark, f"file://{tmp_path}/log") == ["1.json"] and commits.read_text(spark, f"file://{tmp_path}/none") is None
+
+
 # --- ingest ---
 
 
@@ -203,7 +241,7 @@ def test_stream_loses_and_repeats_nothing(spark, drop, tmp_path):
     out = f"{tmp_path}/out"
     for _ in range(2):
         ingest.ingest(spark, bronze.IngestSpec(drop, files_per_trigger=1), out)
-    assert ingest.silver(spark, out).count() == 21 and ingest.silver(spark, out, "quarantine").count() == 6
+    assert ingest.reconciled(spark, out, 21) == {"silver": 15, "quarantine": 6}
 
 
 def test_stream_drops_repeats_within_the_watermark(spark, drop, tmp_path):
@@ -231,7 +269,7 @@ def test_crash_and_replay(spark, drop, tmp_path, point, idempotent, sound):
     crashed = subprocess.run([sys.executable, "-c", code], env=os.environ | {"TIDEMARK_CRASH": point}, capture_output=True, timeout=240)
     assert crashed.returncode == 17
     ingest.ingest(spark, bronze.IngestSpec(drop, files_per_trigger=1), out, idempotent=idempotent)
-    assert (ingest.silver(spark, out).count() == 21) == sound
+    assert (ingest.written(spark, out).count() == 21) == sound
 
 
 # --- privacy, layout, runs ---
@@ -319,8 +357,8 @@ def test_rule_order_is_needed(matrix):
 def test_serving(spark):
     from tidemark.operators import serving
 
-    cents = spark.createDataFrame([(67269342,), (-5,), (0,), (100000,), (None,)], "c bigint")
-    assert [r[0] for r in cents.select(serving.euros(F.col("c"))).collect()] == ["672 693,42", "-0,05", "0,00", "1 000,00", None]
+    cents = spark.createDataFrame([(67269342,), (-5,), (0,), (100000,), (None,), (1234567890123456789,)], "c bigint")
+    assert [r[0] for r in cents.select(serving.euros(F.col("c"))).collect()] == ["672 693,42", "-0,05", "0,00", "1 000,00", None, "12 345 678 901 234 567,89"]
     months = spark.createDataFrame([("2026-01",), ("2026-06",)], "m string")
     got = [r[0] for r in months.select(F.date_format(F.timestamp_micros(serving.deadline_us(F.col("m"))), "yyyy-MM-dd HH:mm:ss")).collect()]
     assert got == ["2026-02-05 22:59:59", "2026-07-05 21:59:59"]
@@ -400,5 +438,5 @@ def test_evidence_and_statistics(tmp_path):
         evidence.verify(p)
     lo, hi = statistics.wilson(20, 20)
     assert 0.83 < lo < 0.85 and hi == 1.0 and statistics.wilson(0, 0) == (0.0, 1.0)
-    assert abs(statistics.none_seen(20) - 0.1391) < 1e-3
-    assert statistics.kappa([(1, 1), (0, 0), (1, 0), (0, 1)]) == 0 and statistics.kappa([]) == 1
+    assert abs(statistics.none_seen(20) - 0.1498) < 1e-4
+    assert statistics.kappa([(1, 1), (0, 0), (1, 0), (0, 1)]) == 0 and math.isnan(statistics.kappa([])) and math.isnan(statistics.kappa([(1, 1), (1, 1)]))

@@ -26,21 +26,31 @@ def fingerprint(df: DataFrame) -> DataFrame:
     )
 
 
-def ordered_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
+def ordered_fingerprint(df: DataFrame, columns: list[str], at_most: int | None = None) -> DataFrame:
     """SHA-256 over the sorted text lines of all rows, nulls written as chr(0).
 
-    The lines are hashed first and the hashes are sorted and gathered by prefix, so that no single task holds all lines:
-    the last step sorts 4096 digests.
+    The lines are hashed first; the hashes form a tree by prefixes of three digits, so deep that a leaf holds some
+    4,096 of them, and each node hashes its sorted children. So no task holds more than some thousand digests; equal
+    lines are one digest with their number. The depth follows from the number of different lines, up to 2^24 it is 1;
+    they are counted unless at_most, a bound of them, says so.
     """
     line = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])
-    per_prefix = (
-        df.select(F.sha2(line, 256).alias("_d"))
-        .groupBy("_d")
-        .count()
-        .groupBy(F.substring("_d", 1, 3).alias("_p"))
-        .agg(F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(F.concat_ws(":", "_d", F.col("count").cast("string"))))), 256).alias("_d"), F.sum("count").alias("_n"))
-    )
-    return per_prefix.agg(
-        F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(F.concat_ws(":", "_p", "_d")))), 256).alias("digest"),
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("row_count"),
-    )
+    level = df.select(F.sha2(line, 256).alias("_p")).groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_d", F.col("_n").cast("string"))
+    depth = 1
+    if at_most is None or at_most > 4096**2:
+        different = level.count()
+        while 4096 ** (depth + 1) < different:
+            depth += 1
+    for d in range(depth, -1, -1):
+        node = F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(F.concat_ws(":", "_p", "_d")))), 256).alias("_d")
+        level = level.groupBy(F.substring("_p", 1, 3 * d).alias("_p")).agg(node, F.sum("_n").alias("_n"))
+    none = F.sha2(F.lit(""), 256)
+    return level.agg(F.coalesce(F.max("_d"), none).alias("digest"), F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("row_count"))
+
+
+def text_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(row_count, sum_hash): a sum over 60 bits of the MD5 of each row's text, equal for equal multisets of rows; any
+    engine that has MD5 can compute it too. Nulls are written as chr(0)."""
+    line = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])
+    part = F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count("*").alias("row_count"), F.coalesce(F.sum(part), F.lit(0)).cast("decimal(38,0)").cast("string").alias("sum_hash"))

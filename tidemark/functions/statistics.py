@@ -15,15 +15,15 @@ def wilson(hits: int, n: int, z: float = 1.959964) -> tuple[float, float]:
 
 
 def none_seen(n: int, confidence: float = 0.95) -> float:
-    """Upper bound of a rate when none of n trials showed it (about 3 / n at 95 %)."""
-    return 1.0 if n == 0 else 1 - (1 - confidence) ** (1 / n)
+    """Upper bound of a rate when none of n trials showed it, by the rule of three: -ln(1 - confidence) / n, 1 at most."""
+    return 1.0 if n == 0 else min(1.0, -math.log(1 - confidence) / n)
 
 
 def kappa(pairs: list[tuple[object, object]]) -> float:
-    """Cohen's kappa of two raters; 1 where both always say the same one thing."""
+    """Cohen's kappa of two raters; not a number where it is undefined: without pairs, or where both always say one thing."""
     n = len(pairs)
     if not n:
-        return 1.0
+        return math.nan
     seen = sum(a == b for a, b in pairs) / n
     chance = sum((sum(a == v for a, _ in pairs) / n) * (sum(b == v for _, b in pairs) / n) for v in {x for p in pairs for x in p})
-    return 1.0 if chance == 1 else (seen - chance) / (1 - chance)
+    return math.nan if chance == 1 else (seen - chance) / (1 - chance)

@@ -9,8 +9,6 @@ from tidemark.session import ACCOUNTING_ZONE
 
 #: ISO 8601 date and time, T or a blank between, with Z or an offset. \z, as $ would allow a line break at the end.
 READABLE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})\z"
-#: How far a moment may be from the epoch to sort before "unreadable or null last".
-LAST = 2**63 - 1
 
 
 def instant(text: Column) -> Column:

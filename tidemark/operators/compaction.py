@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.crash import barrier
+from tidemark.functions import commits
 from tidemark.functions.hashing import row_hash
 from tidemark.session import scratch
 
@@ -16,8 +17,9 @@ from tidemark.session import scratch
 TARGET_BYTES = 32 * 1024 * 1024
 #: Files of the manifest that one task packs; packing is done within such shards, so no task sees the whole list.
 SHARD_FILES = 50_000
-#: A manifest of more files than this isn't sent to all tasks but joined by a shuffle.
-SMALL_MANIFEST = 50_000
+#: A manifest of more files than this isn't sent to all tasks but joined by a shuffle on the file and one of SALTS
+#: numbers, so that a file with a third of all rows goes to many tasks.
+SMALL_MANIFEST, SALTS = 50_000, 32
 
 
 def content_bytes(df: DataFrame) -> Column:
@@ -83,73 +85,67 @@ class Compaction:
 
     def manifest(self) -> DataFrame:
         """(file, rows, bytes, sum_hash, xor_hash) as frozen before the rewrite."""
-        return self.spark.read.parquet(f"{self.root}/manifest")
+        return self.spark.read.parquet(f"{committed(self.spark, self.root)}/manifest")
 
     def rows(self) -> DataFrame:
         """The rows of the committed files."""
         return read_committed(self.spark, self.root).select(*self.columns)
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def commit_once(spark: SparkSession, path: str, content: dict) -> None:
-    """Writes a file that must not exist yet, by writing beside it and renaming; fails if another writer was first."""
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        raise FileExistsError(path)
-    barrier("before_close_marker")
-    temporary = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(temporary, True)
-    out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
-    out.close()
-    if not fs.rename(temporary, p):
-        raise FileExistsError(path)
+def committed(spark: SparkSession, root: str) -> str:
+    """Folder of the attempt that was committed; those that weren't are invisible."""
+    text = commits.read_text(spark, f"{root}/commit.json")
+    if text is None:
+        raise FileNotFoundError(f"{root} has no commit")
+    return f"{root}/{json.loads(text)['attempt']}"
 
 
 def read_committed(spark: SparkSession, root: str) -> DataFrame:
-    """The rows of the committed version; folders without a commit are invisible."""
-    fs, p = _fs(spark, f"{root}/commit.json")
-    if not fs.exists(p):
-        raise FileNotFoundError(f"{root} has no commit")
-    text = spark.read.text(f"{root}/commit.json", wholetext=True).first()[0]
-    return spark.read.parquet(f"{root}/{json.loads(text)['data']}")
+    """The rows of the committed version."""
+    return spark.read.parquet(f"{committed(spark, root)}/data")
 
 
-def compact(rows: DataFrame, file_column: str, *, target_bytes: int = TARGET_BYTES, root: str | None = None) -> Compaction:
+def compact(rows: DataFrame, file_column: str, *, target_bytes: int = TARGET_BYTES, root: str | None = None, small_manifest: int = SMALL_MANIFEST) -> Compaction:
     """Rewrites rows that came in many files into few files of about target_bytes of content each.
 
     1. The manifest (rows, bytes and order-free checksums of each file, null as the file '') is written and from then
-    on stands. 2. Files are packed by first-fit decreasing; one beyond the target is cut by row hash into parts, so a
-    file with a third of all rows is no single task. 3. Each bin is written as one file. 4. What was written is read
+    on stands. 2. Files are packed by first-fit decreasing; one beyond the target is cut into parts, so a file with a
+    third of all rows, even equal ones, is no single task. 3. Each bin is written as one file. 4. What was written is read
     again and its counts and checksums are held against the manifest, file by file; a difference raises an error and
-    nothing is committed. 5. The commit is one rename. A crash before it leaves the old state as it is.
+    nothing is committed. 5. The commit is one file under a name that only one writer can have; it names the folder that
+    this writer wrote. A crash before it leaves the old state as it is.
     """
     spark = rows.sparkSession
     root = root or scratch(spark, "compaction")
+    attempt = f"attempt-{uuid.uuid4().hex}"
+    at = f"{root}/{attempt}"
     h = row_hash([F.col(f"`{c}`") for c in rows.columns], 5)
     file = F.coalesce(F.col(file_column), F.lit(""))
     manifest = rows.select(file.alias("file"), content_bytes(rows).alias("_b"), h.alias("_h")).groupBy("file").agg(*_checks(F.col("_h")), F.sum("_b").alias("bytes"))
-    manifest.write.parquet(f"{root}/manifest")
-    manifest = spark.read.parquet(f"{root}/manifest")
+    manifest.write.parquet(f"{at}/manifest")
+    manifest = spark.read.parquet(f"{at}/manifest")
     total = manifest.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
-    packed(manifest, total["files"], target_bytes).write.parquet(f"{root}/bins")
-    bins = spark.read.parquet(f"{root}/bins").withColumnsRenamed({"file": "_file", "bin": "_bin0", "parts": "_parts"})
-    bins = F.broadcast(bins) if total["files"] <= SMALL_MANIFEST else bins
-    placed = rows.withColumns({"_f": file, "_rh": h}).join(bins, F.col("_f") == F.col("_file"))
-    placed = placed.withColumn("_bin", F.col("_bin0") + F.pmod("_rh", F.col("_parts"))).select(*rows.columns, "_bin")
+    packed(manifest, total["files"], target_bytes).write.parquet(f"{at}/bins")
+    bins = spark.read.parquet(f"{at}/bins").withColumnsRenamed({"file": "_file", "bin": "_bin0", "parts": "_parts"})
+    # A number that tells even equal rows apart spreads the rows of a file over its parts and, in the join, its salts.
+    placed = rows.withColumns({"_f": file, "_no": F.xxhash64(F.monotonically_increasing_id())})
+    if total["files"] <= small_manifest:
+        placed = placed.join(F.broadcast(bins), F.col("_f") == F.col("_file"))
+    else:
+        salted = bins.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        placed = placed.withColumn("_s", F.pmod("_no", F.lit(SALTS))).join(salted, (F.col("_f") == F.col("_file")) & (F.col("_s") == F.col("_salt")))
+    placed = placed.withColumn("_bin", F.col("_bin0") + F.pmod(F.shiftright("_no", 8), F.col("_parts"))).select(*rows.columns, "_bin")
     tasks = max(1, min(200_000, -(-int(total["bytes"]) // target_bytes) + 1))
-    placed.repartition(tasks, "_bin").write.partitionBy("_bin").parquet(f"{root}/data-1")
-    written = spark.read.parquet(f"{root}/data-1") if total["files"] else rows.limit(0).withColumn("_bin", F.lit(0))
+    placed.repartition(tasks, "_bin").write.partitionBy("_bin").parquet(f"{at}/data")
+    written = spark.read.parquet(f"{at}/data") if total["files"] else rows.limit(0).withColumn("_bin", F.lit(0))
     again = written.select(file.alias("file"), h.alias("_h")).groupBy("file").agg(*_checks(F.col("_h")))
     wrong = manifest.drop("bytes").exceptAll(again).unionByName(again.exceptAll(manifest.drop("bytes")))
     if total["files"] and not wrong.isEmpty():
         raise ValueError(f"rows written differ from the manifest: {wrong.limit(5).collect()}")
     if not total["files"]:
-        rows.limit(0).write.mode("overwrite").parquet(f"{root}/data-1")
-    commit_once(spark, f"{root}/commit.json", {"data": "data-1", "files": total["files"], "bytes": int(total["bytes"])})
+        rows.limit(0).write.mode("overwrite").parquet(f"{at}/data")
+    content = {"attempt": attempt, "files": total["files"], "bytes": int(total["bytes"])}
+    commits.publish(spark, f"{root}/commit.json", json.dumps(content, sort_keys=True).encode())
     return Compaction(spark, root, rows.columns)
 
 

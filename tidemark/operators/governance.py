@@ -13,7 +13,9 @@ IDENTIFIER = r"(?i)\bC\d{6,}\b"
 
 
 def pseudonym(c: Column, salt: str) -> Column:
-    """First 32 hexadecimal digits of a salted SHA-256, NUL between; null stays null."""
+    """First 32 hexadecimal digits of a salted SHA-256, NUL between; null stays null. The salt must not be empty."""
+    if not salt:
+        raise ValueError("an empty salt gives hashes that anyone can compute")
     return F.substring(F.sha2(F.concat(F.lit(salt), F.lit("\x00"), c), 256), 1, 32)
 
 

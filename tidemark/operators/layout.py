@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def file_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(file, size, rows, min_<c>, max_<c>...) of the files a frame is read from."""
-    return df.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).agg(F.count("*").alias("rows"), *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
+    """(file, size, rows, min_<c>, max_<c>, nulls_<c>...) of the files a frame is read from."""
+    return df.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).agg(F.count("*").alias("rows"), *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max), ("nulls", lambda c: F.count_if(F.col(c).isNull())))])
 
 
 def not_skippable(stats: DataFrame, column: str, value: object) -> DataFrame:

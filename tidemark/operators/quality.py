@@ -7,9 +7,12 @@ from collections.abc import Iterable
 from datetime import date, datetime
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import instant_us
+from tidemark.operators.timeline import CHUNK_ROWS, Chunks, following
+
 
 def row_accounting(classified: DataFrame, key: str = "event_id", reason: str = "quarantine_reason") -> DataFrame:
     """(delivered, without_id, distinct_ids, repeated, accepted, quarantined) of a classified log.
@@ -38,19 +41,25 @@ def copies(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("copies"))
 
 
-def history_violations(dim: DataFrame, key: str = "customer_id", start: str = "valid_from", end: str = "valid_to", current: str = "is_current") -> DataFrame:
-    """(key, violation) of a history of versions: several open rows, gaps or overlaps, empty periods, wrong flags."""
-    w = Window.partitionBy(key).orderBy(start)
-    rows = dim.withColumn("_next", F.lead(start).over(w)).withColumn("_open", F.sum(F.col(end).isNull().cast("int")).over(Window.partitionBy(key)))
+def history_violations(dim: DataFrame, key: str = "customer_id", start: str = "valid_from", end: str = "valid_to", current: str = "is_current", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(key, violation) of a history of versions: several open rows, gaps or overlaps, empty periods, wrong flags.
+
+    start and end are readable times as text. Open rows are counted in a grouping; for the next version the timeline
+    of a heavy key is cut into chunks.
+    """
+    rows = dim.withColumns({"_from_us": instant_us(F.col(start)), "_row": F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (start, end)])})
+    chunks = Chunks.of(rows, key, "_from_us", chunk_rows, F.col("_row").cast("string"))
+    rows = following(chunks.add(rows), chunks, F.struct(F.col(start).alias("s")), "_following").withColumn("_next", F.col("_following.s"))
+    open_ = dim.groupBy(key).agg(F.count_if(F.col(end).isNull()).alias("_open")).where(F.col("_open") != 1)
     faults = F.array_compact(
         F.array(
-            F.when(F.col("_open") != 1, F.lit("not_one_open_version")),
             F.when(F.col("_next").isNotNull() & ~F.col(end).eqNullSafe(F.col("_next")), F.lit("gap_or_overlap")),
             F.when(F.col(end) <= F.col(start), F.lit("empty_period")),
             F.when(~F.col(current).eqNullSafe(F.col(end).isNull()), F.lit("wrong_flag")),
         )
     )
-    return rows.select(key, F.explode(faults).alias("violation")).distinct()
+    several = open_.select(key, F.lit("not_one_open_version").alias("violation"))
+    return rows.select(key, F.explode(faults).alias("violation")).distinct().unionByName(several)
 
 
 def history_shape(dim: DataFrame, key: str = "customer_id", start: str = "valid_from", end: str = "valid_to") -> DataFrame:

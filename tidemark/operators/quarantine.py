@@ -48,12 +48,18 @@ def rules() -> Rules:
 
 
 def quarantine_reason(of: Rules | None = None) -> Column:
-    """The first rule that holds or can't be decided, else accepted. Every row gets exactly one value."""
+    """The first rule that holds or can't be decided; accepted only where every rule is decided and doesn't hold.
+
+    Every row gets exactly one value; a row that no branch decides raises an error instead of passing.
+    """
     of = of or rules()
-    reason = F.lit(None).cast("string")
+    sound = F.lit(True)
+    for _, fault in of:
+        sound = sound & F.coalesce(~fault, F.lit(False))
+    reason = F.when(sound, F.lit(ACCEPTED)).otherwise(F.raise_error(F.lit("no rule decided a row")).cast("string"))
     for name, fault in reversed(of):
-        reason = F.when(F.coalesce(fault, F.lit(True)), F.lit(name)).otherwise(F.lit(ACCEPTED) if reason is None else reason)
-    return F.coalesce(reason, F.lit(ACCEPTED))
+        reason = F.when(F.coalesce(fault, F.lit(True)), F.lit(name)).otherwise(reason)
+    return reason
 
 
 def undecided_rule(of: Rules | None = None) -> Column:

@@ -30,7 +30,7 @@ def overdue(log: DataFrame, event_us: str, ledger: DataFrame, period: str, now_u
 
 def euros(cents: Column, signed: bool = False) -> Column:
     """Cents as text with blanks between thousands and a decimal comma, by integers only: 672 693,42."""
-    whole = F.regexp_replace(F.abs(F.floor(F.abs(cents) / F.lit(100))).cast("bigint").cast("string"), r"(?<=\d)(?=(\d{3})+\z)", " ")
+    whole = F.regexp_replace(F.call_function("div", F.abs(cents), F.lit(100).cast("bigint")).cast("string"), r"(?<=\d)(?=(\d{3})+\z)", " ")
     sign = F.when(cents < 0, "-").when(F.lit(signed) & (cents > 0), "+").otherwise("")
     return F.concat(sign, whole, F.lit(","), F.lpad(F.pmod(F.abs(cents), F.lit(100)).cast("string"), 2, "0"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import fingerprint, ordered_fingerprint
+from tidemark.functions.hashing import ordered_fingerprint, text_fingerprint
 from tidemark.functions.times import accounting_month, instant, instant_us, utc_text
 from tidemark.operators import closes, governance, layout, quality, quarantine, run_log, satellites
 from tidemark.operators.kept import kept_copies
@@ -291,12 +291,15 @@ def late_arrivals_not_in_base(spark, sf_dir):
 # --- fingerprints ---
 
 
-@query("SELECT count(*) AS row_count FROM close_month")
+_LINE = "array_to_string([" + ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in ("shop_id", "accounting_month", "close_version", "gross_cents", "net_cents")) + "], chr(31))"
+
+
+@query(f"SELECT count(*) AS row_count, CAST(coalesce(sum(CAST('0x' || substr(md5({_LINE}), 1, 15) AS BIGINT)), 0) AS VARCHAR) AS sum_hash FROM close_month")
 def population_fingerprint(spark, sf_dir):
-    """Rows of a table as its order-free fingerprint counts them in two partitionings that must agree."""
+    """The order-free fingerprint of a table, which must be the same in two partitionings."""
     df = table(spark, sf_dir, "close_month")
-    both = fingerprint(df).join(fingerprint(df.repartition(7, "net_cents")), ["row_count", "sum_hash", "xor_hash"])
-    return both.select("row_count")
+    of = lambda x: text_fingerprint(x, ["shop_id", "accounting_month", "close_version", "gross_cents", "net_cents"])
+    return of(df).join(of(df.repartition(7, "net_cents")), ["row_count", "sum_hash"])
 
 
 @query("""WITH l AS (SELECT sha256(array_to_string([coalesce(shop_id, chr(0)), coalesce(accounting_month, chr(0)), coalesce(CAST(close_version AS VARCHAR), chr(0)), coalesce(CAST(net_cents AS VARCHAR), chr(0))], chr(31))) d FROM close_month),
@@ -368,12 +371,12 @@ def lines_by_nation(spark, sf_dir):
     return joined.groupBy("n_name").agg(F.count("*").alias("n_lines"), F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"))
 
 
-@query("SELECT CASE WHEN k < 300 THEN 0 ELSE 1 END AS cold, count(*) AS n FROM (SELECT (id * 2654435761) % 1000 AS k FROM range(200000) t(id)) GROUP BY 1")
+@query("SELECT sku, count(*) AS n_events, any_value(n_documents) AS n_documents FROM bronze_events JOIN (SELECT sku, count(*) AS n_documents FROM documents WHERE sku IS NOT NULL GROUP BY 1) USING (sku) GROUP BY 1")
 def skew_join(spark, sf_dir):
-    """A join in which one key has 30 % of the rows, its rows spread by a salt."""
-    fact = layout.skewed_fact(spark, 200_000)
-    dim = spark.range(1001).select(F.col("id").alias("k"), F.when(F.col("id") == 0, 0).otherwise(1).alias("cold"))
-    return layout.salted_join(fact, dim, "k", 8).groupBy("cold").agg(F.count("*").alias("n"))
+    """Events joined with a dimension of their sku, of which one holds a tenth of the rows, spread by a salt."""
+    dim = table(spark, sf_dir, "documents").where(F.col("sku").isNotNull()).groupBy("sku").agg(F.count("*").alias("n_documents"))
+    fact = events(spark, sf_dir).select("sku", "event_id", "ingest_file")
+    return layout.salted_join(fact, dim, "sku", 8).groupBy("sku").agg(F.count("*").alias("n_events"), F.max("n_documents").alias("n_documents"))
 
 
 @query()
@@ -395,36 +398,48 @@ def partition_profile(spark, sf_dir):
     return layout.partition_profile(events(spark, sf_dir).repartition(8, "sku"))
 
 
-SHOP2 = "SELECT DISTINCT shop_id, accounting_month, close_version, net_cents FROM close_month"
+SHOP2 = "SELECT DISTINCT shop_id, accounting_month, close_version, net_cents FROM close_month WHERE shop_id IS NOT NULL AND accounting_month IS NOT NULL AND close_version IS NOT NULL"
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> SnapshotTable:
     rows = table(spark, sf_dir, "close_month").select(*SHOP, "close_version", "net_cents").distinct().where("shop_id is not null and accounting_month is not null and close_version is not null")
     t = SnapshotTable(spark, scratch(spark, "ledger"), [*SHOP, "close_version"], ["accounting_month"])
     t.create(rows.where("close_version = 0"))
-    t.insert_only(rows.where("close_version <= 1"))
-    t.upsert(rows.where("close_version = 1").withColumn("net_cents", F.col("net_cents") + 1))
+    t.insert_only(rows)
+    t.upsert(rows.where("close_version >= 1").withColumn("net_cents", F.col("net_cents") + 1))
     t.delete(F.col("accounting_month") == "2026-03")
     return t
 
 
-@query(f"SELECT 1 AS version, count(*) AS n, CAST(sum(net_cents) AS BIGINT) AS cents FROM ({SHOP2}) WHERE close_version <= 1 UNION ALL SELECT 3, count(*), CAST(sum(net_cents + close_version) AS BIGINT) FROM ({SHOP2}) WHERE close_version <= 1 AND accounting_month <> '2026-03'")
+@query(f"SELECT 1 AS version, count(*) AS n, CAST(sum(net_cents) AS BIGINT) AS cents FROM ({SHOP2}) UNION ALL SELECT 3, count(*), CAST(sum(net_cents + (close_version >= 1)::INT) AS BIGINT) FROM ({SHOP2}) WHERE accounting_month <> '2026-03'")
 def snapshot_time_travel(spark, sf_dir):
     t = _snapshots(spark, sf_dir)
     read = lambda v: t.read(v).agg(F.count("*").alias("n"), F.sum("net_cents").alias("cents")).select(F.lit(v).alias("version"), "n", "cents")
     return read(1).unionByName(read(3))
 
 
-@query(f"SELECT change, count(*) AS n FROM (SELECT unnest(CASE WHEN accounting_month = '2026-03' THEN ['delete'] WHEN close_version = 1 THEN ['update_before', 'update_after'] ELSE [] END) AS change FROM ({SHOP2}) WHERE close_version <= 1) GROUP BY 1")
+@query(f"SELECT change, count(*) AS n FROM (SELECT unnest(CASE WHEN accounting_month = '2026-03' THEN ['delete'] WHEN close_version >= 1 THEN ['update_before', 'update_after'] ELSE [] END) AS change FROM ({SHOP2})) GROUP BY 1")
 def snapshot_changes(spark, sf_dir):
     return _snapshots(spark, sf_dir).changes(1, 3).groupBy("change").agg(F.count("*").alias("n"))
 
 
-@query()
+_LEFT = f"SELECT count(*) FROM ({SHOP2}) WHERE accounting_month <> '2026-03'"
+
+
+@query(f"SELECT 0 AS version, 'create' AS operation, (SELECT count(*) FROM ({SHOP2}) WHERE close_version = 0) AS n_rows UNION ALL SELECT 1, 'insert', (SELECT count(*) FROM ({SHOP2})) UNION ALL SELECT 2, 'merge', (SELECT count(*) FROM ({SHOP2})) UNION ALL SELECT 3, 'delete', ({_LEFT}) UNION ALL SELECT 4, 'compact', ({_LEFT})")
 def snapshot_history(spark, sf_dir):
     t = _snapshots(spark, sf_dir)
     t.compact(64_000_000)
-    return t.history().select("version", "operation", "n_files", "n_rows")
+    return t.history().select("version", "operation", "n_rows")
+
+
+@query(f"SELECT count(*) FILTER (accounting_month = '2026-03') AS rows_deleted, CAST(0 AS BIGINT) AS rows_lost FROM ({SHOP2})")
+def delete_accounting(spark, sf_dir):
+    """Rows a predicate deletes, by the metrics of its commit, and rows that went although the predicate doesn't hold."""
+    t = _snapshots(spark, sf_dir)
+    deleted = t.manifest(3)["metrics"]["rows_deleted"]
+    lost = t.read(2).where("accounting_month <> '2026-03'").join(t.read(3), t.keys, "left_anti")
+    return lost.agg(F.count("*").alias("rows_lost")).select(F.lit(deleted).cast("bigint").alias("rows_deleted"), "rows_lost")
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> str:
@@ -441,4 +456,6 @@ def stream_ingest_counts(spark, sf_dir):
     """The whole log written as JSON lines and taken in again as a stream: no line lost, the same reasons."""
     from tidemark.streaming import ingest
 
-    return ingest.silver(spark, _streamed(spark, sf_dir)).groupBy("quarantine_reason").agg(F.count("*").alias("n"))
+    at = _streamed(spark, sf_dir)
+    ingest.reconciled(spark, at, events(spark, sf_dir).count())
+    return ingest.written(spark, at).groupBy("quarantine_reason").agg(F.count("*").alias("n"))

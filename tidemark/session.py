@@ -35,12 +35,14 @@ def build_session(app: str = "tidemark", master: str = "local[8]", partitions: i
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder: spark.checkpoint.dir; only where that is unset (tests) a temporary one."""
+    """The cluster's shared folder: spark.checkpoint.dir; only where that is unset and Spark is local (tests) a temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         known = spark.sparkContext.getCheckpointDir()
         if known:
             return known
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="tidemark-shared-")
         spark.sparkContext.setCheckpointDir(at)
     elif not spark.sparkContext.getCheckpointDir():
@@ -56,9 +58,4 @@ def scratch(spark: SparkSession, what: str) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def rows_hint(df: DataFrame) -> int:
-    """Number of rows of a table; for Parquet this comes from the footers."""
-    return df.count()
+    return df.checkpoint(eager=True)
\ No newline at end of file

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+import math
 import time
 import uuid
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions import commits
 from tidemark.functions.crash import barrier
 from tidemark.operators.layout import file_stats
 
@@ -18,10 +21,27 @@ class Conflict(Exception):
     """Another writer published the version first; read again and retry."""
 
 
+def statistic(value: object) -> object:
+    """A minimum or maximum as the log holds it, comparable with others of its column; None: nothing is known."""
+    if isinstance(value, date | datetime):
+        return value.isoformat()
+    if isinstance(value, float) and not math.isfinite(value):
+        return None
+    return value if isinstance(value, bool | int | float | str) else None
+
+
+def may_hold(file: dict, column: str, low: object, high: object) -> bool:
+    """Whether a file may hold a value in a range, by its statistics. One whose values are all null doesn't."""
+    if column not in file["min"] or file["nulls"].get(column) == file["rows"]:
+        return column not in file["min"]
+    lo, hi = file["min"][column], file["max"][column]
+    return lo is None or hi is None or (lo <= statistic(high) and hi >= statistic(low))
+
+
 class SnapshotTable:
     """A folder: data/<uuid>/ holds files, _log/<version>.json says which of them make up a version.
 
-    A version is published by one rename to a name that must not exist, so readers see all of it or nothing, and of two
+    A version is published under a name that only one writer can have, so readers see all of it or nothing, and of two
     writers one gets Conflict. Statistics are kept only for the columns named, as they outlive deleted rows otherwise.
     Merges and deletes rewrite only the files that hold a matching key.
     """
@@ -51,13 +71,10 @@ class SnapshotTable:
         barrier("mid_merge")
         version = base + 1
         content = {"version": version, "operation": operation, "at": time.time(), "files": files, "schema": json.loads(schema.json()), "metrics": metrics}
-        temporary, final = self._path(f"{self.root}/_log/.{uuid.uuid4().hex}"), self._path(f"{self.root}/_log/{version:010d}.json")
-        out = self._fs.create(temporary, True)
-        out.write(bytearray(json.dumps(content).encode()))
-        out.close()
-        if self._fs.exists(final) or not self._fs.rename(temporary, final):
-            self._fs.delete(temporary, False)
-            raise Conflict(str(version))
+        try:
+            commits.publish(self.spark, f"{self.root}/_log/{version:010d}.json", json.dumps(content).encode())
+        except FileExistsError as e:
+            raise Conflict(str(version)) from e
         return version
 
     def history(self) -> DataFrame:
@@ -76,7 +93,10 @@ class SnapshotTable:
         at = f"{self.root}/data/{uuid.uuid4().hex}"
         df.write.parquet(at)
         written = self.spark.read.schema(df.schema).parquet(at)
-        return [{"path": r["file"], "bytes": r["size"], "rows": r["rows"], "min": {c: str(r[f"min_{c}"]) for c in self.stats}, "max": {c: str(r[f"max_{c}"]) for c in self.stats}} for r in file_stats(written, self.stats).collect()]
+        return [
+            {"path": r["file"], "bytes": r["size"], "rows": r["rows"], **{of: {c: statistic(r[f"{of}_{c}"]) for c in self.stats} for of in ("min", "max", "nulls")}}
+            for r in file_stats(written, self.stats).collect()
+        ]
 
     def _load(self, files: list[dict], schema: StructType) -> DataFrame:
         if not files:
@@ -87,13 +107,11 @@ class SnapshotTable:
         m = self.manifest()
         return m["version"], m["files"], StructType.fromJson(m["schema"])
 
-    def read(self, version: int | None = None, only: tuple[str, str, str] | None = None) -> DataFrame:
-        """A version (the newest by default); only = (column, low, high) skips files by their statistics, as text order."""
+    def read(self, version: int | None = None, only: tuple[str, object, object] | None = None) -> DataFrame:
+        """A version (the newest by default); only = (column, low, high) leaves out files that hold no value from low to
+        high, by their typed statistics. Rows of the other files all come."""
         m = self.manifest(version)
-        files = m["files"]
-        if only:
-            c, lo, hi = only
-            files = [f for f in files if c not in f["min"] or (f["min"][c] <= hi and f["max"][c] >= lo)]
+        files = [f for f in m["files"] if not only or may_hold(f, *only)]
         return self._load(files, StructType.fromJson(m["schema"]))
 
     # --- writes ---
@@ -122,9 +140,15 @@ class SnapshotTable:
         return [f for f in files if f["path"] in names], [f for f in files if f["path"] not in names]
 
     def upsert(self, df: DataFrame, obsolete: DataFrame | None = None) -> int:
-        """Replaces rows of the same key, inserts the others and deletes obsolete keys, all in one version."""
+        """Replaces rows of the same key, inserts the others and deletes obsolete keys, all in one version.
+
+        Source rows that share a key are refused, as it can't be told which of them should stand.
+        """
         v, files, schema = self._state()
         df = df.select(*schema.names)
+        twice = df.groupBy(*self.keys).agg(F.count("*").alias("n")).where(F.col("n") > 1).limit(3).collect()
+        if twice:
+            raise ValueError(f"several source rows for one key: {twice}")
         gone = df.select(*self.keys) if obsolete is None else df.select(*self.keys).unionByName(obsolete.select(*self.keys))
         gone = gone.distinct()
         touched, kept = self._touched(files, schema, gone, None)
@@ -181,6 +205,6 @@ class SnapshotTable:
             self._fs.delete(self._path(p), False)
         return len(old)
 
-    def residual(self, column: str, value: str) -> list[int]:
-        """Versions whose statistics still name a value, which a purge has to remove too."""
-        return [v for v in self.versions() if any(value in (f["min"].get(column), f["max"].get(column)) for f in self.manifest(v)["files"])]
+    def residual(self, column: str, value: object) -> list[int]:
+        """Versions that still hold a value, which a purge has to remove too; only files that may hold it are read."""
+        return [v for v in self.versions() if not self.read(v, (column, value, value)).where(F.col(column) == F.lit(value)).isEmpty()]

@@ -13,23 +13,24 @@ from tidemark.functions.times import instant
 from tidemark.operators.quarantine import ACCEPTED, classify
 from tidemark.sources.bronze import INGESTORS, IngestSpec
 
+#: Folders of a batch by table; every row of the log lies in exactly one of them.
+SILVER, QUARANTINE = "silver", "quarantine"
+
+
 def write_batch(root: str, idempotent: bool = True) -> Callable[[DataFrame, int], None]:
-    """Writer of one micro-batch: classified rows into silver/batch_id=<n>, quarantined ones into quarantine/batch_id=<n>.
+    """Writer of one micro-batch, in one pass: accepted rows into batches/<n>/table=silver, the others, with their
+    reason, into batches/<n>/table=quarantine.
 
-    A replayed batch overwrites its own folder, so it counts once. With idempotent=False it appends, which is the
-    negative control: a replay then counts twice.
+    A replayed batch replaces its own folder, so it counts once. With idempotent=False all batches share a folder that
+    is appended to, which is the negative control: a replay then counts twice.
     """
 
     def run(batch: DataFrame, n: int) -> None:
+        tagged = classify(batch)
+        placed = tagged.withColumn("table", F.when(F.col("quarantine_reason") == ACCEPTED, SILVER).otherwise(QUARANTINE))
+        folder, mode = (f"{n:09d}", "overwrite") if idempotent else ("all", "append")
         barrier("before_write")
-        mode = "overwrite" if idempotent else "append"
-        tagged = classify(batch).persist()
-        try:
-            at = f"batch_id={n}" if idempotent else "all"
-            tagged.write.mode(mode).parquet(f"{root}/silver/{at}")
-            tagged.where(F.col("quarantine_reason") != ACCEPTED).write.mode(mode).parquet(f"{root}/quarantine/{at}")
-        finally:
-            tagged.unpersist()
+        placed.write.mode(mode).partitionBy("table").parquet(f"{root}/batches/{folder}")
         barrier("after_write")
 
     return run
@@ -45,8 +46,24 @@ def ingest(spark: SparkSession, spec: IngestSpec, root: str, **how) -> None:
     start(spark, spec, root, **how).awaitTermination()
 
 
-def silver(spark: SparkSession, root: str, table: str = "silver") -> DataFrame:
-    return spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{table}")
+def written(spark: SparkSession, root: str, table: str | None = None) -> DataFrame:
+    """Rows of one table, or of both; which one a row is in follows from its folder."""
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/batches")
+    rows = rows.withColumn("table", F.regexp_extract(F.col("_metadata.file_path"), "/table=([a-z]+)/", 1))
+    return rows.where(F.col("table") == table).drop("table") if table else rows
+
+
+def silver(spark: SparkSession, root: str) -> DataFrame:
+    return written(spark, root, SILVER)
+
+
+def reconciled(spark: SparkSession, root: str, lines: int) -> dict[str, int]:
+    """Rows of silver and quarantine, held against the lines that came in; raises where one was lost or doubled."""
+    counts = {r["table"]: r["count"] for r in written(spark, root).groupBy("table").count().collect()}
+    out = {t: counts.get(t, 0) for t in (SILVER, QUARANTINE)}
+    if sum(out.values()) != lines:
+        raise ValueError(f"{lines} lines came in, {out} were written")
+    return out
 
 
 def deduplicated_stream(stream: DataFrame, key: str = "event_id", arrival: str = "arrival_ts", delay: str = "2 hours") -> DataFrame:
