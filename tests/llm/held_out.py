@@ -1,0 +1,27 @@
+"""A labelled set that no model is fitted on and no table holds: texts in other words than the samples', most of them in
+sentences of everyday mail. Recall and precision of the residue operator are measured on it."""
+
+CASES = [
+    # placeholders
+    "Dear {{customer['name']}}, hello.", "Dear [[ORDER/NO]], hi.", "Dear :first_name, your parcel leaves on :date.", "We have booked your flight to ${destination} for two.", "Your appointment with Dr [surname] is confirmed.", "Thank you, %%FIRSTNAME%%, we will call you back.",
+    "The invoice for <%= order.id %> is attached.", "Sehr geehrte Frau {{nachname}}, Ihre Sendung ist unterwegs.", "Beste {{voornaam}}, tot morgen!", "Hi *|FNAME|*, here is your monthly statement.", "Your code is {code} and expires in ten minutes.", "The keys are with <neighbour name> until six.",
+    "Invoice total: {{ total | currency }}\nDue: {{ due }}", "Meet @@PERSON@@ at the north entrance.", "Bonjour ${prenom}, votre rendez-vous est confirmé.", "Gentile {cognome}, la visita è alle nove.", "Your new password is %(password)s.", "See you at <<venue>> next Sunday.",
+    # filler
+    "Body copy to be supplied by the agency.", "Caption to come.", "Insert headline here", "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor.", "Praesent commodo cursus magna, vel scelerisque nisl consectetur et.", "asdf asdf qwerty asdf", "xxxxx xxx xxxx xx xxxxxx", "Add your story here.", "Some dummy text for the layout", "blah blah blah blah",
+    "Descripción del producto pendiente.", "Ici votre texte.", "Beschreibung folgt.", "Hier Text einfügen.", "Inserire qui la descrizione.", "Texto de exemplo a substituir.", "The sofa comes in three colours.\nProduct description goes here.", "hjkl hjkl asdf jkl asdf", "Vestibulum id ligula porta felis euismod semper.", "TBD TBD",
+    # notices
+    "404 - File or directory not found.", "500 Internal Server Error", "Seite nicht gefunden", "Sorry, that page doesn't exist!", "The gateway did not receive a timely response from the upstream server.", "You must have JavaScript enabled to use this feature.", "Your connection was interrupted. Please try again.", "We're sorry, something went wrong on our end.", "This video is no longer available.", "Error establishing a database connection",
+    "Access to this page has been denied.", "The site is down for scheduled maintenance. Please check back soon.", "You don't have permission to access this resource.", "Bitte aktivieren Sie JavaScript in Ihrem Browser.", "Página no encontrada. Vuelva al inicio.", "Cette page n'existe plus.", "Il servizio è temporaneamente non disponibile.", "O servidor não respondeu a tempo.", "HTTP ERROR 403", "Traceback (most recent call last):\n  File \"/usr/lib/python3/site.py\", line 12, in <module>\nZeroDivisionError: division by zero",
+    "java.lang.NullPointerException\n\tat com.acme.shop.Cart.total(Cart.java:88)", "{\"error\": {\"code\": 404, \"message\": \"resource not found\"}}", "This site requires cookies and JavaScript to function.", "Too many requests. Slow down and try again in a minute.", "Home | News | About\nThis article could not be loaded.\n© 2025", "Your session has timed out. Log in again.", "We can't connect to the server for that site.", "The requested URL was rejected.", "502 Bad Gateway\nnginx", "Une erreur inattendue s'est produite. Réessayez plus tard.",
+]
+NATURAL = [
+    "Connection to the heating was refused by the landlord.", "Access to the cellar is denied to visitors.", "The bridge is closed for repairs until spring.", "We could not find a parking space near the theatre.", "My passport expires in June, so I applied for a new one.", "The match was stopped because of heavy rain.", "Nobody answered the door, so the parcel went back to the post office.", "He moved to Lisbon and deleted his old account.",
+    "The doctor is not available on Fridays.", "Our request for a longer lease was rejected by the council.", "She teaches JavaScript to beginners on Tuesday evenings.", "I turned off scripts in my browser and the web is so much quieter.", "The museum asks visitors to register at the entrance.", "The recipe needs two eggs, 500 g of flour and some patience.", "Room 404 is on the fourth floor, next to the lift.", "The train timed its arrival perfectly.",
+    "The word 'lorem' comes from a text by Cicero.", "Our designer used lorem ipsum in the first draft, the final brochure has real text.", "Type {{name}} where the recipient's name should appear.", "In Python, f'{name}' inserts the variable's value.", "The array a[i] is sorted by the third column.", "In the template, ${price} is replaced by the amount.", "The tag <b> makes text bold.", "Use [ and ] to mark optional words in the grammar.",
+    "Error bars show one standard deviation.", "The error in the invoice was corrected the same day.", "The server at the restaurant forgot our drinks.", "The page was torn out of the book.", "The site of the old mill is now a park.", "A session of the parliament lasts four hours.", "The service was friendly and quick.", "The report was well written and short.",
+    "La puerta del garaje está cerrada los domingos.", "No encontramos mesa en el restaurante.", "La página doce del libro está rota.", "El servidor del restaurante fue muy amable.", "A ponte está fechada até março.", "Não encontrámos lugar para estacionar.", "Le musée est fermé le mardi.", "Nous n'avons pas trouvé de place au théâtre.", "La route a été déplacée après l'inondation.", "La biblioteca è chiusa per ferie.",
+    "Non abbiamo trovato il gatto, ma è tornato da solo.", "Die Brücke ist bis Mai gesperrt.", "Wir haben den Schlüssel nicht gefunden.", "The lamp does not work without a new bulb.", "This door only opens with a key card.", "Please enable the alarm when you leave.", "You need to activate the card before the trip.", "The offer is no longer valid, but we can give you ten percent.",
+    "Try again later, the shop opens at nine.", "We are working on it and will call you tomorrow.", "Please contact the concierge if the lift stops.", "I was not allowed to bring my dog into the office.", "The lights went out and the film stopped in the middle.", "The title of the novel is still a secret.", "A short description of the flat is in the annex.", "Write your answer here on the back of the sheet and sign it.",
+    "Our text for the leaflet was approved yesterday.", "The paragraph about pensions is hard to read.", "Ask for the 503 bus, it stops right outside.", "At 5:02 the bad gateway of the old fort was finally repaired.", "The app on my phone counts steps.", "Anna: see you at :30 past, or 8:15 at the latest.", "note to self: buy milk, bread and cheese", "My cat walked over the keyboard and ruined the letter.",
+    "The X-ray showed nothing unusual.", "He gave the film XXL popcorn and three stars.", "The sample of rock is from the Alps.", "She filled the gap with plaster and painted it.",
+]
