@@ -68,7 +68,8 @@ def test_thresholds(spark, seed):
     df = spark.createDataFrame(data, "key bigint, source string, size bigint").withColumn("at", mixing.position(F.col("key"), 7))
     got = df.collect()
     for budget in (0, 1, 500, 10**9):
-        t = mixing.thresholds(df, {"a": budget, "b": budget // 2})
+        budgets = spark.createDataFrame([("a", budget), ("b", budget // 2)], "source string, budget bigint")
+        t = {r["source"]: r["below"] for r in mixing.thresholds(df, budgets, 2, small=10 if seed < 3 else 0).collect()}
         for s, b in (("a", budget), ("b", budget // 2)):
             order = sorted((x["at"], x["size"]) for x in got if x["source"] == s)
             used = n = 0
@@ -77,6 +78,18 @@ def test_thresholds(spark, seed):
             assert sum(x[1] for x in order if x[0] < t[s]) == used
 
 
+def test_mixture_of_many_sources(spark):
+    """More sources than the driver could read histograms of; one of them has a third of all records."""
+    sized = spark.range(30_000).select(F.col("id").alias("key"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5_000)).alias("source"), (1 + F.col("id") % 7).alias("size"))
+    sources = sized.select("source").distinct()
+    targets = sources.select("source", F.lit(1.0).alias("target_share"), F.lit(2).alias("max_repeats"))
+    mixed = mixing.mixture(sized, targets, small=100)
+    per = mixed.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("n"), F.max("copies").alias("c"))
+    least = sized.groupBy("source").agg(F.sum("size").alias("s")).agg(F.min("s")).first()[0] * 2
+    got = per.agg(F.count("*").alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("c").alias("c")).first()
+    assert got["k"] == sources.count() and least - 7 < got["lo"] <= got["hi"] <= least and got["c"] <= 2
+
+
 def test_mixture(spark):
     data = [(i, "big", 10) for i in range(1000)] + [(2000 + i, "small", 5) for i in range(20)] + [(5000, "other", 9), (5001, None, 9), (5002, "big", None), (5003, "small", 0)]
     sized = spark.createDataFrame(data, "key bigint, source string, size bigint")

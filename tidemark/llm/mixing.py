@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import cut
+
 #: Bits of the hash that one level of histograms resolves, and its levels: 12 * 5 = 60 bits.
 LEVEL_BITS, LEVELS = 12, 5
-#: Most sources whose histograms the driver reads (a row per source and occupied bucket); targets are a fixed list.
-MOST_SOURCES = 10_000
+#: A table of up to so many sources is sent to all tasks; a longer one is joined by source and one of SALTS numbers, so
+#: that a source with a third of all records goes to many tasks.
+SMALL_TARGETS, SALTS = 10_000, 64
 
 
 def position(key: Column, seed: int) -> Column:
@@ -16,80 +19,74 @@ def position(key: Column, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), key).bitwiseAND(F.lit(2 ** (LEVEL_BITS * LEVELS) - 1))
 
 
-def thresholds(sized: DataFrame, budgets: dict[str, int]) -> dict[str, int]:
-    """By source the greatest threshold for which the sizes of the records placed below it fit the budget.
+def with_source(records: DataFrame, table: DataFrame, sources: int, small: int = SMALL_TARGETS) -> DataFrame:
+    """Inner join of records (source, at, ...) with a table of one row per source."""
+    if sources <= small:
+        return records.join(F.broadcast(table), "source")
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return records.withColumn("_salt", F.pmod("at", F.lit(SALTS)).cast("int")).join(salted, ["source", "_salt"]).drop("_salt")
+
 
-    A level sums sizes by source and bucket, goes through the buckets until the budget is met, and refines only the
-    boundary bucket with the next bits. The driver sees at most 4096 sums a source and level, never records.
+def thresholds(sized: DataFrame, budgets: DataFrame, sources: int, small: int = SMALL_TARGETS) -> DataFrame:
+    """(source, below): the greatest threshold for which the sizes of the records placed below it fit the budget.
+
+    budgets is (source, budget). A level sums sizes by source and bucket, 4,096 buckets a source at most, adds them up
+    in order until the budget is met, and refines only the boundary bucket with the next bits. All of it is done by
+    source in tables; the driver only asks whether a boundary is left.
     """
-    low = dict.fromkeys(budgets, 0)
-    left, open_ = dict(budgets), {s for s, b in budgets.items() if b > 0}
+    state = cut(budgets.select("source", F.col("budget").alias("left"), F.lit(0).cast("bigint").alias("below"), (F.col("budget") > 0).alias("open")))
     for level in range(LEVELS):
-        if not open_:
-            break
         shift = LEVEL_BITS * (LEVELS - 1 - level)
-        boundary = sized.where(F.col("source").isin(*open_))
-        if level:
-            inside = F.lit(False)
-            for s in sorted(open_):
-                inside = inside | ((F.col("source") == s) & (F.shiftright("at", shift + LEVEL_BITS) == low[s] >> (shift + LEVEL_BITS)))
-            boundary = boundary.where(inside)
-        sums = boundary.groupBy("source", F.shiftright("at", shift).bitwiseAND(F.lit(2**LEVEL_BITS - 1)).alias("bucket")).agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-        by_source: dict[str, list] = {}
-        for r in sums:
-            by_source.setdefault(r["source"], []).append((r["bucket"], r["size"], r["n"]))
-        for s in sorted(open_):
-            for bucket, size, n in sorted(by_source.get(s, [])):
-                if size > left[s]:
-                    low[s] += bucket << shift
-                    if n == 1:  # a single record that doesn't fit: nothing to refine
-                        open_.discard(s)
-                    break
-                left[s] -= size
-            else:  # everything fits
-                low[s] += 2**LEVEL_BITS << shift
-                open_.discard(s)
-    return low
-
-
-def plan(totals: dict[str, int], targets: list[tuple[str, float, int]]) -> dict[str, tuple[int, int, int]]:
-    """By source (budget, whole rounds, rest): the largest mixture with the target shares and the caps on repeats.
-
-    The size of the mixture is the least, over the sources, of what a source can give at most divided by its share. A
-    source without any size, or with share 0, can't hold a share: it is left out and the others' shares are kept in
-    proportion.
+        open_ = state.where("open")
+        if open_.isEmpty():
+            break
+        inside = with_source(sized.select("source", "at", "size"), open_.select("source", "below"), sources, small)
+        inside = inside.where(F.shiftright("at", shift + LEVEL_BITS) == F.shiftright("below", shift + LEVEL_BITS))
+        bucket = F.shiftright("at", shift).bitwiseAND(F.lit(2**LEVEL_BITS - 1)).alias("bucket")
+        sums = inside.groupBy("source", bucket).agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+        so_far = F.sum("size").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        at = sums.withColumn("so_far", so_far).join(open_.select("source", "left"), "source")
+        fits = F.col("so_far") <= F.col("left")
+        found = at.groupBy("source").agg(F.coalesce(F.max(F.when(fits, F.col("so_far"))), F.lit(0)).alias("used"), F.min(F.when(~fits, F.struct("bucket", "n"))).alias("edge"))
+        joined = state.join(found, "source", "left")
+        step = F.when(F.col("used").isNull(), F.lit(0)).otherwise(F.coalesce(F.col("edge.bucket"), F.lit(2**LEVEL_BITS)))
+        moved = F.col("below") + F.call_function("shiftleft", step.cast("bigint"), F.lit(shift))
+        # A single record that doesn't fit leaves nothing to refine, nor does a source of which everything fits.
+        still = F.col("open") & F.coalesce(F.col("edge.n") > 1, F.lit(False))
+        state = cut(joined.select("source", (F.col("left") - F.coalesce("used", F.lit(0))).alias("left"), moved.alias("below"), still.alias("open")))
+    return state.select("source", "below")
+
+
+def plan(totals: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, rounds, rest): the largest mixture with the target shares and the caps on repeats.
+
+    totals is (source, size), targets (source, target_share, max_repeats). The size of the mixture is the least, over
+    the sources, of what a source can give at most divided by its share. A source without any size, or with share 0,
+    can't hold a share: it is left out and the others' shares are kept in proportion.
     """
-    usable = [(s, w, r) for s, w, r in targets if w > 0 and r > 0 and totals.get(s, 0) > 0]
-    weight = sum(w for _, w, _ in usable)
-    if not usable:
-        return {}
-    size = min(totals[s] * r * weight / w for s, w, r in usable)
-    out = {}
-    for s, w, r in usable:
-        budget = min(int(size * w / weight + 1e-6), totals[s] * r)
-        out[s] = (budget, budget // totals[s], budget % totals[s])
-    return out
-
-
-def mixture(sized: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame:
+    t = targets.select("source", F.col("target_share").cast("double").alias("w"), F.col("max_repeats").cast("bigint").alias("r"))
+    usable = totals.join(t, "source").where((F.col("w") > 0) & (F.col("r") > 0) & (F.col("size") > 0))
+    whole = usable.agg(F.min(F.col("size") * F.col("r") / F.col("w")).alias("whole")).first()["whole"] or 0.0
+    budget = F.least(F.floor(F.lit(whole) * F.col("w") + 1e-6).cast("bigint"), F.col("size") * F.col("r"))
+    return usable.select("source", F.call_function("div", budget, F.col("size")).alias("rounds"), F.pmod(budget, F.col("size")).alias("rest"))
+
+
+def mixture(sized: DataFrame, targets: DataFrame, seed: int = 7, small: int = SMALL_TARGETS) -> DataFrame:
     """(key, source, size, copies) of the records in the mixture.
 
     sized is (key, source, size). Records of no target source, without size (null, empty texts: 0), or with copies 0
     are not in the mixture. Each source gives every record `rounds` times, and those below its threshold once more, so
-    no record is used more than max_repeats times and the shares are met up to the size of one record a source.
+    no record is used more than max_repeats times and the shares are met up to the size of one record a source. Of a
+    source named twice in targets the first row by its values counts.
     """
-    rows = targets.select("source", F.col("target_share").cast("double"), F.col("max_repeats").cast("int")).limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    wanted = [(r[0], r[1] or 0.0, r[2] or 0) for r in rows if r[0] is not None]
-    sized = sized.where(F.col("source").isin(*[s for s, _, _ in wanted]) & (F.col("size") > 0)).withColumn("at", position(F.col("key"), seed))
-    totals = {r["source"]: r["size"] for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()}
-    made = plan(totals, wanted)
-    below = thresholds(sized, {s: rest for s, (_, _, rest) in made.items()})
-    copies = F.lit(0)
-    for s, (_, rounds, _) in made.items():
-        copies = F.when(F.col("source") == s, F.lit(rounds) + (F.col("at") < F.lit(below[s])).cast("int")).otherwise(copies)
-    return sized.withColumn("copies", copies.cast("int")).where(F.col("copies") > 0).select("key", "source", "size", "copies")
+    one = targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.min(F.struct("target_share", "max_repeats")).alias("t")).select("source", "t.*")
+    sized = sized.where(F.col("size") > 0).withColumn("at", position(F.col("key"), seed))
+    totals = sized.groupBy("source").agg(F.sum("size").alias("size"))
+    made = cut(plan(totals, one))
+    sources = made.count()
+    below = thresholds(sized, made.select("source", F.col("rest").alias("budget")), sources, small)
+    placed = with_source(sized, made.select("source", "rounds").join(below, "source"), sources, small)
+    return placed.withColumn("copies", (F.col("rounds") + (F.col("at") < F.col("below")).cast("int")).cast("int")).where(F.col("copies") > 0).select("key", "source", "size", "copies")
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:

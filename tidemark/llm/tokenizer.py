@@ -10,6 +10,7 @@ from batch to batch; no words or ids are shuffled.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 #: The vocabulary's file (a parameter everywhere) and the pattern that its words are split by (fixed value).
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Nodes after which a task starts a new trie, and bytes from which a word gets a trie of its own. Neither changes ids.
+#: Nodes after which a task starts a new trie, and bytes from which a word is encoded along its own path. Neither changes ids.
 MOST_NODES, LONG_WORD = 400_000, 1024
+#: Answers about pairs of tokens that a task remembers.
+MOST_PAIRS = 1_000_000
 
 
 class Vocabulary:
@@ -37,6 +40,7 @@ class Vocabulary:
             ends.setdefault(t[-2:], set()).add(len(t))
         #: By the last two bytes of a prefix: lengths of tokens that may end it, the longest first.
         self.lengths = {e: sorted(n, reverse=True) for e, n in ends.items()}
+        self.longest = max(map(len, self.ranks), default=1)
         self._stays: dict[tuple[int, int], bool] = {}
 
     def merge(self, word: bytes) -> list[int]:
@@ -58,12 +62,37 @@ class Vocabulary:
         key = (before, token)
         got = self._stays.get(key)
         if got is None:
+            if len(self._stays) >= MOST_PAIRS:
+                self._stays.clear()
             alone = self.tokens[token]
             got = self.merge(alone) == [token] if before < 0 else self.merge(self.tokens[before] + alone) == [before, token]
             self._stays[key] = got
         return got
 
 
+    def last_token(self, tail: bytes, depth: int, token_at) -> tuple[int, int]:
+        """The last token of a prefix of `depth` bytes and its length; tail holds the prefix' last bytes, as many as the
+        longest token has or all, and token_at(d) is the last token of the prefix of d bytes."""
+        for n in (*self.lengths.get(tail[-2:], ()), *((1,) if depth > 1 else ())):
+            if n <= depth:
+                t = self.ranks.get(tail[len(tail) - n :])
+                if t is not None and self.stays(token_at(depth - n), t):
+                    return t, n
+        raise ValueError(f"no token ends {tail!r}")
+
+    def along(self, word: bytes) -> list[int]:
+        """Encoding of one word by the last tokens of its prefixes: a trie of a single path, as two arrays of numbers."""
+        tokens, sizes = array("i", bytes(4 * (len(word) + 1))), array("i", bytes(4 * (len(word) + 1)))
+        tokens[0] = -1
+        for d in range(1, len(word) + 1):
+            tokens[d], sizes[d] = self.last_token(word[max(0, d - self.longest) : d], d, tokens.__getitem__)
+        out, d = [], len(word)
+        while d:
+            out.append(tokens[d])
+            d -= sizes[d]
+        return out[::-1]
+
+
 class PrefixTrie:
     """Trie over the bytes of words; each node has its last token and the node before that token."""
 
@@ -72,47 +101,36 @@ class PrefixTrie:
         self.children: list[dict[int, int]] = [{}]
         self.token, self.before = [-1], [0]
 
-    def insert(self, word: bytes) -> int:
-        node = 0
-        for b in word:
-            down = self.children[node]
-            if b not in down:
-                down[b] = len(self.children)
-                self.children.append({})
-                self.token.append(-1)
-                self.before.append(-1)
-            node = down[b]
-        return node
-
-    def propagate(self) -> None:
-        """Depth first from the root; nodes that have their state from an earlier batch are only passed through."""
-        path, nodes = bytearray(), [0]
-        stack = [(0, iter(self.children[0].items()))]
-        while stack:
-            step = next(stack[-1][1], None)
-            if step is None:
-                stack.pop()
-                if path:
-                    path.pop()
-                    nodes.pop()
-                continue
-            b, child = step
-            path.append(b)
-            nodes.append(child)
-            if self.before[child] < 0:
-                self._state(child, path, nodes)
-            stack.append((child, iter(self.children[child].items())))
+    def walk(self, words: list[bytes]) -> list[int]:
+        """Inserts words, which must be sorted, and gives the node of each. As sorted words follow each other depth
+        first, states are passed down as nodes are made, and a prefix that the trie has is only passed through."""
+        path, nodes, out = bytearray(), [0], []
+        for word in words:
+            shared, most = 0, min(len(path), len(word))
+            while shared < most and path[shared] == word[shared]:
+                shared += 1
+            del path[shared:], nodes[shared + 1 :]
+            for b in word[shared:]:
+                down = self.children[nodes[-1]]
+                path.append(b)
+                child = down.get(b)
+                if child is None:
+                    child = down[b] = len(self.children)
+                    self.children.append({})
+                    self.token.append(-1)
+                    self.before.append(-1)
+                    nodes.append(child)
+                    self._state(child, path, nodes)
+                else:
+                    nodes.append(child)
+            out.append(nodes[-1])
+        return out
 
     def _state(self, node: int, path: bytearray, nodes: list[int]) -> None:
         depth = len(path)
-        for n in (*self.v.lengths.get(bytes(path[-2:]), ()), *((1,) if depth > 1 else ())):
-            if n > depth:
-                continue
-            t = self.v.ranks.get(bytes(path[depth - n :]))
-            if t is not None and self.v.stays(self.token[nodes[depth - n]], t):
-                self.token[node], self.before[node] = t, nodes[depth - n]
-                return
-        raise ValueError(f"no token ends {bytes(path)!r}")
+        tail = bytes(path[-self.v.longest :])
+        t, n = self.v.last_token(tail, depth, lambda d: self.token[nodes[d]])
+        self.token[node], self.before[node] = t, nodes[depth - n]
 
     def encoding(self, node: int) -> list[int]:
         out = []
@@ -132,30 +150,28 @@ class Encoder:
     def _new(self) -> None:
         self.trie, self.known = PrefixTrie(self.v), {}
 
-    def _long(self, word: bytes) -> list[int]:
-        own = PrefixTrie(self.v)
-        end = own.insert(word)
-        own.propagate()
-        return own.encoding(end)
-
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Token ids of each text; null and empty texts have no tokens. Special tokens' strings are ordinary text."""
         if len(self.trie.children) > MOST_NODES:
             self._new()
         words = [self.split(t) if t else [] for t in texts]
         fresh = {w for of_text in words for w in of_text if w not in self.known}
-        nodes = {}
+        short, long_words = [], []
         for w in fresh:
             b = w.encode("utf-8", "surrogatepass")
             if len(b) < LONG_WORD:
-                nodes[w] = self.trie.insert(b)
+                short.append((b, w))
             else:
-                self.known[w] = self._long(b)
-        self.trie.propagate()
-        for w, n in nodes.items():
+                self.known[w] = self.v.along(b)
+                long_words.append(w)
+        short.sort()
+        for (_, w), n in zip(short, self.trie.walk([b for b, _ in short]), strict=True):
             self.known[w] = self.trie.encoding(n)
         known = self.known
-        return [[i for w in of_text for i in known[w]] for of_text in words]
+        out = [[i for w in of_text for i in known[w]] for of_text in words]
+        for w in long_words:  # they are worked out anew where they come again, so that memory stays bounded
+            del known[w]
+        return out
 
 
 def _content(df: DataFrame, path: str):
