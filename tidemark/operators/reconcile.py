@@ -256,19 +256,18 @@ def differences(a: DataFrame, b: DataFrame, keys: list[str], *, missing_in_a: st
     """
     columns = [*keys, *[c for c in a.columns if c in b.columns and c not in keys]]
     a, b = a.select(*columns), b.select(*columns)
-    with_hashes = lambda df: df.withColumns({"element": F.pmod(row_hash([df[c] for c in columns], 1), F.lit(PRIME)), "_key": row_hash([df[c] for c in keys], 2)})
-    ha, hb = with_hashes(a), with_hashes(b)
-    found = differing_elements(ha.select("element"), hb.select("element"), max(a.count(), b.count()), bucket_rows=bucket_rows)
-    wanted = cut(
-        ha.join(found.where("in_a"), "element", "left_semi").select("_key")
-        .unionByName(hb.join(found.where("not in_a"), "element", "left_semi").select("_key"))
-        .distinct()
-    )
+    # Rows are hashed once, into 16 bytes each that all later steps read; only rows of differing keys are read again.
+    key_hash = lambda df: row_hash([df[c] for c in keys], 2)
+    narrow = lambda df, side: df.select(F.pmod(row_hash([df[c] for c in columns], 1), F.lit(PRIME)).alias("element"), key_hash(df).alias("_row_key"), F.lit(side).alias("in_a"))
+    hashes = cut(narrow(a, True).unionByName(narrow(b, False)))
+    rows = hashes.groupBy("in_a").count().agg(F.max("count")).first()[0] or 0
+    found = differing_elements(hashes.where("in_a").select("element"), hashes.where("not in_a").select("element"), rows, bucket_rows=bucket_rows)
+    wanted = cut(hashes.join(found, ["element", "in_a"], "left_semi").select("_row_key").distinct())
     fields = [c for c in columns if c not in keys]
     long = None
-    for df, side in ((ha, "a"), (hb, "b")):
+    for df, side in ((a, "a"), (b, "b")):
         values = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for i, c in enumerate(fields)] or [F.struct(F.lit(0).alias("i"), F.lit("").alias("field"), F.lit(None).cast("string").alias("value"))]))
-        part = df.join(wanted, "_key", "left_semi").select(*keys, values.alias("_f"), F.lit(side == "a").alias("_a"))
+        part = df.withColumn("_row_key", key_hash(df)).join(wanted, "_row_key", "left_semi").select(*keys, values.alias("_f"), F.lit(side == "a").alias("_a"))
         long = part if long is None else long.unionByName(part)
     per_field = (
         long.groupBy(*keys, "_f")
