@@ -440,3 +440,121 @@ def test_evidence_and_statistics(tmp_path):
     assert 0.83 < lo < 0.85 and hi == 1.0 and statistics.wilson(0, 0) == (0.0, 1.0)
     assert abs(statistics.none_seen(20) - 0.1498) < 1e-4
     assert statistics.kappa([(1, 1), (0, 0), (1, 0), (0, 1)]) == 0 and math.isnan(statistics.kappa([])) and math.isnan(statistics.kappa([(1, 1), (1, 1)]))
+
+
+SIGNED = "m string, close_version int, restated_at timestamp, gross_cents bigint, returns_cents bigint, net_cents bigint, line_count bigint"
+STAMP = datetime.datetime(2026, 3, 5, tzinfo=datetime.timezone.utc)
+
+
+def test_each_check_of_a_close_can_fail(spark):
+    """One planted fault for each named check, and nulls that leave one undecided."""
+    later = STAMP + datetime.timedelta(days=1)
+    data = [
+        ("2026-01", 0, STAMP, 9, 1, 8, 1), ("2026-01", 1, later, 9, 2, 7, 1), ("2025-01", 0, STAMP, 9, 1, 7, 1), ("2025-02", 1, STAMP, 9, 1, 8, 1), ("2025-03", 0, later, 9, 1, 8, 1), ("2025-03", 1, STAMP, 9, 1, 8, 1),
+        ("2025-04", 0, STAMP, 9, 1, 8, 1), ("2026-03", 0, STAMP, 9, 1, 8, 1), ("2025-05", 0, STAMP, 9, 10, -1, 1), ("2025-06", 0, STAMP, 9, 1, 8, -1), ("2025-07", 0, STAMP, 9, None, 9, 1), ("2025-08", 0, STAMP, 9, 1, 8, 1), ("2025-08", 0, STAMP, 9, 1, 8, 2),
+    ]
+    ledger = spark.createDataFrame(data, SIGNED)
+    figures = ["gross_cents", "returns_cents", "net_cents", "line_count"]
+    source = ledger.where("m <> '2025-04'").groupBy("m").agg(*[F.max_by(f, F.struct("close_version", "restated_at", *figures)).alias(f) for f in figures])
+    got = closes.verified(ledger, source, ["m"], "m", "close_version", figures)
+    failed = {}
+    for m, check in rows(got.where("not ok").select("m", "check_name")):
+        failed.setdefault(m, set()).add(check)
+    assert failed == {
+        "2025-01": {"net_is_gross_minus_returns"}, "2025-02": {"versions_have_no_gaps"}, "2025-03": {"earlier_versions_are_older"}, "2025-04": {"written_equals_the_source"}, "2026-03": {"month_was_eligible_to_close"}, "2025-05": {"returns_within_gross"},
+        "2025-06": {"no_negative_counts"}, "2025-07": {"net_is_gross_minus_returns", "returns_within_gross"}, "2025-08": {"versions_have_no_gaps"},
+    }
+    assert got.where("detail is null").count() == 0 and got.count() == 7 * 10
+
+
+def test_months_in_progress_stay_open(spark, tmp_path):
+    from tidemark.operators import close_job
+
+    figures = ["gross_cents", "returns_cents", "net_cents", "line_count"]
+    t = SnapshotTable(spark, f"file://{tmp_path}/l", ["m", "close_version"])
+    t.create(spark.createDataFrame([], "m string, close_version int, gross_cents bigint, returns_cents bigint, net_cents bigint, line_count bigint, restated_at timestamp, restatement_reason string"))
+    source = spark.createDataFrame([("2026-01", 10, 1, 9, 2), ("2026-02", 5, 0, 5, 1)], "m string, gross_cents bigint, returns_cents bigint, net_cents bigint, line_count bigint")
+    at = lambda text: int(datetime.datetime.fromisoformat(text).timestamp() * 1_000_000)
+    run = lambda s, when: close_job.run(s, t, ["m"], "close_version", figures, "m", at(when))
+    assert run(source, "2026-02-28T22:59:59+00:00").versions_written == 1  # in Madrid February isn't over
+    assert run(source, "2026-02-28T23:00:00+00:00").versions_written == 1
+    assert run(source, "2026-03-02T00:00:00+00:00") == close_job.Status("nothing to record", 0)
+    changed = source.withColumn("gross_cents", F.col("gross_cents") + 1).withColumn("net_cents", F.col("net_cents") + 1)
+    got = run(changed, "2026-03-03T00:00:00+00:00")
+    assert (got.versions_written, got.failed) == (2, {})
+    assert rows(t.read().select("m", "close_version", "restatement_reason")) == [("2026-01", 0, "first close"), ("2026-01", 1, "late arrivals after close"), ("2026-02", 0, "first close"), ("2026-02", 1, "late arrivals after close")]
+    assert run(changed.withColumn("net_cents", F.lit(0)), "2026-03-04T00:00:00+00:00").failed == {"net_is_gross_minus_returns": 2}
+
+
+def test_money_and_restatement(spark):
+    lines = spark.createDataFrame([("o", "s", 1_768_000_000_000_000, 3, 10), ("p", "s", 1_771_000_000_000_000, 1, 7)], "order_id string, sku string, sale_us bigint, qty bigint, unit_price_cents bigint")
+    kept = spark.createDataFrame([("return_registered", "o", "s", 1_768_000_000_000_000, 2), ("return_registered", "o", "s", 1_767_000_000_000_000, 1), ("return_registered", "x", "s", 1_768_000_000_000_000, 1), ("order_placed", "o", "s", 1, 1)], "event_type string, order_id string, sku string, event_us bigint, qty bigint")
+    assert rows(closes.money(lines, closes.returned(kept, lines)).select("accounting_month", "gross_cents", "returns_cents", "net_cents", "line_count", "return_count")) == [("2026-01", 30, 20, 10, 1, 1), ("2026-02", 7, 0, 7, 1, 0)]
+    ledger = spark.createDataFrame([("a", 0, 1000), ("a", 1, 938), ("b", 0, -10), ("b", 1, -15), ("c", 0, 0), ("c", 1, 5), ("d", 0, 7)], "k string, v int, x bigint")
+    got = closes.restatement(ledger, ["k"], "v", "x")
+    assert rows(got.select("k", "delta", "delta_bp")) == [("a", -62, -620), ("b", -5, 5000), ("c", 5, None), ("d", 0, 0)]
+    assert rows(closes.worst(got, ["k"]).select("k")) == [("a",)]
+
+
+def test_schema_evolution(spark, tmp_path):
+    """Fields nobody declared are kept aside, learnt and then columns; values a column can't hold and broken lines stay readable."""
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    lines = [json.dumps(SALE | {"shelf": "A7", "tags": [1, 2], "weight": 5}), '{"event_id": "broken', json.dumps(SALE | {"qty": "many", "weight": 2**70}), "", json.dumps(SALE)]
+    (drop / "a.json").write_text("\n".join(lines))
+    source, spec = bronze.INGESTORS["evolving"], bronze.IngestSpec(str(drop), options={"schema_log": f"file://{tmp_path}/log", "hints": "weight bigint"})
+    first = source.read(spark, spec)
+    got = [r[0] and (r[0] if r[0][:3] == '{"e' else json.loads(r[0])) for r in first.select(bronze.RESCUE).collect()]
+    assert got == [{"shelf": "A7", "tags": "[1,2]"}, '{"event_id": "broken', {"qty": "many", "weight": str(2**70)}, None]
+    assert source.evolve(spark, spec, first) == ["shelf", "tags"] and source.evolve(spark, spec, source.read(spark, spec)) == []
+    second = source.read(spark, spec)
+    assert rows(second.select("shelf", "tags", "weight", "qty")) == [("A7", "[1,2]", 5, 2), (None, None, None, 2), (None, None, None, None), (None, None, None, None)]
+    assert second.where("_ingested_at is null").count() == 0
+    ingest.append_stream(source.stream(spark, spec), f"{tmp_path}/out", f"{tmp_path}/c")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 4
+
+
+def test_stream_from_a_table_of_the_catalog(spark, tmp_path):
+    spark.range(5).selectExpr("id as k").write.mode("overwrite").option("path", f"{tmp_path}/t").saveAsTable("upstream_of_test")
+    try:
+        stream = bronze.INGESTORS["table"].stream(spark, bronze.IngestSpec("upstream_of_test"))
+        ingest.append_stream(stream, f"{tmp_path}/out", f"{tmp_path}/c")
+        assert spark.read.parquet(f"{tmp_path}/out").count() == 5
+    finally:
+        spark.sql("drop table upstream_of_test")
+
+
+def test_alerts_and_breaches(spark):
+    from tidemark.operators import serving
+
+    details = '{"progress": {"state": "%s", "expectations": [{"name": "n", "dataset": "d", "passed_records": %d, "failed_records": 1}]}}'
+    ddl = "run_id string, at int, level string, details string"
+    log = spark.createDataFrame([("r1", 1, "INFO", details % ("FAILED", 5)), ("r2", 9, "INFO", details % ("COMPLETED", 2))], ddl)
+    assert rows(run_log.alert(log)) == [(False, "r2", "COMPLETED")] and rows(run_log.alert(log.where("run_id = 'r1'"))) == [(True, "r1", "FAILED")]
+    assert rows(run_log.alert(log.limit(0))) == [(True, None, None)]
+    assert rows(run_log.last_run_expectations(log)) == [("r2", "d", "n", 2, 1)]
+    ev = spark.createDataFrame([(1_768_000_000_000_000, 1_768_000_000_000_000)], "e bigint, a bigint")
+    ledger = spark.createDataFrame([("2025-12",)], "m string")
+    assert [r[:2] for r in rows(serving.breaches(ev, "e", "a", ledger, "m", 1_900_000_000_000_000, 15))] == [("close_overdue", "2026-01"), ("ingestion_lag", "log")]
+    assert rows(serving.breaches(ev.limit(0), "e", "a", ledger, "m", 5, 15)) == [("no_data", "log", None)]
+    assert rows(serving.breaches(ev, "e", "a", ledger, "m", 1_768_000_000_000_001, 15)) == []
+
+
+def test_canonical_values_and_verdicts(spark):
+    from decimal import Decimal
+
+    from tidemark.operators import evidence
+
+    assert quality.encoded(Decimal("1.50")) == quality.encoded(Decimal("1.5")) != quality.encoded(1.5)
+    assert quality.encoded(Decimal("-0.0")) == quality.encoded(Decimal("0")) and quality.encoded(-0.0) == quality.encoded(0.0)
+    for odd in (float("nan"), float("inf"), Decimal("NaN")):
+        with pytest.raises(ValueError, match="canonical"):
+            quality.encoded(odd)
+    assert evidence.body_of(evidence.Pass("c", evidence.Rate(0, 20)))["interval"][1] == pytest.approx(0.1498, abs=1e-4)
+    assert evidence.body_of(evidence.Fail("c", {"k": 1}))["ok"] is False
+    with pytest.raises(ValueError, match="no trial"):
+        evidence.body_of(evidence.Pass("c", evidence.Rate(0, 0)))
+    df = spark.createDataFrame([("C1",), ("C1",), (None,)], "id string")
+    assert governance.vault(df, "id", b"k").count() == 1
+    with pytest.raises(ValueError, match="salt"):
+        governance.pseudonym(F.col("id"), "")

@@ -16,6 +16,11 @@ def row_hash(columns: Iterable[Column], seed: int = 0) -> Column:
     return F.xxhash64(*parts)
 
 
+def payload_digest(columns: Iterable[Column]) -> Column:
+    """SHA-256 of a row's values as text, 0x1f between them, nulls as NUL: equal payloads in any engine, 256 bits of them."""
+    return F.sha2(F.concat_ws("\x1f", *[F.coalesce(c.cast("string"), F.lit("\x00")) for c in columns]), 256)
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row (row_count, sum_hash, xor_hash) that is equal for equal multisets of rows, in any order and partitioning."""
     h = row_hash([F.col(f"`{c}`") for c in df.columns])

@@ -89,7 +89,11 @@ class Compaction:
 
     def rows(self) -> DataFrame:
         """The rows of the committed files."""
-        return read_committed(self.spark, self.root).select(*self.columns)
+        return self.rows_read().select(*self.columns)
+
+    def rows_read(self) -> DataFrame:
+        """The same as a scan, with the file that each row lies in."""
+        return read_committed(self.spark, self.root)
 
 
 def committed(spark: SparkSession, root: str) -> str:

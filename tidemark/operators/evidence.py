@@ -5,6 +5,41 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+from dataclasses import dataclass
+
+from tidemark.functions.statistics import none_seen, wilson
+
+@dataclass(frozen=True)
+class Rate:
+    """hits of n trials, with the interval that n allows to state."""
+
+    hits: int
+    n: int
+
+    def interval(self) -> tuple[float, float]:
+        return (0.0, none_seen(self.n)) if self.hits == 0 else wilson(self.hits, self.n)
+
+
+@dataclass(frozen=True)
+class Pass:
+    claim: str
+    rate: Rate | None = None
+
+
+@dataclass(frozen=True)
+class Fail:
+    claim: str
+    counterexample: object = None
+
+
+def body_of(verdict: Pass | Fail) -> dict:
+    """What the chain records of a verdict. A pass without a single trial is refused, as it would claim what nobody saw."""
+    if isinstance(verdict, Fail):
+        return {"claim": verdict.claim, "ok": False, "counterexample": repr(verdict.counterexample)}
+    if verdict.rate is not None and verdict.rate.n == 0:
+        raise ValueError(f"{verdict.claim}: no trial was run")
+    return {"claim": verdict.claim, "ok": True} | ({} if verdict.rate is None else {"hits": verdict.rate.hits, "n": verdict.rate.n, "interval": list(verdict.rate.interval())})
+
 
 START = "0" * 32
 

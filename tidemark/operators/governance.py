@@ -28,6 +28,11 @@ def token(c: Column, key: bytes) -> Column:
     return F.substring(F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, F.encode(c, "UTF-8")), 256))), 256), 1, 24)
 
 
+def vault(df: DataFrame, column: str, key: bytes) -> DataFrame:
+    """(token, value): what those with access need to go back from tokens; kept apart from the data."""
+    return df.where(F.col(column).isNotNull()).select(token(F.col(column), key).alias("token"), F.col(column).alias("value")).distinct()
+
+
 def generalised(text: Column, to: str, zone: str = ACCOUNTING_ZONE) -> Column:
     """A readable time cut down to its day, month or year in the accounting zone."""
     pattern = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}[to]

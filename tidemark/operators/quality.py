@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable
 from datetime import date, datetime
 from decimal import Decimal
@@ -82,9 +83,20 @@ TAGS = {bool: "b", int: "i", Decimal: "d", float: "f", datetime: "t", date: "D",
 
 
 def encoded(value: object) -> str:
-    """<tag>:<bytes>:<text> of a value; null is n:0:. Distinct values never share an encoding."""
+    """<tag>:<bytes>:<text> of a value; null is n:0:. Distinct values never share an encoding, equal ones always do.
+
+    Decimals lose trailing zeros, negative zero its sign; what is no number is refused, as it isn't equal to itself.
+    """
     if value is None:
         return "n:0:"
+    if isinstance(value, float | Decimal):
+        if not (math.isfinite(value) if isinstance(value, float) else value.is_finite()):
+            raise ValueError(f"{value} has no canonical encoding")
+        value = value + 0 if value else abs(value)
+    if isinstance(value, Decimal):
+        sign, digits, _ = value.normalize().as_tuple()
+        value = format(value.normalize(), "f") if digits != (0,) else "0"
+        return f"d:{len(value)}:{value}"
     text = value.hex() if isinstance(value, bytes | float) else value.isoformat() if isinstance(value, date | datetime) else str(value)
     return f"{TAGS[type(value)]}:{len(text.encode())}:{text}"
 

@@ -28,6 +28,19 @@ def overdue(log: DataFrame, event_us: str, ledger: DataFrame, period: str, now_u
     return due.join(ledger.select(period).distinct(), period, "left_anti")
 
 
+def breaches(log: DataFrame, event_us: str, arrival_us: str, ledger: DataFrame, period: str, now_us: int, sla_minutes: int, day: int = 5) -> DataFrame:
+    """(breach, subject, lag_seconds): no_data, or ingestion_lag and a close_overdue for each month past its deadline.
+
+    No rows means that all is well. A log without arrivals is no_data alone, as nothing can be said of its months.
+    """
+    last = log.agg(F.max(arrival_us).alias("at"))
+    lag = F.call_function("div", F.lit(now_us).cast("bigint") - F.col("at"), F.lit(1_000_000).cast("bigint"))
+    of_log = last.select(F.when(F.col("at").isNull(), "no_data").when(lag > sla_minutes * 60, "ingestion_lag").alias("breach"), F.lit("log").alias("subject"), lag.alias("lag_seconds"))
+    due = overdue(log, event_us, ledger, period, now_us, day)
+    of_months = due.select(F.lit("close_overdue").alias("breach"), F.col(period).alias("subject"), F.call_function("div", F.lit(now_us).cast("bigint") - F.col("deadline_us"), F.lit(1_000_000).cast("bigint")).alias("lag_seconds"))
+    return of_log.where(F.col("breach").isNotNull()).unionByName(of_months)
+
+
 def euros(cents: Column, signed: bool = False) -> Column:
     """Cents as text with blanks between thousands and a decimal comma, by integers only: 672 693,42."""
     whole = F.regexp_replace(F.call_function("div", F.abs(cents), F.lit(100).cast("bigint")).cast("string"), r"(?<=\d)(?=(\d{3})+\z)", " ")

@@ -139,6 +139,11 @@ def gross_by_month(spark, sf_dir):
     return closes.monthly(closes.effective_lines(silver(spark, sf_dir)))
 
 
+def _raw_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns as they were delivered, for counting heavy order lines without the work that goes into the kept ones."""
+    return events(spark, sf_dir).where(F.col("event_type") == "return_registered").select("event_id", "order_id", "sku", instant_us(F.col("event_ts")).alias("event_us"))
+
+
 @query(f"""WITH {LINES}, r AS (SELECT s.event_id, s.order_id, s.sku, s.qty, s.ev, l.ev IS NOT NULL AND s.ev >= l.ev AS counts, l.ev IS NOT NULL AS has_sale FROM silver s LEFT JOIN lines l USING (order_id, sku) WHERE s.event_type = 'return_registered')
 SELECT event_id, has_sale, CAST(sum(CASE WHEN counts THEN qty ELSE 0 END) OVER (PARTITION BY order_id, sku ORDER BY ev, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS returned_so_far FROM r""")
 def running_returns(spark, sf_dir):
@@ -146,7 +151,7 @@ def running_returns(spark, sf_dir):
     kept = silver(spark, sf_dir)
     lines = closes.effective_lines(kept).select("order_id", "sku", "sale_us")
     returns = kept.where(F.col("event_type") == "return_registered").select("event_id", "order_id", "sku", "qty", "event_us").join(lines, ["order_id", "sku"], "left")
-    total = closes.running_total(returns, ["order_id", "sku"], "event_us", "event_id", F.col("qty"), F.col("event_us") >= F.col("sale_us"), "returned_so_far")
+    total = closes.running_total(returns, ["order_id", "sku"], "event_us", "event_id", F.col("qty"), F.col("event_us") >= F.col("sale_us"), "returned_so_far", raw=_raw_returns(spark, sf_dir))
     return total.select("event_id", F.col("sale_us").isNotNull().alias("has_sale"), "returned_so_far")
 
 
@@ -191,7 +196,7 @@ def close_versions(spark, sf_dir):
 
 @query(f"WITH {SNAPSHOTS} SELECT accounting_month, arg_min(unit_count, close_version) AS first_value, arg_max(unit_count, close_version) AS last_value, arg_max(unit_count, close_version) - arg_min(unit_count, close_version) AS delta FROM versions GROUP BY 1")
 def restatement_magnitude(spark, sf_dir):
-    return closes.restatement(_versions(spark, sf_dir), ["accounting_month"], "close_version", "unit_count")
+    return closes.restatement(_versions(spark, sf_dir), ["accounting_month"], "close_version", "unit_count").drop("delta_bp")
 
 
 LEDGER = "ledger AS (SELECT DISTINCT shop_id, accounting_month, close_version, " + ", ".join(FIGURES) + " FROM close_month)"

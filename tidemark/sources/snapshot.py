@@ -173,6 +173,13 @@ class SnapshotTable:
             raise ValueError("a rewrite must keep all rows")
         return self._publish(v, operation, new, schema, {"files_before": len(files), "files_after": len(new)})
 
+    def replace(self, df: DataFrame) -> int:
+        """Publishes df as the whole content, or creates the table: a stored view that is computed anew."""
+        if not self.versions():
+            return self.create(df)
+        v, _, schema = self._state()
+        return self._publish(v, "replace", self._write(df.select(*schema.names)), schema, {})
+
     def compact(self, target_bytes: int) -> int:
         _, files, _ = self._state()
         n = max(1, -(-sum(f["bytes"] for f in files) // target_bytes))

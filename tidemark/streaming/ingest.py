@@ -66,6 +66,11 @@ def reconciled(spark: SparkSession, root: str, lines: int) -> dict[str, int]:
     return out
 
 
+def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Appends all there is of a stream to a folder of Parquet by the file sink, which commits each batch once."""
+    stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path).awaitTermination()
+
+
 def deduplicated_stream(stream: DataFrame, key: str = "event_id", arrival: str = "arrival_ts", delay: str = "2 hours") -> DataFrame:
     """An experiment: repeats within a watermark on arrival are dropped in the stream, later ones escape."""
     return stream.withColumn("_at", instant(F.col(arrival))).where(F.col("_at").isNotNull()).withWatermark("_at", delay).dropDuplicatesWithinWatermark([key]).drop("_at")
