@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import fingerprint, ordered_fingerprint
+from tidemark.functions.times import instant_us
 from tidemark.operators import closes, governance, layout, quality, quarantine, run_log
 from tidemark.sources import bronze
 from tidemark.sources.snapshot import Conflict, SnapshotTable
@@ -558,3 +559,58 @@ def test_canonical_values_and_verdicts(spark):
     assert governance.vault(df, "id", b"k").count() == 1
     with pytest.raises(ValueError, match="salt"):
         governance.pseudonym(F.col("id"), "")
+
+
+def test_boundaries(spark, tmp_path):
+    """Each border of the contract: reasons of its events, lines as of the close and in the end."""
+    from tidemark.operators.kept import kept_copies
+    from tidemark.plans.log_queries import PAYLOAD
+    from tidemark.sources import fixtures
+
+    close = datetime.datetime(2026, 2, 1, tzinfo=datetime.timezone.utc)
+    cases = fixtures.write_boundaries(str(tmp_path), close)
+    log = bronze.INGESTORS["jsonl"].read(spark, bronze.IngestSpec(str(tmp_path)))
+    want = {e["event_id"]: r for c in cases for e, r in zip(c.events, c.reasons, strict=True)}
+    assert {r["event_id"]: r["quarantine_reason"] for r in quarantine.classify(log).collect()} == want and len(cases) == 20
+
+    def lines(rows_of):
+        kept = kept_copies(rows_of, "event_id", instant_us(F.col("event_ts")), instant_us(F.col("arrival_ts")), PAYLOAD).where(quarantine.quarantine_reason() == "accepted")
+        return {(r["order_id"], r["sku"]): r["qty"] for r in closes.effective_lines(kept).collect()}
+
+    assert lines(bronze.as_of_cut(log, "2026-02-01T00:00:00Z")) == {k: v for c in cases for k, v in c.at_close.items()}
+    assert lines(log) == {k: v for c in cases for k, v in c.in_the_end.items()}
+
+
+def test_campaign(spark, drop, tmp_path):
+    """Replays converge; a writer that appends is the control, which the campaign must find out."""
+    from tidemark.functions.campaign import campaign
+
+    code = lambda name, sound: WORKER.format(root=ROOT, drop=drop, out=f"{tmp_path}/{name}-{sound}", idempotent=sound)
+    result = lambda name, sound: ingest.written(spark, f"{tmp_path}/{name}-{sound}").count()
+    for sound, hits in ((True, 0), (False, 1)):
+        got = campaign(["after_write:2"], 1, lambda n: code(n, sound), lambda n: result(n, sound), 21)  # noqa: B023
+        assert (got.rate().hits, got.rate("after_write:2").n) == (hits, 1)
+
+
+def test_changes_replayed(spark, tmp_path):
+    """A stream of changes that starts again from the begin leaves the history as it was."""
+    from tidemark.operators import satellites
+    from tidemark.streaming import cdc
+
+    df = spark.createDataFrame([("c", 1, "a"), ("c", 5, "b"), ("d", 2, None), (None, 3, "x")], "k string, at bigint, v string")
+    df.repartition(2).write.parquet(f"{tmp_path}/drop")
+    store = satellites.SatelliteStore(spark, f"file://{tmp_path}/s", "k", [["v"]])
+    for i in range(2):
+        stream = bronze.INGESTORS["parquet"].stream(spark, bronze.IngestSpec(f"{tmp_path}/drop", files_per_trigger=1))
+        cdc.follow(stream, store, F.col("at"), F.col("v"), f"{tmp_path}/c{i}")
+        assert rows(store.history()) == [("c", 1, 5, "a"), ("c", 5, None, "b"), ("d", 2, None, None)]
+
+
+def test_command_line(tmp_path, capsys):
+    from tidemark import cli
+
+    assert cli.main(["doctor"]) == 0 and "java: there" in capsys.readouterr().out
+    assert cli.main(["generate", str(tmp_path / "log"), "--orders", "20", "--boundaries"]) == 0 and "20 boundary cases" in capsys.readouterr().out
+    assert cli.main(["evidence", str(tmp_path / "chain"), "--claim", "x"]) == 0 and cli.main(["evidence", str(tmp_path / "chain")]) == 0
+    first, again = capsys.readouterr().out.split()
+    assert first == again

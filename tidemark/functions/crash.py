@@ -8,6 +8,10 @@ import os
 CRASH_POINTS = ("before_write", "after_write", "mid_merge", "before_close_marker")
 
 
+#: Exit code of a process that was told to crash.
+CRASHED = 17
+
+
 def barrier(point: str) -> None:
     """Ends the process at once if TIDEMARK_CRASH names this point; at the n-th pass, if it says point:n."""
     asked = os.environ.get("TIDEMARK_CRASH", "")
@@ -16,4 +20,4 @@ def barrier(point: str) -> None:
         left = int(nth or 1) - 1
         os.environ["TIDEMARK_CRASH"] = f"{name}:{left}" if left else ""
         if not left:
-            os._exit(17)
+            os._exit(CRASHED)

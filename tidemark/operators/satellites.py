@@ -26,7 +26,7 @@ def standing_updates(updates: DataFrame, key: str, moment_us: Column, version: C
     Updates without key or instant don't count. Repeated deliveries and a heavy pair collapse before the shuffle; ties
     in version are decided by the attributes' values.
     """
-    rank = F.struct(version.isNotNull(), version.alias("v"), *[F.struct(F.col(c).isNotNull(), F.col(c)).alias(c) for c in attributes])
+    rank = F.struct(version.isNotNull(), version.alias("_version"), *[F.struct(F.col(c).isNotNull(), F.col(c)).alias(c) for c in attributes])
     best = updates.select(F.col(key).alias(key), moment_us.alias("at_us"), rank.alias("_r")).where(F.col(key).isNotNull() & F.col("at_us").isNotNull()).groupBy(key, "at_us").agg(F.max("_r").alias("_r"))
     return best.select(key, "at_us", *[F.col(f"_r.{c}.{c}").alias(c) for c in attributes])
 
@@ -112,6 +112,10 @@ def current_rows(stored: DataFrame, key: str, attributes: list[str], load: str =
     return last.where(~F.col("gone")).drop("gone")
 
 
+#: Names that a satellite's own columns have.
+RESERVED = {"at_us", "end_us", "hash_diff", "gone", "load", "_version"}
+
+
 class SatelliteStore:
     """Insert-only satellites in a folder, a load after the other: log/<load>/ holds the updates as they came, sat<i>/
     <load>/ the rows appended to each satellite, commits/<load>.json what a load consists of. What no commit names
@@ -119,6 +123,9 @@ class SatelliteStore:
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, groups: list[list[str]], chunk_rows: int = CHUNK_ROWS):
+        clash = RESERVED & {key, *[c for g in groups for c in g]}
+        if clash:
+            raise ValueError(f"columns of a satellite itself: {sorted(clash)}")
         self.spark, self.path, self.key, self.groups, self.chunk_rows = spark, path.rstrip("/"), key, groups, chunk_rows
 
     def loads(self) -> list[str]:
@@ -137,12 +144,12 @@ class SatelliteStore:
         attributes = [c for g in self.groups for c in g]
         done = self.loads()
         folder = f"{len(done):06d}-{uuid.uuid4().hex}"
-        slim = updates.select(F.col(self.key), moment_us.alias("at_us"), version.alias("version"), *attributes).where(F.col(self.key).isNotNull() & F.col("at_us").isNotNull())
+        slim = updates.select(F.col(self.key), moment_us.alias("at_us"), version.alias("_version"), *attributes).where(F.col(self.key).isNotNull() & F.col("at_us").isNotNull())
         slim.write.parquet(f"{self.path}/log/{folder}")
         new = self._read("log", [folder])
         keys = cut(new.select(self.key).distinct())
         touched = self._read("log", [*done, folder]).join(keys, self.key, "left_semi")
-        standing = cut(standing_updates(touched, self.key, F.col("at_us"), F.col("version"), attributes))
+        standing = cut(standing_updates(touched, self.key, F.col("at_us"), F.col("_version"), attributes))
         for i, g in enumerate(self.groups):
             append_batch(self._read(f"sat{i}", done), standing, keys, self.key, g, chunk_rows=self.chunk_rows).write.parquet(f"{self.path}/sat{i}/{folder}")
         commits.publish(self.spark, f"{self.path}/commits/{len(done):06d}.json", json.dumps({"folder": folder}).encode())

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import ordered_fingerprint, payload_digest
 from tidemark.functions.times import accounting_month, instant_us, utc_text
-from tidemark.operators import closes, compaction, layout, quarantine, run_log, serving
+from tidemark.operators import closes, compaction, layout, quarantine, run_log, satellites, serving
 from tidemark.plans.log_queries import AS_OF, CLASSIFIED, FIGURES, LEDGER, LINES, SHOP, SILVER, _run_log, events, ledger, silver
-from tidemark.plans.training_data import table
-from tidemark.plans.training_sql import _kept, _ts
+from tidemark.plans.training_data import _versions_of, table
+from tidemark.plans.training_sql import P2, _kept, _ts
 from tidemark.session import FRESHNESS_SLA_MINUTES, MAX_LINE_QUANTITY, MAX_UNIT_PRICE_CENTS, scratch
 from tidemark.sources import bronze
 from tidemark.sources.snapshot import SnapshotTable
@@ -296,6 +296,19 @@ def stream_schema_evolution(spark, sf_dir):
     return got.agg(F.count("shelf").alias("s"), F.count("event_id").alias("e")).selectExpr("stack(2, 'shelf', s, 'event_id', e) as (field, n)")
 
 
+@query(P2)
+def stream_history(spark, sf_dir):
+    """The history of customers kept up by a stream of their updates, fed through a view."""
+    from tidemark.streaming import cdc
+
+    at = scratch(spark, "cdc")
+    table(spark, sf_dir, "customer_updates").repartition(3).write.parquet(f"{at}/drop")
+    bronze.INGESTORS["parquet"].stream(spark, bronze.IngestSpec(f"{at}/drop", files_per_trigger=1)).createOrReplaceTempView("customer_changes")
+    store = satellites.SatelliteStore(spark, f"{at}/store", "customer_id", [["segment"], ["country"]])
+    cdc.follow(spark.table("customer_changes"), store, instant_us(F.col("valid_from")), F.col("event_id"), f"{at}/c")
+    return _versions_of(store.history())
+
+
 @query(f"WITH {CLASSIFIED} SELECT event_type, count(*) AS n FROM classified WHERE quarantine_reason = 'accepted' GROUP BY 1")
 def stream_from_table(spark, sf_dir):
     """A second stream whose source is the table that a first one wrote."""
