@@ -183,7 +183,7 @@ def test_compaction_keeps_rows(spark, tmp_path, small_manifest):
 def test_compaction_cuts_a_file_of_equal_rows(spark, tmp_path):
     df = spark.range(4_000).select(F.lit("e").alias("event_id"), F.lit("f").alias("file"))
     done = compaction.compact(df, "file", target_bytes=1_000, root=f"file://{tmp_path}/c")
-    sizes = spark.read.parquet(f"{compaction.committed(spark, done.root)}/data").groupBy("_bin").count()
+    sizes = spark.read.parquet(f"{compaction.committed(spark, done.root)}/data").groupBy("_pack_bin").count()
     assert done.rows().count() == 4_000 and sizes.agg(F.max("count")).first()[0] < 900
 
 
@@ -266,7 +266,7 @@ def test_layers_of_nothing(spark, tmp_path):
 def test_deduplicated(spark, sizes):
     r = random.Random(5)
     data = [(f"id{r.randrange(900)}" if r.random() < 0.97 else None, r.choice([1, 2, 3, None]), r.choice([*range(50), None]), f"p{r.randrange(9)}") for _ in range(1500)] + [("hot", 1, 1, "x")] * 800
-    df = spark.createDataFrame(data, "id string, ev bigint, ar bigint, _maybe_not string")
+    df = spark.createDataFrame(data, "id string, ev bigint, ar bigint, _maybe string")
     bucket = F.coalesce((F.col("ar") / 10).cast("int"), F.lit(-1))
     best = {}
     count = {}
@@ -313,7 +313,7 @@ def test_false_alarms_stay_rare(spark, scale):
     ids = spark.range(40_000 + 1_500 * scale).select(F.col("id"), F.when(F.col("id") < 40_000, 1).otherwise(2).alias("n"))
     df = ids.select(F.concat(F.lit("e"), "id").alias("id"), (F.col("id") < 40_000).alias("single"), F.explode(F.sequence(F.lit(1), "n")).alias("k"))
     df = df.withColumn("bucket", F.when(F.col("k") == 1, F.pmod(F.xxhash64("id"), F.lit(13))).otherwise(F.lit(3)))
-    got = bloom_dedup.screened(df, "id", F.col("bucket")).groupBy("single").agg(F.avg(F.col("_maybe").cast("int")).alias("share")).collect()
+    got = bloom_dedup.screened(df, "id", F.col("bucket")).groupBy("single").agg(F.avg(F.col("_dedup_maybe").cast("int")).alias("share")).collect()
     share = {r["single"]: r["share"] for r in got}
     assert share[False] == 1.0 and share[True] < 0.02
 

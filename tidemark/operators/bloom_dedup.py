@@ -229,23 +229,23 @@ def _mask(h: Column) -> Column:
 
 
 def screened(events: DataFrame, key: str, bucket: Column, rate: float = RATE, most_words: int = MOST_WORDS) -> DataFrame:
-    """events that have a key, with _maybe: false where the identifier is definitely single.
+    """events that have a key, with _dedup_maybe: false where the identifier is definitely single.
 
-    Beyond most_words all rows are _maybe; the exact check then combines them by identifier before its shuffle.
+    Beyond most_words it is true of all rows; the exact check then combines them by identifier before its shuffle.
     """
     n = events.count()
-    rows = events.where(F.col(key).isNotNull()).withColumns({"_bucket": F.coalesce(bucket.cast("int"), F.lit(-1)), "_h": F.xxhash64(F.col(key))})
-    found, shards = possible_repeats(rows.select(F.col("_bucket").alias("bucket"), F.col("_h").alias("h")), n, rate)
+    rows = events.where(F.col(key).isNotNull()).withColumns({"_dedup_bucket": F.coalesce(bucket.cast("int"), F.lit(-1)), "_dedup_h": F.xxhash64(F.col(key))})
+    found, shards = possible_repeats(rows.select(F.col("_dedup_bucket").alias("bucket"), F.col("_dedup_h").alias("h")), n, rate)
     found = cut(found)
     words = words_for(max(1, found.count()), rate)
     if words > most_words:
-        return rows.withColumn("_maybe", F.lit(True))
+        return rows.withColumn("_dedup_maybe", F.lit(True))
     place = lambda b, s, i: F.xxhash64(b, s, i)
     p = found.select(place(F.col("bucket"), F.col("shard"), F.col("id")).alias("p"))
-    bits = p.groupBy(F.pmod(F.shiftright("p", 24), F.lit(words)).alias("_fw")).agg(F.bit_or(_mask(F.col("p"))).alias("_fb"))
-    hit = rows.withColumn("_p", place(F.col("_bucket"), shard_of(F.col("_h"), shards), kept_bits(F.col("_h"))))
-    hit = hit.join(F.broadcast(bits), F.pmod(F.shiftright("_p", 24), F.lit(words)) == F.col("_fw"), "left")  # at most most_words rows
-    return hit.withColumn("_maybe", F.coalesce(F.col("_fb").bitwiseAND(_mask(F.col("_p"))) == _mask(F.col("_p")), F.lit(False))).drop("_p", "_fw", "_fb")
+    bits = p.groupBy(F.pmod(F.shiftright("p", 24), F.lit(words)).alias("_dedup_fw")).agg(F.bit_or(_mask(F.col("p"))).alias("_dedup_fb"))
+    hit = rows.withColumn("_dedup_p", place(F.col("_dedup_bucket"), shard_of(F.col("_dedup_h"), shards), kept_bits(F.col("_dedup_h"))))
+    hit = hit.join(F.broadcast(bits), F.pmod(F.shiftright("_dedup_p", 24), F.lit(words)) == F.col("_dedup_fw"), "left")  # at most most_words rows
+    return hit.withColumn("_dedup_maybe", F.coalesce(F.col("_dedup_fb").bitwiseAND(_mask(F.col("_dedup_p"))) == _mask(F.col("_dedup_p")), F.lit(False))).drop("_dedup_p", "_dedup_fw", "_dedup_fb")
 
 
 def repeated(events: DataFrame, key: str, bucket: Column, event_us: Column, arrival_us: Column, columns: list[str], **sizes) -> DataFrame:
@@ -254,9 +254,9 @@ def repeated(events: DataFrame, key: str, bucket: Column, event_us: Column, arri
     Rows without identifier are no message. Copies are ordered as in kept.copy_rank. Only rows that the filters know
     are grouped, combined by identifier before the shuffle.
     """
-    maybe = screened(events, key, bucket, **sizes).where("_maybe")
-    best = maybe.select(key, copy_rank(event_us, arrival_us, columns).alias("_r")).groupBy(key).agg(F.min("_r").alias("_r"), F.count("*").alias("copies"))
-    return best.where(F.col("copies") > 1).select(key, *[F.col(f"_r.{c}.{c}").alias(c) for c in columns], "copies")
+    maybe = screened(events, key, bucket, **sizes).where("_dedup_maybe")
+    best = maybe.select(key, copy_rank(event_us, arrival_us, columns).alias("_dedup_r")).groupBy(key).agg(F.min("_dedup_r").alias("_dedup_r"), F.count("*").alias("copies"))
+    return best.where(F.col("copies") > 1).select(key, *[F.col(f"_dedup_r.{c}.{c}").alias(c) for c in columns], "copies")
 
 
 def deduplicated(events: DataFrame, key: str, bucket: Column, event_us: Column, arrival_us: Column, **sizes) -> DataFrame:
@@ -265,10 +265,10 @@ def deduplicated(events: DataFrame, key: str, bucket: Column, event_us: Column,
     Definitely single rows go straight through; only possible repeats are grouped, with all their columns.
     """
     marked = screened(events, key, bucket, **sizes)
-    single = marked.where(~F.col("_maybe")).select(*events.columns)
+    single = marked.where(~F.col("_dedup_maybe")).select(*events.columns)
     columns = [c for c in events.columns if c != key]
-    best = marked.where("_maybe").select(key, copy_rank(event_us, arrival_us, columns).alias("_r")).groupBy(key).agg(F.min("_r").alias("_r"))
-    kept = best.select(key, *[F.col(f"_r.{c}.{c}").alias(c) for c in columns])
+    best = marked.where("_dedup_maybe").select(key, copy_rank(event_us, arrival_us, columns).alias("_dedup_r")).groupBy(key).agg(F.min("_dedup_r").alias("_dedup_r"))
+    kept = best.select(key, *[F.col(f"_dedup_r.{c}.{c}").alias(c) for c in columns])
     return single.unionByName(kept.select(*events.columns))
 
 
@@ -315,9 +315,9 @@ class SeenStore:
         and only in the storage of the buckets whose filters matched.
         """
         done, shards, rate = self.batches(), self.shards, self.rate
-        rows = batch.where(F.col(key).isNotNull()).withColumns({"_bucket": F.coalesce(bucket.cast("int"), F.lit(-1)), "_h": F.xxhash64(F.col(key)), "_rank": rank})
-        own = cut(rows.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in rows.columns]), "_rank").alias("_r")).select("_r.*").drop("_rank"))
-        slim = own.select(shard_of(F.col("_h"), shards).alias("shard"), F.col("_h").alias("h"), F.col("_bucket").alias("bucket"))
+        rows = batch.where(F.col(key).isNotNull()).withColumns({"_dedup_bucket": F.coalesce(bucket.cast("int"), F.lit(-1)), "_dedup_h": F.xxhash64(F.col(key)), "_dedup_rank": rank})
+        own = cut(rows.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in rows.columns]), "_dedup_rank").alias("_dedup_r")).select("_dedup_r.*").drop("_dedup_rank"))
+        slim = own.select(shard_of(F.col("_dedup_h"), shards).alias("shard"), F.col("_dedup_h").alias("h"), F.col("_dedup_bucket").alias("bucket"))
 
         def matches(asked: pa.Table, filters: pa.Table) -> pa.Table:
             h = asked.column("h").to_numpy().astype(np.int64)
@@ -332,16 +332,16 @@ class SeenStore:
         hits = slim.select("shard", "h").groupBy("shard").cogroup(self._filters(done).groupBy("shard")).applyInArrow(matches, "h bigint, bucket int")
         asked = cut(hits.distinct())
         matching = [r["bucket"] for r in asked.select("bucket").distinct().collect()]  # time buckets: few
-        hit = asked.join(own.select(F.col("_h").alias("h"), F.col(key).alias("key")), "h")
-        seen = hit.join(self._stored(done, matching), ["bucket", "h", "key"], "left_semi").select(F.col("key").alias("_seen")).distinct()
-        new = cut(own.join(seen, own[key] == seen["_seen"], "left_anti"))
+        hit = asked.join(own.select(F.col("_dedup_h").alias("h"), F.col(key).cast("string").alias("key")), "h")
+        seen = hit.join(self._stored(done, matching), ["bucket", "h", "key"], "left_semi").select(F.col("key").alias("_dedup_seen")).distinct()
+        new = cut(own.join(seen, own[key].cast("string") == seen["_dedup_seen"], "left_anti"))
 
         def built(part: pa.Table) -> pa.Table:
             ids = np.unique(part.column("h").to_numpy().astype(np.int64).view(np.uint64) & np.uint64(2**KEPT_BITS - 1))
             return pa.table({"bucket": part.column("bucket")[:1], "shard": part.column("shard")[:1], "words": pa.array([build(ids, rate).astype("<u8").tobytes()], pa.binary())})
 
         folder = f"{len(done):06d}-{uuid.uuid4().hex}"
-        ids = new.select(F.col("_h").alias("h"), F.col(key).cast("string").alias("key"), F.col("_bucket").alias("bucket"), shard_of(F.col("_h"), shards).alias("shard"))
+        ids = new.select(F.col("_dedup_h").alias("h"), F.col(key).cast("string").alias("key"), F.col("_dedup_bucket").alias("bucket"), shard_of(F.col("_dedup_h"), shards).alias("shard"))
         ids.drop("shard").write.partitionBy("bucket").parquet(f"{self.path}/ids/{folder}")
         ids.groupBy("bucket", "shard").applyInArrow(built, "bucket int, shard bigint, words binary").write.parquet(f"{self.path}/filters/{folder}")
         counts = {r["bucket"]: r["n"] for r in ids.groupBy("bucket").agg(F.count("*").alias("n")).collect()}

@@ -130,18 +130,18 @@ def compact(rows: DataFrame, file_column: str, *, target_bytes: int = TARGET_BYT
     manifest = spark.read.parquet(f"{at}/manifest")
     total = manifest.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
     packed(manifest, total["files"], target_bytes).write.parquet(f"{at}/bins")
-    bins = spark.read.parquet(f"{at}/bins").withColumnsRenamed({"file": "_file", "bin": "_bin0", "parts": "_parts"})
+    bins = spark.read.parquet(f"{at}/bins").withColumnsRenamed({"file": "_pack_file", "bin": "_pack_bin0", "parts": "_pack_parts"})
     # A number that tells even equal rows apart spreads the rows of a file over its parts and, in the join, its salts.
-    placed = rows.withColumns({"_f": file, "_no": F.xxhash64(F.monotonically_increasing_id())})
+    placed = rows.withColumns({"_pack_f": file, "_pack_no": F.xxhash64(F.monotonically_increasing_id())})
     if total["files"] <= small_manifest:
-        placed = placed.join(F.broadcast(bins), F.col("_f") == F.col("_file"))
+        placed = placed.join(F.broadcast(bins), F.col("_pack_f") == F.col("_pack_file"))
     else:
-        salted = bins.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        placed = placed.withColumn("_s", F.pmod("_no", F.lit(SALTS))).join(salted, (F.col("_f") == F.col("_file")) & (F.col("_s") == F.col("_salt")))
-    placed = placed.withColumn("_bin", F.col("_bin0") + F.pmod(F.shiftright("_no", 8), F.col("_parts"))).select(*rows.columns, "_bin")
+        salted = bins.withColumn("_pack_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        placed = placed.withColumn("_pack_s", F.pmod("_pack_no", F.lit(SALTS))).join(salted, (F.col("_pack_f") == F.col("_pack_file")) & (F.col("_pack_s") == F.col("_pack_salt")))
+    placed = placed.withColumn("_pack_bin", F.col("_pack_bin0") + F.pmod(F.shiftright("_pack_no", 8), F.col("_pack_parts"))).select(*rows.columns, "_pack_bin")
     tasks = max(1, min(200_000, -(-int(total["bytes"]) // target_bytes) + 1))
-    placed.repartition(tasks, "_bin").write.partitionBy("_bin").parquet(f"{at}/data")
-    written = spark.read.parquet(f"{at}/data") if total["files"] else rows.limit(0).withColumn("_bin", F.lit(0))
+    placed.repartition(tasks, "_pack_bin").write.partitionBy("_pack_bin").parquet(f"{at}/data")
+    written = spark.read.parquet(f"{at}/data") if total["files"] else rows.limit(0).withColumn("_pack_bin", F.lit(0))
     again = written.select(file.alias("file"), h.alias("_h")).groupBy("file").agg(*_checks(F.col("_h")))
     wrong = manifest.drop("bytes").exceptAll(again).unionByName(again.exceptAll(manifest.drop("bytes")))
     if total["files"] and not wrong.isEmpty():
