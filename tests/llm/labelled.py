@@ -1,7 +1,10 @@
-"""A labelled set that no model is fitted on and no table holds: texts in other words than the samples', most of them in
-sentences of everyday mail. Recall and precision of the residue operator are measured on it."""
+"""Labelled texts that no table holds.
 
-CASES = [
+DEVELOPMENT was looked at while samples and thresholds were made; some of its words came into the samples. HELD_OUT was
+written after the samples and thresholds were fixed, and nothing was changed after it was first measured.
+"""
+
+DEVELOPMENT_CASES = [
     # placeholders
     "Dear {{customer['name']}}, hello.", "Dear [[ORDER/NO]], hi.", "Dear :first_name, your parcel leaves on :date.", "We have booked your flight to ${destination} for two.", "Your appointment with Dr [surname] is confirmed.", "Thank you, %%FIRSTNAME%%, we will call you back.",
     "The invoice for <%= order.id %> is attached.", "Sehr geehrte Frau {{nachname}}, Ihre Sendung ist unterwegs.", "Beste {{voornaam}}, tot morgen!", "Hi *|FNAME|*, here is your monthly statement.", "Your code is {code} and expires in ten minutes.", "The keys are with <neighbour name> until six.",
@@ -14,7 +17,7 @@ CASES = [
     "Access to this page has been denied.", "The site is down for scheduled maintenance. Please check back soon.", "You don't have permission to access this resource.", "Bitte aktivieren Sie JavaScript in Ihrem Browser.", "Página no encontrada. Vuelva al inicio.", "Cette page n'existe plus.", "Il servizio è temporaneamente non disponibile.", "O servidor não respondeu a tempo.", "HTTP ERROR 403", "Traceback (most recent call last):\n  File \"/usr/lib/python3/site.py\", line 12, in <module>\nZeroDivisionError: division by zero",
     "java.lang.NullPointerException\n\tat com.acme.shop.Cart.total(Cart.java:88)", "{\"error\": {\"code\": 404, \"message\": \"resource not found\"}}", "This site requires cookies and JavaScript to function.", "Too many requests. Slow down and try again in a minute.", "Home | News | About\nThis article could not be loaded.\n© 2025", "Your session has timed out. Log in again.", "We can't connect to the server for that site.", "The requested URL was rejected.", "502 Bad Gateway\nnginx", "Une erreur inattendue s'est produite. Réessayez plus tard.",
 ]
-NATURAL = [
+DEVELOPMENT_NATURAL = [
     "Connection to the heating was refused by the landlord.", "Access to the cellar is denied to visitors.", "The bridge is closed for repairs until spring.", "We could not find a parking space near the theatre.", "My passport expires in June, so I applied for a new one.", "The match was stopped because of heavy rain.", "Nobody answered the door, so the parcel went back to the post office.", "He moved to Lisbon and deleted his old account.",
     "The doctor is not available on Fridays.", "Our request for a longer lease was rejected by the council.", "She teaches JavaScript to beginners on Tuesday evenings.", "I turned off scripts in my browser and the web is so much quieter.", "The museum asks visitors to register at the entrance.", "The recipe needs two eggs, 500 g of flour and some patience.", "Room 404 is on the fourth floor, next to the lift.", "The train timed its arrival perfectly.",
     "The word 'lorem' comes from a text by Cicero.", "Our designer used lorem ipsum in the first draft, the final brochure has real text.", "Type {{name}} where the recipient's name should appear.", "In Python, f'{name}' inserts the variable's value.", "The array a[i] is sorted by the third column.", "In the template, ${price} is replaced by the amount.", "The tag <b> makes text bold.", "Use [ and ] to mark optional words in the grammar.",
@@ -25,3 +28,22 @@ NATURAL = [
     "Our text for the leaflet was approved yesterday.", "The paragraph about pensions is hard to read.", "Ask for the 503 bus, it stops right outside.", "At 5:02 the bad gateway of the old fort was finally repaired.", "The app on my phone counts steps.", "Anna: see you at :30 past, or 8:15 at the latest.", "note to self: buy milk, bread and cheese", "My cat walked over the keyboard and ruined the letter.",
     "The X-ray showed nothing unusual.", "He gave the film XXL popcorn and three stars.", "The sample of rock is from the Alps.", "She filled the gap with plaster and painted it.",
 ]
+
+HELD_OUT_CASES = [
+    # placeholders
+    "Hello {{ guest.first }}, your table for {{ party }} is waiting.", "We regret to inform [applicant] that the post has been filled.", "Your tracking number is ${tracking}.", "Welcome aboard, <employee name>!", "Ticket #{number} was assigned to the night shift.", "Merci {{client}}, à bientôt.", "Liebe {{vorname}}, anbei die Unterlagen.",
+    "Cara %%NOME%%, segue o recibo.", "The balance on @@ACCOUNT@@ is due on Friday.", "Pick-up: {street}, {city}", "Happy birthday *|NAME|*!", "Your licence key: <%= key %>", "Estimada {apellido}: su cita es mañana.", "Total: :grand_total including tax",
+    # filler
+    "Nulla facilisi. Morbi tristique senectus et netus et malesuada fames.", "Text to be provided by the client", "Heading goes here", "Sample paragraph, please replace", "qwerty qwerty asdf zxcv zxcv", "XXXXX XXXX XXX XXXXXX", "Insert biography here", "Placeholder copy only", "Aquí irá la descripción del hotel.", "Texte à compléter.", "Testo da inserire.", "Beispieltext, bitte ersetzen.",
+    "We open at ten.\nLorem ipsum dolor sit amet.", "dummy dummy test test test",
+    # notices
+    "Error 429: too many attempts", "403 Forbidden", "This account has been suspended.", "The file you requested could not be located on this server.", "Unable to connect. Check your network settings.", "Oops, that link is broken.", "Scheduled maintenance in progress. We will be back shortly.", "JavaScript is required to view this website.", "Please turn on cookies and JavaScript in your browser to log in.", "Session expired. Please sign in again.",
+    "Die angeforderte Seite existiert nicht.", "Zugriff verweigert.", "Error interno del servidor.", "Acesso negado. Inicie sessão.", "Le serveur est indisponible.", "Pagina non trovata.", "Internal error: null reference at checkout.js:42", "TypeError: Cannot read property 'total' of undefined", "The service you are trying to reach is temporarily overloaded.", "{\"status\":\"error\",\"message\":\"unauthorized\"}", "Sorry, you have been blocked.", "Request timed out.",
+]
+HELD_OUT_NATURAL = [
+    "The ferry leaves from pier three at dawn.", "My grandmother kept bees behind the orchard.", "The lid would not close, so I tied it with string.", "Entry is free for children under six.", "The lecture was moved to the large auditorium.", "They refused to sell us tickets without identification.", "Her application was turned down twice.", "The generator stopped during the storm.", "I have no access to the attic because the ladder broke.", "The plumber could not come before Thursday.",
+    "Our address has changed since the wedding.", "The link between sleep and memory is well known.", "Cookies cool on a wire rack for ten minutes.", "The browser of old books spent an hour in the shop.", "A script for the school play is being written.", "The waiter was slow but the food was worth it.", "The host forgot to invite the neighbours.", "The cart was loaded with hay.", "The contents of the drawer were gone.", "The request of the bride was a simple dress.",
+    "Please leave your shoes by the entrance.", "Sign here and keep the yellow copy.", "Try the soup, it is excellent.", "You are welcome to stay until Monday.", "We were unable to visit you in hospital.", "It took the judges too long to decide.", "An error in the timetable cost us the connection.", "The 502 tram goes to the harbour.", "He wrote 404 pages before giving up.", "The permission slip is on the fridge.",
+    "El faro se ve desde la terraza.", "Mi tía vive cerca del mercado.", "No quedaban entradas para el concierto.", "O barco parte ao meio-dia.", "A avó fez um bolo de laranja.", "Le boulanger ouvre à six heures.", "Il n'y a plus de pain.", "La nonna abita in campagna.", "Il treno era pieno.", "Der Zug hatte zehn Minuten Verspätung.", "Die Kinder spielen am See.", "Unser Garten blüht im Mai.",
+    "In LaTeX, {name} is the argument of the macro.", "The regex [a-z]+ matches lower-case words.", "Write <your name> on the dotted line is what the form says.", "Lorem ipsum is the best-known dummy text in printing.", "The intern asked what {{date}} means in the mail template.", "x is larger than y, and z is zero.", "Ha ha ha, that was a good one.", "Testing the brakes took all afternoon.", "She typed the letter with two fingers.", "The blurb on the cover gives away the ending.",
+]
