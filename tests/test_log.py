@@ -64,7 +64,7 @@ def test_split_and_accounting(matrix):
 
 def test_classes_of_nothing(spark):
     df = spark.createDataFrame([], bronze.bronze_schema())
-    assert quality.row_accounting(quarantine.classify(df)).first().asDict() == dict.fromkeys(("delivered", "without_id", "distinct_ids", "repeated", "accepted", "quarantined"), 0)
+    assert quality.row_accounting(quarantine.classify(df)).first().asDict() == dict.fromkeys(("delivered", "without_id", "distinct_ids", "repeated", "accepted", "quarantined", "rescued"), 0)
 
 
 # --- closes ---

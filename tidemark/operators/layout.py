@@ -28,10 +28,14 @@ def z_key(columns: list[Column], bits: int = 16) -> Column:
 
 
 def buckets(df: DataFrame, column: str, bits: int) -> Column:
-    """Position of a value among 2^bits quantiles of its column; quantiles come from one approximate aggregate."""
+    """Place of a value among the quantiles of its column, from 0 to 2^bits - 1; quantiles come from one approximate
+    aggregate. A column of few values is spread over the same range, so that it weighs as much as any other in a z-key."""
     n = 2**bits
-    cuts = df.agg(F.percentile_approx(column, [i / n for i in range(1, n)], 10_000)).first()[0] or []
-    return F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda c: c < F.col(column))) if cuts else F.lit(0)
+    cuts = sorted(set(df.agg(F.percentile_approx(column, [i / n for i in range(1, n)], 10_000)).first()[0] or []))
+    if not cuts:
+        return F.lit(0)
+    place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(column)))
+    return F.floor(place * (n - 1) / len(cuts)).cast("int")
 
 
 def clustered(df: DataFrame, columns: list[str], files: int, bits: int = 6) -> DataFrame:

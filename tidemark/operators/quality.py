@@ -15,12 +15,13 @@ from tidemark.functions.times import instant_us
 from tidemark.operators.timeline import CHUNK_ROWS, Chunks, following
 
 
-def row_accounting(classified: DataFrame, key: str = "event_id", reason: str = "quarantine_reason") -> DataFrame:
-    """(delivered, without_id, distinct_ids, repeated, accepted, quarantined) of a classified log.
+def row_accounting(classified: DataFrame, key: str = "event_id", reason: str = "quarantine_reason", rescue: str = "_rescued_data") -> DataFrame:
+    """(delivered, without_id, distinct_ids, repeated, accepted, quarantined, rescued) of a classified log; rescued are rows
+    of which something didn't fit the declared columns.
 
     delivered = without_id + distinct_ids + repeated and delivered = accepted + quarantined always hold.
     """
-    per = classified.groupBy(key).agg(F.count("*").alias("n"), F.count_if(F.col(reason) == "accepted").alias("ok"))
+    per = classified.groupBy(key).agg(F.count("*").alias("n"), F.count_if(F.col(reason) == "accepted").alias("ok"), F.count(rescue).alias("rs"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
     return per.agg(
         zero(F.sum("n")).alias("delivered"),
@@ -29,6 +30,7 @@ def row_accounting(classified: DataFrame, key: str = "event_id", reason: str = "
         zero(F.sum(F.when(F.col(key).isNotNull(), F.col("n") - 1))).alias("repeated"),
         zero(F.sum("ok")).alias("accepted"),
         zero(F.sum(F.col("n") - F.col("ok"))).alias("quarantined"),
+        zero(F.sum("rs")).alias("rescued"),
     )
 
 

@@ -64,8 +64,11 @@ def stored_monthly_view(spark, sf_dir):
     return view.read().select("accounting_month", "net_cents")
 
 
-RESTATED = """restated AS (SELECT shop_id, accounting_month, arg_min(net_cents, close_version) AS first_value, arg_max(net_cents, close_version) AS last_value FROM ledger GROUP BY 1, 2),
-bp AS (SELECT *, last_value - first_value AS delta, CASE WHEN first_value = 0 THEN NULL ELSE CAST(sign(last_value - first_value) * sign(first_value) * (abs(last_value - first_value) * 10000 // abs(first_value)) AS BIGINT) END AS delta_bp FROM restated)"""
+RESTATED = """restated AS (SELECT shop_id, accounting_month, arg_min(net_cents, close_version) AS first_value, arg_max(net_cents, close_version) AS last_value
+ FROM ledger GROUP BY 1, 2),
+bp AS (SELECT *, last_value - first_value AS delta, CASE WHEN first_value = 0 THEN NULL ELSE
+ CAST(sign(last_value - first_value) * sign(first_value) * (abs(last_value - first_value) * 10000 // abs(first_value)) AS BIGINT) END AS delta_bp
+ FROM restated)"""
 
 
 @query(f"WITH {LEDGER}, {RESTATED} SELECT * FROM bp")
@@ -74,7 +77,10 @@ def restatement_percent(spark, sf_dir):
     return closes.restatement(ledger(spark, sf_dir), SHOP, "close_version", "net_cents")
 
 
-@query(f"WITH {LEDGER}, {RESTATED} SELECT shop_id, accounting_month, delta_bp FROM bp WHERE delta_bp IS NOT NULL ORDER BY delta_bp, shop_id NULLS FIRST, accounting_month NULLS FIRST LIMIT 1")
+@query(f"""WITH {LEDGER}, {RESTATED} SELECT shop_id, accounting_month, delta_bp
+ FROM bp
+ WHERE delta_bp IS NOT NULL
+ ORDER BY delta_bp, shop_id NULLS FIRST, accounting_month NULLS FIRST LIMIT 1""")
 def worst_restatement(spark, sf_dir):
     return closes.worst(closes.restatement(ledger(spark, sf_dir), SHOP, "close_version", "net_cents"), SHOP).select(*SHOP, "delta_bp")
 
@@ -110,12 +116,16 @@ SIGNED = "signed AS (SELECT DISTINCT shop_id, accounting_month, close_version, r
 _SAME = " AND ".join(f"n.{f} IS NOT DISTINCT FROM s.{f}" for f in FIGURES)
 VERIFIED = f"""{SIGNED}, {LEDGER}, src AS (SELECT shop_id, accounting_month, {", ".join(f"min({f}) AS {f}" for f in FIGURES)} FROM ledger
  WHERE close_version = 0 GROUP BY 1, 2),
-n AS (SELECT * FROM signed QUALIFY row_number() OVER (PARTITION BY shop_id, accounting_month ORDER BY close_version DESC NULLS LAST, restated_at DESC NULLS LAST,
+n AS (SELECT * FROM signed QUALIFY row_number() OVER (PARTITION BY shop_id, accounting_month
+ ORDER BY close_version DESC NULLS LAST, restated_at DESC NULLS LAST,
  {", ".join(f"{f} DESC NULLS LAST" for f in FIGURES)}) = 1),
-p AS (SELECT shop_id, accounting_month, count(*) AS k, count(DISTINCT close_version) AS d, max(close_version) AS hi, min(close_version) AS lo, min(line_count) AS lc FROM signed GROUP BY 1, 2),
-e AS (SELECT shop_id, accounting_month, max(s.restated_at) AS earlier FROM signed s JOIN p USING (shop_id, accounting_month) WHERE s.close_version < p.hi GROUP BY 1, 2),
+p AS (SELECT shop_id, accounting_month, count(*) AS k, count(DISTINCT close_version) AS d, max(close_version) AS hi, min(close_version) AS lo, min(line_count) AS lc
+ FROM signed GROUP BY 1, 2),
+e AS (SELECT shop_id, accounting_month, max(s.restated_at) AS earlier FROM signed s JOIN p USING (shop_id, accounting_month)
+ WHERE s.close_version < p.hi GROUP BY 1, 2),
 j AS (SELECT n.*, p.k, p.d, p.hi, p.lo, p.lc, e.earlier, s.shop_id IS NOT NULL AS has_source, {_SAME} AS same FROM n
- JOIN p USING (shop_id, accounting_month) LEFT JOIN e USING (shop_id, accounting_month) LEFT JOIN src s ON s.shop_id = n.shop_id AND s.accounting_month = n.accounting_month),
+ JOIN p USING (shop_id, accounting_month) LEFT JOIN e USING (shop_id, accounting_month) LEFT
+ JOIN src s ON s.shop_id = n.shop_id AND s.accounting_month = n.accounting_month),
 v AS (SELECT shop_id, accounting_month, unnest([
  {{'c': 'net_is_gross_minus_returns', 'ok': net_cents = gross_cents - returns_cents}}, {{'c': 'versions_have_no_gaps', 'ok': k = hi + 1 AND d = k AND lo = 0}},
  {{'c': 'earlier_versions_are_older', 'ok': CASE WHEN earlier IS NULL THEN true ELSE earlier < restated_at END}}, {{'c': 'written_equals_the_source', 'ok': has_source AND same}},
@@ -129,7 +139,10 @@ def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closes.verified(signed, source, SHOP, "accounting_month", "close_version", FIGURES)
 
 
-@query(f"WITH {VERIFIED} SELECT x.c AS check_name, count(*) AS closes, count(*) FILTER (NOT coalesce(x.ok, false)) AS failed FROM v WHERE shop_id IS NOT NULL AND accounting_month IS NOT NULL GROUP BY 1")
+@query(f"""WITH {VERIFIED} SELECT x.c AS check_name, count(*) AS closes, count(*) FILTER (NOT coalesce(x.ok, false)) AS failed
+ FROM v
+ WHERE shop_id IS NOT NULL AND accounting_month IS NOT NULL
+ GROUP BY 1""")
 def close_verification(spark, sf_dir):
     """The seven named checks of every signed close, the first versions standing in for the source."""
     v = _verified(spark, sf_dir).where(F.col("shop_id").isNotNull() & F.col("accounting_month").isNotNull())
@@ -137,14 +150,18 @@ def close_verification(spark, sf_dir):
 
 
 @query(f"""WITH {VERIFIED} SELECT n.shop_id, n.accounting_month, 'written gross ' || coalesce(CAST(n.gross_cents AS VARCHAR), 'null') || ', source gross ' || coalesce(CAST(s.gross_cents AS VARCHAR), 'null') AS detail
- FROM n LEFT JOIN src s ON s.shop_id = n.shop_id AND s.accounting_month = n.accounting_month WHERE n.shop_id IS NOT NULL AND n.accounting_month IS NOT NULL AND NOT (s.shop_id IS NOT NULL AND {_SAME})""")
+ FROM n LEFT JOIN src s ON s.shop_id = n.shop_id AND s.accounting_month = n.accounting_month
+ WHERE n.shop_id IS NOT NULL AND n.accounting_month IS NOT NULL AND NOT (s.shop_id IS NOT NULL
+ AND {_SAME})""")
 def close_drift_details(spark, sf_dir):
     """Closes that no longer equal the source, with the numbers that decided it."""
     v = _verified(spark, sf_dir).where((F.col("check_name") == "written_equals_the_source") & ~F.col("ok"))
     return v.where(F.col("shop_id").isNotNull() & F.col("accounting_month").isNotNull()).select(*SHOP, "detail")
 
 
-@query(f"WITH {LEDGER} SELECT shop_id, accounting_month, close_version FROM ledger WHERE gross_cents > line_count * {MAX_LINE_QUANTITY * MAX_UNIT_PRICE_CENTS}")
+@query(f"""WITH {LEDGER} SELECT shop_id, accounting_month, close_version
+ FROM ledger
+ WHERE gross_cents > line_count * {MAX_LINE_QUANTITY * MAX_UNIT_PRICE_CENTS}""")
 def beyond_the_ceiling(spark, sf_dir):
     """Closes with more money than their lines can hold under the contract's bounds."""
     most = F.col("line_count") * quarantine.bound(MAX_LINE_QUANTITY) * quarantine.bound(MAX_UNIT_PRICE_CENTS)
@@ -157,9 +174,11 @@ _PARTS = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in bronze.COLUMNS
 _COVERED = "event_id IS NOT NULL AND arrival_ts IS NOT NULL"
 
 
-@query(f"""WITH l AS (SELECT sha256(array_to_string([{_PARTS}], chr(31))) AS d FROM bronze_events WHERE {_COVERED}), g AS (SELECT d, count(*) AS c FROM l GROUP BY 1),
+@query(f"""WITH l AS (SELECT sha256(array_to_string([{_PARTS}], chr(31))) AS d FROM bronze_events WHERE {_COVERED}), g AS (SELECT d,
+ count(*) AS c FROM l GROUP BY 1),
 p AS (SELECT substr(d, 1, 3) AS p, sha256(string_agg(d || ':' || c, chr(10) ORDER BY d || ':' || c)) AS d, sum(c) AS n FROM g GROUP BY 1)
-SELECT sha256(string_agg(p || ':' || d, chr(10) ORDER BY p || ':' || d)) AS digest, CAST(sum(n) AS BIGINT) AS digest_rows, (SELECT count(*) FROM bronze_events WHERE NOT ({_COVERED})) AS rows_outside FROM p""")
+SELECT sha256(string_agg(p || ':' || d, chr(10) ORDER BY p || ':' || d)) AS digest, CAST(sum(n) AS BIGINT) AS digest_rows, (SELECT
+ count(*) FROM bronze_events WHERE NOT ({_COVERED})) AS rows_outside FROM p""")
 def event_population(spark, sf_dir):
     """Digest over all payload columns of the rows that have an id and an arrival, and how many rows it doesn't cover."""
     df = events(spark, sf_dir)
@@ -170,14 +189,20 @@ def event_population(spark, sf_dir):
     return d.select("digest", F.col("row_count").alias("digest_rows"), F.lit(outside).cast("bigint").alias("rows_outside"))
 
 
-@query(f"WITH {SILVER} SELECT count(*) AS n_rows, count(DISTINCT sha256(array_to_string([{', '.join(f'coalesce(CAST({c} AS VARCHAR), chr(0))' for c in ('event_type', 'order_id', 'sku', 'qty'))}], chr(31)))) AS payloads FROM silver")
+@query(f"""WITH {SILVER} SELECT count(*) AS n_rows, count(DISTINCT sha256(array_to_string([{', '.join(f'coalesce(CAST({c} AS VARCHAR), chr(0))' for c in ('event_type', 'order_id', 'sku', 'qty'))}], chr(31)))) AS payloads
+ FROM silver""")
 def silver_payloads(spark, sf_dir):
     """Rows of silver, and different payloads by their digests."""
     rows = silver(spark, sf_dir).select(payload_digest([F.col(c) for c in ("event_type", "order_id", "sku", "qty")]).alias("d"))
     return rows.agg(F.count("*").alias("n_rows"), F.count_distinct("d").alias("payloads"))
 
 
-@query(f"WITH {_kept('event_type')} SELECT {_MONTH.format('ev')} AS accounting_month, event_type, count(*) AS n FROM kept WHERE ev IS NOT NULL AND event_id NOT IN (SELECT event_id FROM bronze_events WHERE event_id IS NOT NULL AND {_ts('arrival_ts')} <= TIMESTAMPTZ '2026-08-31 22:00:00+00') GROUP BY 1, 2")
+@query(f"""WITH {_kept('event_type')} SELECT {_MONTH.format('ev')} AS accounting_month, event_type, count(*) AS n
+ FROM kept
+ WHERE ev IS NOT NULL AND event_id NOT IN (SELECT event_id
+ FROM bronze_events
+ WHERE event_id IS NOT NULL AND {_ts('arrival_ts')} <= TIMESTAMPTZ '2026-08-31 22:00:00+00')
+ GROUP BY 1, 2""")
 def late_population(spark, sf_dir):
     """Messages that nothing had arrived of by the as-of instant, by month and type of their kept copy."""
     from tidemark.operators.kept import kept_copies
@@ -214,10 +239,15 @@ def type_audit(spark, sf_dir):
 # --- runs and freshness ---
 
 
-@query(f"""WITH ar AS (SELECT max({_ts("arrival_ts")}) AS newest FROM bronze_events), m AS (SELECT DISTINCT {_MONTH.format(_ts("event_ts"))} AS m FROM bronze_events WHERE {_ts("event_ts")} IS NOT NULL),
+@query(f"""WITH ar AS (SELECT max({_ts("arrival_ts")}) AS newest FROM bronze_events), m AS (SELECT DISTINCT {_MONTH.format(_ts("event_ts"))} AS m
+ FROM bronze_events WHERE {_ts("event_ts")} IS NOT NULL),
 due AS (SELECT m, CAST(m || '-05 23:59:59' AS TIMESTAMP) + INTERVAL 1 MONTH AS local_at FROM m),
-o AS (SELECT m, CAST((1808400000000000 - epoch_us(local_at AT TIME ZONE 'Europe/Madrid')) // 1000000 AS BIGINT) AS lag_seconds FROM due WHERE epoch_us(local_at AT TIME ZONE 'Europe/Madrid') < 1808400000000000 AND m NOT IN (SELECT accounting_month FROM close_calendar))
-SELECT CASE WHEN newest IS NULL THEN 'no_data' ELSE 'ingestion_lag' END AS breach, 'log' AS subject, CAST((1808400000000000 - epoch_us(newest)) // 1000000 AS BIGINT) AS lag_seconds FROM ar WHERE newest IS NULL OR (1808400000000000 - epoch_us(newest)) // 1000000 > 900
+o AS (SELECT m, CAST((1808400000000000 - epoch_us(local_at AT TIME ZONE 'Europe/Madrid')) // 1000000 AS BIGINT) AS lag_seconds
+ FROM due WHERE epoch_us(local_at AT TIME ZONE 'Europe/Madrid') < 1808400000000000 AND m NOT IN (SELECT accounting_month
+ FROM close_calendar))
+SELECT CASE WHEN newest IS NULL THEN 'no_data' ELSE 'ingestion_lag' END AS breach, 'log' AS subject,
+ CAST((1808400000000000 - epoch_us(newest)) // 1000000 AS BIGINT) AS lag_seconds FROM ar WHERE newest IS NULL
+ OR (1808400000000000 - epoch_us(newest)) // 1000000 > 900
 UNION ALL SELECT 'close_overdue', m, lag_seconds FROM o""")
 def freshness_breaches(spark, sf_dir):
     """All breaches at one instant: of the log's freshness and of months without a close past their deadline."""
@@ -228,12 +258,19 @@ def freshness_breaches(spark, sf_dir):
 _LAST = "WITH l AS (SELECT ingest_file AS run_id, listed_at AT TIME ZONE 'UTC' AS t, row_count FROM landing_files WHERE listed_at IS NOT NULL), last AS (SELECT run_id FROM l GROUP BY 1 ORDER BY max(t) DESC, run_id LIMIT 1)"
 
 
-@query(f"{_LAST} SELECT run_id, 'landing' AS dataset, 'has_rows' AS name, CAST(sum(coalesce(row_count, 0)) AS BIGINT) AS passed_records, count(*) FILTER (row_count IS NULL) AS failed_records FROM l JOIN last USING (run_id) GROUP BY 1")
+@query(f"""{_LAST} SELECT run_id, 'landing' AS dataset, 'has_rows' AS name, CAST(sum(coalesce(row_count, 0)) AS BIGINT) AS passed_records,
+ count(*) FILTER (row_count IS NULL) AS failed_records
+ FROM l
+ JOIN last USING (run_id)
+ GROUP BY 1""")
 def last_run_expectations(spark, sf_dir):
     return run_log.last_run_expectations(_run_log(spark, sf_dir))
 
 
-@query(f"{_LAST} SELECT NOT (arg_max(row_count IS NOT NULL, t) AND count(*) FILTER (row_count IS NULL) = 0) AS alert, run_id FROM l JOIN last USING (run_id) GROUP BY run_id")
+@query(f"""{_LAST} SELECT NOT (arg_max(row_count IS NOT NULL, t) AND count(*) FILTER (row_count IS NULL) = 0) AS alert, run_id
+ FROM l
+ JOIN last USING (run_id)
+ GROUP BY run_id""")
 def last_run_alert(spark, sf_dir):
     """Whether the last run asks for attention."""
     return run_log.alert(_run_log(spark, sf_dir)).select("alert", "run_id")
@@ -280,7 +317,11 @@ def layout_lab(spark, sf_dir):
 # --- streams ---
 
 
-@query("SELECT 'shelf' AS field, count(*) AS n FROM bronze_events WHERE ingest_file IS NOT NULL UNION ALL SELECT 'event_id', count(event_id) FROM bronze_events")
+@query("""SELECT 'shelf' AS field, count(*) AS n
+ FROM bronze_events
+ WHERE ingest_file IS NOT NULL
+ UNION ALL SELECT 'event_id', count(event_id)
+ FROM bronze_events""")
 def stream_schema_evolution(spark, sf_dir):
     """The log with a field nobody declared, taken in by two streams: the first keeps it aside and learns its name, the
     second, from the start again, has it as a column."""

@@ -71,7 +71,10 @@ def quarantine_by_reason(spark, sf_dir):
     return quarantine.classify(events(spark, sf_dir)).groupBy("quarantine_reason").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {CLASSIFIED} SELECT event_type, count(*) FILTER (quarantine_reason = 'accepted') AS accepted, count(*) FILTER (quarantine_reason <> 'accepted') AS quarantined FROM classified GROUP BY 1")
+@query(f"""WITH {CLASSIFIED} SELECT event_type, count(*) FILTER (quarantine_reason = 'accepted') AS accepted,
+ count(*) FILTER (quarantine_reason <> 'accepted') AS quarantined
+ FROM classified
+ GROUP BY 1""")
 def accepted_split(spark, sf_dir):
     df = quarantine.classify(events(spark, sf_dir))
     return df.groupBy("event_type").agg(F.count_if(F.col("quarantine_reason") == "accepted").alias("accepted"), F.count_if(F.col("quarantine_reason") != "accepted").alias("quarantined"))
@@ -82,12 +85,32 @@ def rule_pass_fail(spark, sf_dir):
     return quarantine.rule_counts(events(spark, sf_dir))
 
 
-@query("SELECT rule, n FROM (SELECT CASE " + " ".join(f"WHEN ({c}) IS NULL THEN '{n}' WHEN {c} THEN NULL" for n, c in FAULTS.items()) + " END AS rule, count(*) AS n FROM bronze_events GROUP BY 1) WHERE rule IS NOT NULL")
+_DECIDING = " ".join(f"WHEN ({c}) IS NULL THEN '{n}' WHEN {c} THEN NULL" for n, c in FAULTS.items())
+
+
+@query(f"""SELECT rule, n FROM (SELECT CASE {_DECIDING} END AS rule, count(*) AS n FROM bronze_events GROUP BY 1)
+ WHERE rule IS NOT NULL""")
 def undecided_rules(spark, sf_dir):
     return events(spark, sf_dir).groupBy(quarantine.undecided_rule().alias("rule")).agg(F.count("*").alias("n")).where(F.col("rule").isNotNull())
 
 
-@query(f"WITH {CLASSIFIED}, per AS (SELECT event_id, count(*) n, count(*) FILTER (quarantine_reason = 'accepted') ok FROM classified GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS delivered, CAST(coalesce(sum(n) FILTER (event_id IS NULL), 0) AS BIGINT) AS without_id, count(event_id) AS distinct_ids, CAST(sum(n - 1) FILTER (event_id IS NOT NULL) AS BIGINT) AS repeated, CAST(sum(ok) AS BIGINT) AS accepted, CAST(sum(n - ok) AS BIGINT) AS quarantined FROM per")
+_UNGUARDED = " ".join(f"WHEN ({c}) IS NULL THEN '{n}' WHEN {c} THEN NULL" for n, c in FAULTS.items() if n != "missing_required_field")
+
+
+@query(f"""SELECT rule, n FROM (SELECT CASE {_UNGUARDED} END AS rule, count(*) AS n FROM bronze_events GROUP BY 1)
+ WHERE rule IS NOT NULL""")
+def undecided_without_presence_rule(spark, sf_dir):
+    """Rules that nulls leave undecided once nothing asks for the fields' presence before them."""
+    of = [r for r in quarantine.rules() if r[0] != "missing_required_field"]
+    return events(spark, sf_dir).groupBy(quarantine.undecided_rule(of).alias("rule")).agg(F.count("*").alias("n")).where(F.col("rule").isNotNull())
+
+
+@query(f"""WITH {CLASSIFIED}, per AS (SELECT event_id, count(*) n, count(*) FILTER (quarantine_reason = 'accepted') ok, count(_rescued_data) rs
+ FROM classified
+ GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS delivered, CAST(coalesce(sum(n) FILTER (event_id IS NULL), 0) AS BIGINT) AS without_id,
+ count(event_id) AS distinct_ids, CAST(sum(n - 1) FILTER (event_id IS NOT NULL) AS BIGINT) AS repeated,
+ CAST(sum(ok) AS BIGINT) AS accepted, CAST(sum(n - ok) AS BIGINT) AS quarantined, CAST(sum(rs) AS BIGINT) AS rescued
+ FROM per""")
 def row_accounting(spark, sf_dir):
     return quality.row_accounting(quarantine.classify(events(spark, sf_dir)))
 
@@ -123,9 +146,12 @@ def multiset_copies(spark, sf_dir):
     return quality.copies(events(spark, sf_dir), "event_id").where(F.col("copies") > 1)
 
 
-LINES = f"""{SILVER}, first_sale AS (SELECT order_id, sku, customer_id, ev, qty, unit_price_cents FROM silver WHERE event_type = 'order_placed' QUALIFY row_number() OVER (PARTITION BY order_id, sku ORDER BY ev NULLS LAST, event_id NULLS LAST) = 1),
-last_amendment AS (SELECT order_id, sku, new_qty FROM silver WHERE event_type = 'order_line_amended' QUALIFY row_number() OVER (PARTITION BY order_id, sku ORDER BY ev DESC NULLS LAST, event_id DESC NULLS LAST) = 1),
-lines AS (SELECT f.order_id, f.sku, f.customer_id, f.ev, coalesce(a.new_qty, f.qty) qty, f.unit_price_cents, a.new_qty IS NOT NULL amended FROM first_sale f LEFT JOIN last_amendment a USING (order_id, sku))"""
+LINES = f"""{SILVER}, first_sale AS (SELECT order_id, sku, customer_id, ev, qty, unit_price_cents FROM silver
+ WHERE event_type = 'order_placed' QUALIFY row_number() OVER (PARTITION BY order_id, sku ORDER BY ev NULLS LAST, event_id NULLS LAST) = 1),
+last_amendment AS (SELECT order_id, sku, new_qty FROM silver WHERE event_type = 'order_line_amended'
+ QUALIFY row_number() OVER (PARTITION BY order_id, sku ORDER BY ev DESC NULLS LAST, event_id DESC NULLS LAST) = 1),
+lines AS (SELECT f.order_id, f.sku, f.customer_id, f.ev, coalesce(a.new_qty, f.qty) qty, f.unit_price_cents, a.new_qty IS NOT NULL amended
+ FROM first_sale f LEFT JOIN last_amendment a USING (order_id, sku))"""
 
 
 @query(f"WITH {LINES} SELECT order_id, sku, customer_id, {_utc('ev')} AS sale_at, qty, unit_price_cents, amended FROM lines")
@@ -134,7 +160,10 @@ def effective_lines(spark, sf_dir):
     return lines.select("order_id", "sku", "customer_id", utc_text(F.col("sale_us")).alias("sale_at"), "qty", "unit_price_cents", "amended")
 
 
-@query(f"WITH {LINES} SELECT strftime(ev AT TIME ZONE 'Europe/Madrid', '%Y-%m') AS accounting_month, CAST(sum(qty * unit_price_cents) AS BIGINT) AS gross_cents, count(*) AS line_count FROM lines GROUP BY 1")
+@query(f"""WITH {LINES} SELECT strftime(ev AT TIME ZONE 'Europe/Madrid', '%Y-%m') AS accounting_month,
+ CAST(sum(qty * unit_price_cents) AS BIGINT) AS gross_cents, count(*) AS line_count
+ FROM lines
+ GROUP BY 1""")
 def gross_by_month(spark, sf_dir):
     return closes.monthly(closes.effective_lines(silver(spark, sf_dir)))
 
@@ -144,8 +173,11 @@ def _raw_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).where(F.col("event_type") == "return_registered").select("event_id", "order_id", "sku", instant_us(F.col("event_ts")).alias("event_us"))
 
 
-@query(f"""WITH {LINES}, r AS (SELECT s.event_id, s.order_id, s.sku, s.qty, s.ev, l.ev IS NOT NULL AND s.ev >= l.ev AS counts, l.ev IS NOT NULL AS has_sale FROM silver s LEFT JOIN lines l USING (order_id, sku) WHERE s.event_type = 'return_registered')
-SELECT event_id, has_sale, CAST(sum(CASE WHEN counts THEN qty ELSE 0 END) OVER (PARTITION BY order_id, sku ORDER BY ev, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS returned_so_far FROM r""")
+@query(f"""WITH {LINES}, r AS (SELECT s.event_id, s.order_id, s.sku, s.qty, s.ev, l.ev IS NOT NULL AND s.ev >= l.ev AS
+ counts, l.ev IS NOT NULL AS has_sale FROM silver s LEFT JOIN lines l USING (order_id, sku)
+ WHERE s.event_type = 'return_registered')
+SELECT event_id, has_sale, CAST(sum(CASE WHEN counts THEN qty ELSE 0 END) OVER (PARTITION BY order_id, sku
+ ORDER BY ev, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS returned_so_far FROM r""")
 def running_returns(spark, sf_dir):
     """Returned units of each order line so far, counting returns from the sale on only."""
     kept = silver(spark, sf_dir)
@@ -155,8 +187,12 @@ def running_returns(spark, sf_dir):
     return total.select("event_id", F.col("sale_us").isNotNull().alias("has_sale"), "returned_so_far")
 
 
-@query(f"""WITH {LINES}, r AS (SELECT strftime(l.ev AT TIME ZONE 'Europe/Madrid', '%Y-%m') AS sale_month, s.qty FROM silver s LEFT JOIN lines l USING (order_id, sku) WHERE s.event_type = 'return_registered')
-SELECT coalesce(g.m, r.sale_month) AS accounting_month, coalesce(lines_n, 0) AS line_count, coalesce(return_n, 0) AS return_count FROM (SELECT strftime(ev AT TIME ZONE 'Europe/Madrid', '%Y-%m') m, count(*) lines_n FROM lines GROUP BY 1) g FULL JOIN (SELECT sale_month, count(*) return_n FROM r WHERE sale_month IS NOT NULL GROUP BY 1) r ON g.m = r.sale_month""")
+@query(f"""WITH {LINES}, r AS (SELECT strftime(l.ev AT TIME ZONE 'Europe/Madrid', '%Y-%m') AS sale_month, s.qty
+ FROM silver s LEFT JOIN lines l USING (order_id, sku) WHERE s.event_type = 'return_registered')
+SELECT coalesce(g.m, r.sale_month) AS accounting_month, coalesce(lines_n, 0) AS line_count, coalesce(return_n, 0) AS return_count
+ FROM (SELECT strftime(ev AT TIME ZONE 'Europe/Madrid', '%Y-%m') m, count(*) lines_n FROM lines
+ GROUP BY 1) g FULL JOIN (SELECT sale_month, count(*) return_n FROM r WHERE sale_month IS NOT NULL
+ GROUP BY 1) r ON g.m = r.sale_month""")
 def returns_by_sale_month(spark, sf_dir):
     """Lines and returns by the month of the sale, as one aggregation over contributions instead of an outer join."""
     kept = silver(spark, sf_dir)
@@ -172,10 +208,13 @@ GOOD = "event_type = 'order_placed' AND qty BETWEEN 1 AND 10000"
 SNAPSHOTS = f"""closes AS (SELECT DISTINCT closed_at AS c FROM close_calendar WHERE close_version = 0),
 snap AS (SELECT c, strftime(ev AT TIME ZONE 'Europe/Madrid', '%Y-%m') AS accounting_month, count(*) AS sale_count, CAST(sum(qty) AS BIGINT) AS unit_count FROM (
  SELECT c, e.event_id, e.event_type, e.qty, {_ts("e.event_ts")} ev FROM closes JOIN bronze_events e ON {_ts("e.arrival_ts")} <= c WHERE e.event_id IS NOT NULL
- QUALIFY row_number() OVER (PARTITION BY c, e.event_id ORDER BY {_ts("e.event_ts")} NULLS LAST, {_ts("e.arrival_ts")} NULLS LAST, e.event_type NULLS LAST, e.qty NULLS LAST) = 1) WHERE {GOOD} AND ev IS NOT NULL GROUP BY 1, 2),
+ QUALIFY row_number() OVER (PARTITION BY c, e.event_id ORDER BY {_ts("e.event_ts")} NULLS LAST, {_ts("e.arrival_ts")} NULLS LAST, e.event_type NULLS LAST, e.qty NULLS LAST) = 1)
+ WHERE {GOOD} AND ev IS NOT NULL GROUP BY 1, 2),
 eligible AS (SELECT * FROM snap WHERE strftime(c AT TIME ZONE 'Europe/Madrid', '%Y-%m') > accounting_month),
-changed AS (SELECT * FROM eligible WINDOW w AS (PARTITION BY accounting_month ORDER BY c) QUALIFY lag(sale_count) OVER w IS NULL OR lag(sale_count) OVER w <> sale_count OR lag(unit_count) OVER w <> unit_count),
-versions AS (SELECT accounting_month, CAST(row_number() OVER (PARTITION BY accounting_month ORDER BY c) - 1 AS INTEGER) AS close_version, c, sale_count, unit_count FROM changed)"""
+changed AS (SELECT * FROM eligible WINDOW w AS (PARTITION BY accounting_month ORDER BY c) QUALIFY lag(sale_count) OVER w IS NULL
+ OR lag(sale_count) OVER w <> sale_count OR lag(unit_count) OVER w <> unit_count),
+versions AS (SELECT accounting_month, CAST(row_number() OVER (PARTITION BY accounting_month
+ ORDER BY c) - 1 AS INTEGER) AS close_version, c, sale_count, unit_count FROM changed)"""
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +233,9 @@ def close_versions(spark, sf_dir):
     return v.select("accounting_month", "close_version", utc_text(F.col("close_us")).alias("closed_at"), "sale_count", "unit_count")
 
 
-@query(f"WITH {SNAPSHOTS} SELECT accounting_month, arg_min(unit_count, close_version) AS first_value, arg_max(unit_count, close_version) AS last_value, arg_max(unit_count, close_version) - arg_min(unit_count, close_version) AS delta FROM versions GROUP BY 1")
+@query(f"""WITH {SNAPSHOTS} SELECT accounting_month, arg_min(unit_count, close_version) AS first_value, arg_max(unit_count, close_version) AS last_value, arg_max(unit_count, close_version) - arg_min(unit_count, close_version) AS delta
+ FROM versions
+ GROUP BY 1""")
 def restatement_magnitude(spark, sf_dir):
     return closes.restatement(_versions(spark, sf_dir), ["accounting_month"], "close_version", "unit_count").drop("delta_bp")
 
@@ -211,13 +252,19 @@ def current_versions(spark, sf_dir):
     return closes.current_versions(ledger(spark, sf_dir), SHOP, "close_version", FIGURES)
 
 
-@query(f"WITH {LEDGER} SELECT shop_id, accounting_month, close_version, gross_cents - lag(gross_cents) OVER w AS moved_gross_cents, line_count - lag(line_count) OVER w AS moved_line_count FROM ledger WINDOW w AS (PARTITION BY shop_id, accounting_month ORDER BY close_version)")
+@query(f"""WITH {LEDGER} SELECT shop_id, accounting_month, close_version, gross_cents - lag(gross_cents) OVER w AS moved_gross_cents, line_count - lag(line_count) OVER w AS moved_line_count
+ FROM ledger
+ WINDOW w AS (PARTITION BY shop_id, accounting_month
+ ORDER BY close_version)""")
 def version_movement(spark, sf_dir):
     return closes.movement(ledger(spark, sf_dir), SHOP, "close_version", ["gross_cents", "line_count"])
 
 
-TO_RECORD = f"""{LEDGER}, old AS (SELECT * FROM ledger WHERE close_version = 0 AND shop_id <> 'SH0000002'), src AS (SELECT * EXCLUDE (close_version) FROM ledger QUALIFY row_number() OVER (PARTITION BY shop_id, accounting_month ORDER BY close_version DESC) = 1),
-rec AS (SELECT s.shop_id, s.accounting_month, CAST(coalesce(o.close_version + 1, 0) AS INTEGER) AS close_version, {", ".join("s." + f for f in FIGURES)} FROM src s LEFT JOIN old o USING (shop_id, accounting_month) WHERE o.close_version IS NULL OR {" OR ".join(f"s.{f} IS DISTINCT FROM o.{f}" for f in FIGURES)})"""
+TO_RECORD = f"""{LEDGER}, old AS (SELECT * FROM ledger WHERE close_version = 0 AND shop_id <> 'SH0000002'), src AS (SELECT * EXCLUDE (close_version)
+ FROM ledger QUALIFY row_number() OVER (PARTITION BY shop_id, accounting_month ORDER BY close_version DESC) = 1),
+rec AS (SELECT s.shop_id, s.accounting_month, CAST(coalesce(o.close_version + 1, 0) AS INTEGER) AS close_version, {", ".join("s." + f for f in FIGURES)}
+ FROM src s LEFT JOIN old o USING (shop_id, accounting_month) WHERE o.close_version IS NULL
+ OR {" OR ".join(f"s.{f} IS DISTINCT FROM o.{f}" for f in FIGURES)})"""
 
 
 @query(f"WITH {TO_RECORD} SELECT * FROM rec")
@@ -238,14 +285,27 @@ def close_after_second_run(spark, sf_dir):
     return once
 
 
-@query(f"""WITH {LEDGER}, per AS (SELECT shop_id, accounting_month, count(*) n, count(DISTINCT close_version) d, min(close_version) lo, max(close_version) hi, sum((net_cents <> gross_cents - returns_cents)::INT) net, sum((returns_cents > gross_cents)::INT) ov, sum((line_count < 0)::INT) neg FROM ledger GROUP BY 1, 2)
-SELECT 'one_row_per_version' AS check_name, CAST(coalesce(sum((n <> d)::INT), 0) AS BIGINT) AS violations FROM per UNION ALL SELECT 'versions_are_dense', CAST(coalesce(sum((lo <> 0 OR hi + 1 <> d)::INT), 0) AS BIGINT) FROM per UNION ALL SELECT 'net_is_gross_minus_returns', CAST(coalesce(sum(net), 0) AS BIGINT) FROM per
-UNION ALL SELECT 'returns_within_gross', CAST(coalesce(sum(ov), 0) AS BIGINT) FROM per UNION ALL SELECT 'no_negative_counts', CAST(coalesce(sum(neg), 0) AS BIGINT) FROM per""")
+@query(f"""WITH {LEDGER}, per AS (SELECT shop_id, accounting_month, count(*) n, count(DISTINCT close_version) d, min(close_version) lo, max(close_version) hi,
+ sum((net_cents <> gross_cents - returns_cents)::INT) net, sum((returns_cents > gross_cents)::INT) ov,
+ sum((line_count < 0)::INT) neg FROM ledger GROUP BY 1, 2)
+SELECT 'one_row_per_version' AS check_name, CAST(coalesce(sum((n <> d)::INT), 0) AS BIGINT) AS violations
+ FROM per UNION ALL SELECT 'versions_are_dense', CAST(coalesce(sum((lo <> 0 OR hi + 1 <> d)::INT), 0) AS BIGINT)
+ FROM per UNION ALL SELECT 'net_is_gross_minus_returns', CAST(coalesce(sum(net), 0) AS BIGINT)
+ FROM per
+UNION ALL SELECT 'returns_within_gross', CAST(coalesce(sum(ov), 0) AS BIGINT) FROM per UNION ALL SELECT 'no_negative_counts',
+ CAST(coalesce(sum(neg), 0) AS BIGINT) FROM per""")
 def verify_ledger(spark, sf_dir):
     return closes.checks(ledger(spark, sf_dir), SHOP, "close_version")
 
 
-@query(f"WITH {LEDGER} SELECT m.accounting_month, c.close_version, count(l.shop_id) AS shops FROM (SELECT DISTINCT accounting_month FROM close_calendar) m JOIN close_calendar c USING (accounting_month) LEFT JOIN ledger l ON l.accounting_month = c.accounting_month AND l.close_version = c.close_version GROUP BY 1, 2 HAVING count(l.shop_id) = 0")
+@query(f"""WITH {LEDGER} SELECT m.accounting_month, c.close_version, count(l.shop_id) AS shops
+ FROM (SELECT DISTINCT accounting_month
+ FROM close_calendar) m
+ JOIN close_calendar c USING (accounting_month)
+ LEFT
+ JOIN ledger l ON l.accounting_month = c.accounting_month AND l.close_version = c.close_version
+ GROUP BY 1, 2
+ HAVING count(l.shop_id) = 0""")
 def verification_holes(spark, sf_dir):
     """Closes of the calendar that no shop has signed."""
     expected = table(spark, sf_dir, "close_calendar").select("accounting_month", "close_version")
@@ -254,8 +314,10 @@ def verification_holes(spark, sf_dir):
 
 # --- dimension ---
 
-STANDING = f"""{SILVER}, w AS (SELECT customer_id, ev, segment, country FROM silver WHERE event_type = 'customer_upserted' QUALIFY row_number() OVER (PARTITION BY customer_id, ev ORDER BY event_id DESC NULLS LAST) = 1),
-ch AS (SELECT * FROM w WINDOW o AS (PARTITION BY customer_id ORDER BY ev) QUALIFY lag(ev) OVER o IS NULL OR segment IS DISTINCT FROM lag(segment) OVER o OR country IS DISTINCT FROM lag(country) OVER o),
+STANDING = f"""{SILVER}, w AS (SELECT customer_id, ev, segment, country FROM silver WHERE event_type = 'customer_upserted'
+ QUALIFY row_number() OVER (PARTITION BY customer_id, ev ORDER BY event_id DESC NULLS LAST) = 1),
+ch AS (SELECT * FROM w WINDOW o AS (PARTITION BY customer_id ORDER BY ev) QUALIFY lag(ev) OVER o IS NULL
+ OR segment IS DISTINCT FROM lag(segment) OVER o OR country IS DISTINCT FROM lag(country) OVER o),
 dim AS (SELECT customer_id, {_utc("ev")} AS valid_from, {_utc("lead(ev) OVER (PARTITION BY customer_id ORDER BY ev)")} AS valid_to, segment, country FROM ch)"""
 
 
@@ -270,24 +332,60 @@ def dim_scd2(spark, sf_dir):
     return _dimension(spark, sf_dir)
 
 
-@query("SELECT count(*) AS versions, count(DISTINCT customer_id) AS entities, count(*) FILTER (valid_to IS NULL) AS open_versions, count(*) FILTER (valid_to IS NOT NULL) AS closed_versions, min(valid_from) AS first_start, max(valid_from) AS last_start FROM dim_customer_scd2")
+@query("""SELECT count(*) AS versions, count(DISTINCT customer_id) AS entities, count(*) FILTER (valid_to IS NULL) AS open_versions,
+ count(*) FILTER (valid_to IS NOT NULL) AS closed_versions, min(valid_from) AS first_start, max(valid_from) AS last_start
+ FROM dim_customer_scd2""")
 def scd2_shape(spark, sf_dir):
     return quality.history_shape(table(spark, sf_dir, "dim_customer_scd2"))
 
 
-@query("""WITH r AS (SELECT *, lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) nx, sum((valid_to IS NULL)::INT) OVER (PARTITION BY customer_id) op FROM dim_customer_scd2)
-SELECT DISTINCT customer_id, violation FROM (SELECT customer_id, 'not_one_open_version' AS violation FROM r WHERE op <> 1 UNION ALL SELECT customer_id, 'gap_or_overlap' FROM r WHERE nx IS NOT NULL AND valid_to IS DISTINCT FROM nx UNION ALL SELECT customer_id, 'empty_period' FROM r WHERE valid_to <= valid_from UNION ALL SELECT customer_id, 'wrong_flag' FROM r WHERE is_current IS DISTINCT FROM (valid_to IS NULL))""")
+@query("""WITH r AS (SELECT *, lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) nx,
+ sum((valid_to IS NULL)::INT) OVER (PARTITION BY customer_id) op FROM dim_customer_scd2)
+SELECT DISTINCT customer_id, violation FROM (SELECT customer_id, 'not_one_open_version' AS violation
+ FROM r WHERE op <> 1 UNION ALL SELECT customer_id, 'gap_or_overlap' FROM r WHERE nx IS NOT NULL
+ AND valid_to IS DISTINCT FROM nx UNION ALL SELECT customer_id, 'empty_period' FROM r WHERE valid_to <= valid_from
+ UNION ALL SELECT customer_id, 'wrong_flag' FROM r WHERE is_current IS DISTINCT FROM (valid_to IS NULL))""")
 def scd2_violations(spark, sf_dir):
     return quality.history_violations(table(spark, sf_dir, "dim_customer_scd2"))
 
 
-@query(f"WITH {STANDING}, b AS (SELECT customer_id, valid_from, valid_to, segment, country FROM dim_customer_scd2) SELECT customer_id, valid_from, valid_to, segment, country, only_in, CAST(n AS BIGINT) AS copies FROM (SELECT *, 'a' AS only_in, count(*) n FROM (SELECT * FROM dim EXCEPT ALL SELECT * FROM b) GROUP BY ALL UNION ALL SELECT *, 'b', count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM dim) GROUP BY ALL)")
+@query(f"""WITH {STANDING}, both_ AS (SELECT customer_id, valid_from, valid_to, is_current FROM dim_customer_scd2
+ UNION ALL SELECT customer_id, valid_from, valid_to, valid_to IS NULL FROM dim),
+r AS (SELECT *, lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) nx, sum((valid_to IS NULL)::INT) OVER (PARTITION BY customer_id) op FROM both_)
+SELECT DISTINCT customer_id, violation FROM (SELECT customer_id, 'not_one_open_version' AS violation FROM r WHERE op <> 1
+ UNION ALL SELECT customer_id, 'gap_or_overlap' FROM r WHERE nx IS NOT NULL AND valid_to IS DISTINCT FROM nx
+ UNION ALL SELECT customer_id, 'empty_period' FROM r WHERE valid_to <= valid_from)""")
+def violations_of_two_histories(spark, sf_dir):
+    """What is wrong with a history that was appended to an older one instead of being merged with it."""
+    columns = ["customer_id", "valid_from", "valid_to", "is_current"]
+    both = table(spark, sf_dir, "dim_customer_scd2").select(columns).unionByName(_dimension(spark, sf_dir).select(columns))
+    return quality.history_violations(both)
+
+
+@query(f"""WITH {STANDING}, b AS (SELECT customer_id, valid_from, valid_to, segment, country
+ FROM dim_customer_scd2) SELECT customer_id, valid_from, valid_to, segment, country, only_in, CAST(n AS BIGINT) AS copies
+ FROM (SELECT *, 'a' AS only_in, count(*) n
+ FROM (SELECT *
+ FROM dim EXCEPT ALL SELECT *
+ FROM b)
+ GROUP BY ALL
+ UNION ALL SELECT *, 'b', count(*)
+ FROM (SELECT *
+ FROM b EXCEPT ALL SELECT *
+ FROM dim)
+ GROUP BY ALL)""")
 def parity_diff(spark, sf_dir):
     """Where the history of all updates differs from the one stored earlier."""
     return quality.parity(_dimension(spark, sf_dir).drop("is_current"), table(spark, sf_dir, "dim_customer_scd2").drop("is_current"))
 
 
-@query("SELECT u.event_id FROM customer_updates u WHERE u.event_id IS NOT NULL GROUP BY 1 HAVING min(u.batch_no) >= 40 AND bool_and(NOT EXISTS (SELECT 1 FROM customer_updates e WHERE e.event_id = u.event_id AND e.batch_no < 40))")
+@query("""SELECT u.event_id
+ FROM customer_updates u
+ WHERE u.event_id IS NOT NULL
+ GROUP BY 1
+ HAVING min(u.batch_no) >= 40 AND bool_and(NOT EXISTS (SELECT 1
+ FROM customer_updates e
+ WHERE e.event_id = u.event_id AND e.batch_no < 40))""")
 def late_arrivals_not_in_base(spark, sf_dir):
     u = table(spark, sf_dir, "customer_updates").where(F.col("event_id").isNotNull())
     return u.where(F.col("batch_no") >= 40).select("event_id").distinct().join(u.where(F.col("batch_no") < 40), "event_id", "left_anti")
@@ -299,7 +397,8 @@ def late_arrivals_not_in_base(spark, sf_dir):
 _LINE = "array_to_string([" + ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in ("shop_id", "accounting_month", "close_version", "gross_cents", "net_cents")) + "], chr(31))"
 
 
-@query(f"SELECT count(*) AS row_count, CAST(coalesce(sum(CAST('0x' || substr(md5({_LINE}), 1, 15) AS BIGINT)), 0) AS VARCHAR) AS sum_hash FROM close_month")
+@query(f"""SELECT count(*) AS row_count, CAST(coalesce(sum(CAST('0x' || substr(md5({_LINE}), 1, 15) AS BIGINT)), 0) AS VARCHAR) AS sum_hash
+ FROM close_month""")
 def population_fingerprint(spark, sf_dir):
     """The order-free fingerprint of a table, which must be the same in two partitionings."""
     df = table(spark, sf_dir, "close_month")
@@ -307,8 +406,11 @@ def population_fingerprint(spark, sf_dir):
     return of(df).join(of(df.repartition(7, "net_cents")), ["row_count", "sum_hash"])
 
 
-@query("""WITH l AS (SELECT sha256(array_to_string([coalesce(shop_id, chr(0)), coalesce(accounting_month, chr(0)), coalesce(CAST(close_version AS VARCHAR), chr(0)), coalesce(CAST(net_cents AS VARCHAR), chr(0))], chr(31))) d FROM close_month),
-g AS (SELECT d, count(*) c FROM l GROUP BY 1), p AS (SELECT substr(d, 1, 3) p, sha256(string_agg(d || ':' || c, chr(10) ORDER BY d || ':' || c)) d, sum(c) n FROM g GROUP BY 1) SELECT sha256(string_agg(p || ':' || d, chr(10) ORDER BY p || ':' || d)) AS digest, CAST(sum(n) AS BIGINT) AS row_count FROM p""")
+@query("""WITH l AS (SELECT sha256(array_to_string([coalesce(shop_id, chr(0)), coalesce(accounting_month, chr(0)), coalesce(CAST(close_version AS VARCHAR), chr(0)), coalesce(CAST(net_cents AS VARCHAR), chr(0))], chr(31))) d
+ FROM close_month),
+g AS (SELECT d, count(*) c FROM l GROUP BY 1), p AS (SELECT substr(d, 1, 3) p, sha256(string_agg(d || ':' || c, chr(10)
+ ORDER BY d || ':' || c)) d, sum(c) n FROM g GROUP BY 1) SELECT sha256(string_agg(p || ':' || d, chr(10)
+ ORDER BY p || ':' || d)) AS digest, CAST(sum(n) AS BIGINT) AS row_count FROM p""")
 def population_digest(spark, sf_dir):
     return ordered_fingerprint(table(spark, sf_dir, "close_month"), ["shop_id", "accounting_month", "close_version", "net_cents"])
 
@@ -316,17 +418,24 @@ def population_digest(spark, sf_dir):
 # --- privacy ---
 
 
-@query(f"SELECT CASE WHEN customer_id IS NULL THEN NULL ELSE substr(sha256('pepper' || chr(0) || customer_id), 1, 32) END AS customer_id, strftime({_ts('valid_from')} AT TIME ZONE 'Europe/Madrid', '%Y-%m') AS valid_from, segment FROM customer_updates")
+@query(f"""SELECT CASE WHEN customer_id IS NULL THEN NULL ELSE substr(sha256('pepper' || chr(0) || customer_id), 1, 32) END AS customer_id, strftime({_ts('valid_from')} AT TIME ZONE 'Europe/Madrid', '%Y-%m') AS valid_from, segment
+ FROM customer_updates""")
 def policy_masked(spark, sf_dir):
     return governance.with_policy(table(spark, sf_dir, "customer_updates"), {"customer_id": "pseudonym", "valid_from": "month", "segment": "keep"}, "pepper")
 
 
-@query(r"SELECT 'text' AS column_name, count(*) AS exposed_rows, min(text) AS example FROM documents WHERE regexp_matches(text, '(?i)\bC[0-9]{6,}\b') HAVING count(*) > 0")
+@query(r"""SELECT 'text' AS column_name, count(*) AS exposed_rows, min(text) AS example
+ FROM documents
+ WHERE regexp_matches(text, '(?i)\bC[0-9]{6,}\b')
+ HAVING count(*) > 0""")
 def exposure_scan(spark, sf_dir):
     return governance.exposure(table(spark, sf_dir, "documents"))
 
 
-@query("SELECT min(n) AS k, count(*) AS groups, count(*) FILTER (n = 1) AS unique_groups FROM (SELECT count(*) n FROM customer_updates GROUP BY segment, country)")
+@query("""SELECT min(n) AS k, count(*) AS groups, count(*) FILTER (n = 1) AS unique_groups
+ FROM (SELECT count(*) n
+ FROM customer_updates
+ GROUP BY segment, country)""")
 def k_anonymity(spark, sf_dir):
     return governance.k_anonymity(table(spark, sf_dir, "customer_updates"), ["segment", "country"])
 
@@ -340,7 +449,10 @@ def secured_view(spark, sf_dir):
 # --- freshness, runs, top k ---
 
 
-@query(f"SELECT CAST(epoch_us(max({_ts('arrival_ts')})) AS BIGINT) AS last_arrival_us, CAST((1808400000000000 - epoch_us(max({_ts('arrival_ts')}))) // 1000000 AS BIGINT) AS lag_seconds, CASE WHEN (1808400000000000 - epoch_us(max({_ts('arrival_ts')}))) // 1000000 > 900 THEN 'ingestion_lag' ELSE 'none' END AS breach FROM bronze_events")
+@query(f"""SELECT CAST(epoch_us(max({_ts('arrival_ts')})) AS BIGINT) AS last_arrival_us, CAST((1808400000000000 - epoch_us(max({_ts('arrival_ts')}))) // 1000000 AS BIGINT) AS lag_seconds, CASE
+ WHEN (1808400000000000 - epoch_us(max({_ts('arrival_ts')}))) // 1000000 > 900 THEN 'ingestion_lag'
+ ELSE 'none' END AS breach
+ FROM bronze_events""")
 def freshness(spark, sf_dir):
     return layout.freshness(events(spark, sf_dir), instant_us(F.col("arrival_ts")), 1_808_400_000_000_000, FRESHNESS_SLA_MINUTES)
 
@@ -354,13 +466,18 @@ def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select(F.col("ingest_file").alias("run_id"), F.col("listed_at").alias("at"), F.when(F.col("row_count").isNull(), "ERROR").otherwise("INFO").alias("level"), details.alias("details"))
 
 
-@query("""WITH l AS (SELECT ingest_file run_id, listed_at AT TIME ZONE 'UTC' AS t, row_count FROM landing_files WHERE listed_at IS NOT NULL), g AS (SELECT run_id, max(t) mx, count(*) FILTER (row_count IS NULL) errors FROM l GROUP BY 1 ORDER BY mx DESC, run_id LIMIT 10)
+@query("""WITH l AS (SELECT ingest_file run_id, listed_at AT TIME ZONE 'UTC' AS t, row_count FROM landing_files
+ WHERE listed_at IS NOT NULL), g AS (SELECT run_id, max(t) mx, count(*) FILTER (row_count IS NULL) errors
+ FROM l GROUP BY 1 ORDER BY mx DESC, run_id LIMIT 10)
 SELECT run_id, strftime(mx, '%Y-%m-%dT%H:%M:%S.%fZ') AS ended, errors FROM g""")
 def newest_runs(spark, sf_dir):
     return run_log.run_states(_run_log(spark, sf_dir)).select("run_id", utc_text(F.unix_micros("ended")).alias("ended"), "errors")
 
 
-@query("SELECT 'landing' AS dataset, 'has_rows' AS name, CAST(sum(coalesce(row_count, 0)) AS BIGINT) AS passed_records, count(*) FILTER (row_count IS NULL) AS failed_records FROM landing_files WHERE listed_at IS NOT NULL")
+@query("""SELECT 'landing' AS dataset, 'has_rows' AS name, CAST(sum(coalesce(row_count, 0)) AS BIGINT) AS passed_records,
+ count(*) FILTER (row_count IS NULL) AS failed_records
+ FROM landing_files
+ WHERE listed_at IS NOT NULL""")
 def run_log_expectations(spark, sf_dir):
     return run_log.expectations(_run_log(spark, sf_dir))
 
@@ -368,7 +485,12 @@ def run_log_expectations(spark, sf_dir):
 # --- layout and joins ---
 
 
-@query("SELECT n_name, count(*) AS n_lines, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
+@query("""SELECT n_name, count(*) AS n_lines, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents
+ FROM lineitem
+ JOIN orders ON l_orderkey = o_orderkey
+ JOIN customer ON o_custkey = c_custkey
+ JOIN nation ON c_nationkey = n_nationkey
+ GROUP BY 1""")
 def lines_by_nation(spark, sf_dir):
     """Three equi-joins of a star; the side to send to all tasks is left to the sizes that the planner measures."""
     l, o, c, n = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation"))
@@ -376,7 +498,13 @@ def lines_by_nation(spark, sf_dir):
     return joined.groupBy("n_name").agg(F.count("*").alias("n_lines"), F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"))
 
 
-@query("SELECT sku, count(*) AS n_events, any_value(n_documents) AS n_documents FROM bronze_events JOIN (SELECT sku, count(*) AS n_documents FROM documents WHERE sku IS NOT NULL GROUP BY 1) USING (sku) GROUP BY 1")
+@query("""SELECT sku, count(*) AS n_events, any_value(n_documents) AS n_documents
+ FROM bronze_events
+ JOIN (SELECT sku, count(*) AS n_documents
+ FROM documents
+ WHERE sku IS NOT NULL
+ GROUP BY 1) USING (sku)
+ GROUP BY 1""")
 def skew_join(spark, sf_dir):
     """Events joined with a dimension of their sku, of which one holds a tenth of the rows, spread by a salt."""
     dim = table(spark, sf_dir, "documents").where(F.col("sku").isNotNull()).groupBy("sku").agg(F.count("*").alias("n_documents"))
@@ -387,7 +515,7 @@ def skew_join(spark, sf_dir):
 @query()
 def files_skippable(spark, sf_dir):
     """Files of the log a query on one sku can't skip, before and after clustering by month and sku."""
-    df = events(spark, sf_dir).select("sku", "order_id", "qty", F.month(instant(F.col("event_ts"))).alias("m"), F.pmod(F.xxhash64("sku"), F.lit(1 << 20)).alias("sku_no")).where("m is not null and sku is not null")
+    df = events(spark, sf_dir).select("sku", "order_id", "qty", F.coalesce(F.month(instant(F.col("event_ts"))), F.lit(0)).alias("m"), F.pmod(F.xxhash64("sku"), F.lit(1 << 20)).alias("sku_no"))
     at, out = scratch(spark, "layout"), None
     df.repartition(16).write.parquet(f"{at}/plain")
     layout.clustered(df, ["m", "sku_no"], 16).write.parquet(f"{at}/clustered")
@@ -416,14 +544,22 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> SnapshotTable:
     return t
 
 
-@query(f"SELECT 1 AS version, count(*) AS n, CAST(sum(net_cents) AS BIGINT) AS cents FROM ({SHOP2}) UNION ALL SELECT 3, count(*), CAST(sum(net_cents + (close_version >= 1)::INT) AS BIGINT) FROM ({SHOP2}) WHERE accounting_month <> '2026-03'")
+@query(f"""SELECT 1 AS version, count(*) AS n, CAST(sum(net_cents) AS BIGINT) AS cents
+ FROM ({SHOP2})
+ UNION ALL SELECT 3, count(*), CAST(sum(net_cents + (close_version >= 1)::INT) AS BIGINT)
+ FROM ({SHOP2})
+ WHERE accounting_month <> '2026-03'""")
 def snapshot_time_travel(spark, sf_dir):
     t = _snapshots(spark, sf_dir)
     read = lambda v: t.read(v).agg(F.count("*").alias("n"), F.sum("net_cents").alias("cents")).select(F.lit(v).alias("version"), "n", "cents")
     return read(1).unionByName(read(3))
 
 
-@query(f"SELECT change, count(*) AS n FROM (SELECT unnest(CASE WHEN accounting_month = '2026-03' THEN ['delete'] WHEN close_version >= 1 THEN ['update_before', 'update_after'] ELSE [] END) AS change FROM ({SHOP2})) GROUP BY 1")
+@query(f"""SELECT change, count(*) AS n
+ FROM (SELECT unnest(CASE WHEN accounting_month = '2026-03' THEN ['delete'] WHEN close_version >= 1 THEN ['update_before', 'update_after']
+ ELSE [] END) AS change
+ FROM ({SHOP2}))
+ GROUP BY 1""")
 def snapshot_changes(spark, sf_dir):
     return _snapshots(spark, sf_dir).changes(1, 3).groupBy("change").agg(F.count("*").alias("n"))
 
@@ -431,7 +567,15 @@ def snapshot_changes(spark, sf_dir):
 _LEFT = f"SELECT count(*) FROM ({SHOP2}) WHERE accounting_month <> '2026-03'"
 
 
-@query(f"SELECT 0 AS version, 'create' AS operation, (SELECT count(*) FROM ({SHOP2}) WHERE close_version = 0) AS n_rows UNION ALL SELECT 1, 'insert', (SELECT count(*) FROM ({SHOP2})) UNION ALL SELECT 2, 'merge', (SELECT count(*) FROM ({SHOP2})) UNION ALL SELECT 3, 'delete', ({_LEFT}) UNION ALL SELECT 4, 'compact', ({_LEFT})")
+@query(f"""SELECT 0 AS version, 'create' AS operation, (SELECT count(*)
+ FROM ({SHOP2})
+ WHERE close_version = 0) AS n_rows
+ UNION ALL SELECT 1, 'insert', (SELECT count(*)
+ FROM ({SHOP2}))
+ UNION ALL SELECT 2, 'merge', (SELECT count(*)
+ FROM ({SHOP2}))
+ UNION ALL SELECT 3, 'delete', ({_LEFT})
+ UNION ALL SELECT 4, 'compact', ({_LEFT})""")
 def snapshot_history(spark, sf_dir):
     t = _snapshots(spark, sf_dir)
     t.compact(64_000_000)

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions import commits
 from tidemark.functions.crash import barrier
-from tidemark.operators.layout import file_stats
+from tidemark.operators.layout import clustered, file_stats
 from tidemark.session import cut
 
 
@@ -115,7 +115,10 @@ class SnapshotTable:
 
     # --- writes ---
 
-    def create(self, df: DataFrame) -> int:
+    def create(self, df: DataFrame, cluster: list[str] | None = None, files: int = 16) -> int:
+        """The first version; with cluster its rows lie in `files` files, near in all these columns where near in one."""
+        if cluster:
+            df = clustered(df, cluster, files)
         return self._publish(-1, "create", self._write(df)[0], df.schema, {})
 
     def append(self, df: DataFrame) -> int:
