@@ -294,6 +294,11 @@ def test_layout(spark, tmp_path):
     for c in ("a", "b"):
         r = layout.not_skippable(stats, c, 10).first()
         assert r["files_read"] < r["files"] and r["bytes_read"] < r["bytes"]
+    few = spark.range(6_000).select((F.col("id") % 3).cast("int").alias("m"), F.pmod(F.xxhash64("id"), F.lit(1000)).cast("int").alias("s"))
+    t = SnapshotTable(spark, f"file://{tmp_path}/t", [], ["m", "s"])
+    t.create(few, cluster=["m", "s"], files=12)
+    for c, v in (("m", 1), ("s", 500)):  # a column of few values is clustered as well as one of many
+        assert t.files().where(t._may_hold(c, v, v)).count() <= 8 < t.manifest()["n_files"]
     assert spark.range(1).select(layout.z_key([F.lit(3), F.lit(1)], 2)).first()[0] == 0b0111
     fact = layout.skewed_fact(spark, 5000)
     dim = fact.select("k").distinct().withColumn("name", F.lit("n"))
@@ -614,3 +619,30 @@ def test_command_line(tmp_path, capsys):
     assert cli.main(["evidence", str(tmp_path / "chain"), "--claim", "x"]) == 0 and cli.main(["evidence", str(tmp_path / "chain")]) == 0
     first, again = capsys.readouterr().out.split()
     assert first == again
+
+
+def test_mutants_of_rules_are_noticed():
+    """Small faults of the SQL that queries are held against change its rows on the test tables."""
+    duckdb = pytest.importorskip("duckdb")
+    from tidemark.functions import mutants
+    from tidemark.plans.log_queries import SQL
+    from tidemark.plans.training_sql import P2, P4, P6
+
+    def witness(sf):
+        con = duckdb.connect()
+        con.execute("SET TimeZone='UTC'; SET threads=2")
+        for t in ("bronze_events", "customer_updates", "close_calendar", "close_month"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/{sf}/{t}.parquet')")
+        return lambda sql: sorted(map(repr, con.execute(sql).fetchall()))
+
+    scores = {}
+    for name, sql in (("p2", P2), ("p4", P4), ("p6", P6), ("reasons", SQL["quarantine_by_reason"]), ("versions", SQL["current_versions"])):
+        run = witness("sf0.001")
+        scores[name] = mutants.score(mutants.mutants(sql), run, run(sql))
+    assert {n: len(s.killed) > 0 for n, s in scores.items()} == dict.fromkeys(scores, True)
+    killed, survived = (sum(len(getattr(s, k)) for s in scores.values()) for k in ("killed", "survived"))
+    assert killed / (killed + survived) > 0.6
+    run = witness("sf0.01")  # a second witness: ten times the rows tell more mutants apart, never fewer kinds
+    wider = mutants.score(mutants.mutants(P2), run, run(P2))
+    assert wider.rate() >= scores["p2"].rate() and mutants.agreement(scores["p2"], scores["p2"]) == 1
+    assert mutants.mutants("SELECT 'a <= 1' AS x") == [] and {m.fault for m in mutants.mutants("SELECT sum(x) FROM t WHERE a <= 5 ORDER BY b DESC")} == {"aggregate", "comparison", "number", "order"}
