@@ -86,7 +86,7 @@ def build_history(updates: DataFrame, key: str, moment_us: Column, version: Colu
     return history_view([(satellite(standing, key, g, chunks), g) for g in groups], key, chunk_rows, chunks)
 
 
-def append_batch(stored: DataFrame | None, log: DataFrame, batch_keys: DataFrame, key: str, attributes: list[str], load: str = "load", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def append_batch(stored: DataFrame | None, log: DataFrame, batch_keys: DataFrame, key: str, attributes: list[str], load: str = "load", chunk_rows: int = CHUNK_ROWS, chunks: Chunks | None = None) -> DataFrame:
     """(key, at_us, hash_diff, attributes..., gone): rows to append to a stored satellite after a batch of updates.
 
     log holds the standing updates of all batches so far, batch_keys the keys of the new batch. Only these keys are
@@ -95,7 +95,7 @@ def append_batch(stored: DataFrame | None, log: DataFrame, batch_keys: DataFrame
     gone, with null attributes. Nothing is changed or deleted.
     """
     touched = log.join(batch_keys.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
-    chunks = Chunks.of(touched, key, "at_us", chunk_rows)
+    chunks = Chunks.of(touched, key, "at_us", chunk_rows) if chunks is None else chunks
     wanted = satellite(touched, key, attributes, chunks)
     if stored is None:
         return wanted.withColumn("gone", F.lit(False))
@@ -150,8 +150,9 @@ class SatelliteStore:
         keys = cut(new.select(self.key).distinct())
         touched = self._read("log", [*done, folder]).join(keys, self.key, "left_semi")
         standing = cut(standing_updates(touched, self.key, F.col("at_us"), F.col("_version"), attributes))
+        chunks = Chunks.of(standing, self.key, "at_us", self.chunk_rows)
         for i, g in enumerate(self.groups):
-            append_batch(self._read(f"sat{i}", done), standing, keys, self.key, g, chunk_rows=self.chunk_rows).write.parquet(f"{self.path}/sat{i}/{folder}")
+            append_batch(self._read(f"sat{i}", done), standing, keys, self.key, g, chunks=chunks).write.parquet(f"{self.path}/sat{i}/{folder}")
         commits.publish(self.spark, f"{self.path}/commits/{len(done):06d}.json", json.dumps({"folder": folder}).encode())
 
     def history(self) -> DataFrame:
