@@ -78,7 +78,7 @@ def _trim(p: list[int]) -> list[int]:
 
 
 def _divmod(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    a, inv, q = a[:], pow(b[-1], -1, PRIME), [0] * max(0, len(a) - len(b) + 1)
+    a, inv, q = a[:], 1 if b[-1] == 1 else pow(b[-1], -1, PRIME), [0] * max(0, len(a) - len(b) + 1)
     for i in range(len(q) - 1, -1, -1):
         q[i] = c = a[i + len(b) - 1] * inv % PRIME
         if c:
@@ -95,29 +95,48 @@ def _gcd(a: list[int], b: list[int]) -> list[int]:
 
 
 def _mul(a: list[int], b: list[int], modulus: list[int]) -> list[int]:
-    out = [0] * (len(a) + len(b) - 1) if a and b else []
+    """a * b modulo a monic polynomial. Sums of products stay unreduced until a coefficient is used."""
+    out, d = [0] * (len(a) + len(b) - 1) if a and b else [], len(modulus) - 1
     for i, x in enumerate(a):
-        for j, y in enumerate(b):
-            out[i + j] += x * y
-    return _divmod(_trim([x % PRIME for x in out]), modulus)[1]
+        for j, y in enumerate(b, i):
+            out[j] += x * y
+    low = modulus[:-1]
+    for top in range(len(out) - 1, d - 1, -1):
+        c = out[top] % PRIME
+        if c:
+            for j, x in enumerate(low, top - d):
+                out[j] -= c * x
+    return _trim([x % PRIME for x in out[:d]])
+
+
+def _squared(base: list[int], times: int, modulus: list[int]) -> list[int]:
+    """base^(2^times) modulo a monic polynomial."""
+    for _ in range(times):
+        base = _mul(base, base, modulus)
+    return base
 
 
-def _power(base: list[int], e: int, modulus: list[int]) -> list[int]:
-    out = [1]
-    for bit in bin(e)[2:]:
-        out = _mul(out, out, modulus)
-        if bit == "1":
-            out = _mul(out, base, modulus)
+def _at(p: list[int], z: int) -> int:
+    out = 0
+    for c in reversed(p):
+        out = (out * z + c) % PRIME
     return out
 
 
+def _minus(a: list[int], b: list[int]) -> list[int]:
+    n = max(len(a), len(b))
+    return _trim([(x - y) % PRIME for x, y in zip(a + [0] * (n - len(a)), b + [0] * (n - len(b)), strict=True)])
+
+
 def roots(p: list[int]) -> list[int] | None:
     """The roots of a monic polynomial that is a product of different linear factors; None if it isn't."""
     if len(p) <= 1:
         return []
     if len(p) == 2:
         return [-p[0] % PRIME]
-    if _divmod(_power([0, 1], PRIME, p), p)[1] != [0, 1]:  # x^q = x holds exactly for such products
+    # x^q = x holds exactly for such products. As q + 1 is a power of two, x^(q + 1) = x^2 is quicker to see; it says the
+    # same unless x^2 divides p.
+    if p[:2] == [0, 0] or _squared([0, 1], 61, p) != _mul([0, 1], [0, 1], p):
         return None
     out, todo, r = [], [p], random.Random(p[0])
     while todo:
@@ -126,10 +145,10 @@ def roots(p: list[int]) -> list[int] | None:
             out.append(-f[0] % PRIME)
             continue
         while True:
-            half = _power([r.randrange(PRIME), 1], (PRIME - 1) // 2, f)
-            half = half[:] or [0]
-            half[0] = (half[0] - 1) % PRIME
-            g = _gcd(f, _trim(half)) if _trim(half[:]) else f
+            # h^(2^60) = h where h is 0 or a square: about half of the roots, for a random h.
+            h = [r.randrange(PRIME), 1]
+            same = _minus(_squared(h, 60, f), h)
+            g = _gcd(f, same) if same else f
             if 1 < len(g) < len(f):
                 break
         todo += [g, _divmod(f, g)[0]]
@@ -184,8 +203,7 @@ def decode(n_a: int, n_b: int, of_a: list[int], of_b: list[int], at: list[int],
             system.append([*row, (v * x - top) % PRIME])
         s = _solve(system)
         p, q = [*s[:up], 1], [*s[up:], 1]
-        value = lambda g, z: sum(c * pow(z, i, PRIME) for i, c in enumerate(g)) % PRIME
-        if all(value(p, z) == v * value(q, z) % PRIME for z, v in zip(at[d:], f[d:], strict=True)):
+        if all(_at(p, z) == v * _at(q, z) % PRIME for z, v in zip(at[d:], f[d:], strict=True)):
             g = _gcd(p[:], q[:])
             p, q = _divmod(p, g)[0], _divmod(q, g)[0]
             a, b = roots(p), roots(q)
