@@ -222,11 +222,17 @@ def p7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid.select("line_id", *[instant(F.col(f)).alias(f) if f.endswith("_ts") else f for f in landing.FIELDS])
 
 
+def p7_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with times as text in UTC, as any engine can compare them."""
+    records = p7_records(spark, sf_dir)
+    return records.select("line_id", *[utc_text(F.unix_micros(f)).alias(f) if f.endswith("_ts") else f for f in landing.FIELDS])
+
+
 def p7_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole records that stand in lines that aren't valid, each with what the rules say of it."""
     return landing.recovered(table(spark, sf_dir, "landing_lines"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p2_batches, p3_found, p3_rows, p4_found, p4_versions, p4_serving, p5_found, p5_rows, p5_batches, p6_found, p6_attributes, p7_found, p7_quarantine, p7_records, p7_recovered)
+    f.__name__: f for f in (p1_found, p2_found, p2_batches, p3_found, p3_rows, p4_found, p4_versions, p4_serving, p5_found, p5_rows, p5_batches, p6_found, p6_attributes, p7_found, p7_quarantine, p7_records, p7_values, p7_recovered)
 }

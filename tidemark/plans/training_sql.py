@@ -125,7 +125,7 @@ classified AS (SELECT *, CASE WHEN NOT whole OR event_id IS NULL THEN 'unparseab
  WHEN event_type = 'order_placed' AND currency <> 'EUR' THEN 'unknown_currency'
  WHEN quantity > 10000 OR (event_type = 'order_placed' AND unit_price_cents > 1000000) THEN 'amount_out_of_range' ELSE 'accepted' END AS reason_found FROM q)"""
 P7 = f"WITH {P7_LINES} SELECT line_id, reason_found AS quarantine_reason FROM classified WHERE reason_found <> 'accepted'"
-P7_RECORDS = f"""WITH {P7_LINES} SELECT line_id, {", ".join(f"{_ts(c)} AT TIME ZONE 'UTC' AS {c}" if c.endswith("_ts") else c for c in RECORD)} FROM classified WHERE reason_found = 'accepted'"""
+P7_VALUES = f"""WITH {P7_LINES} SELECT line_id, {", ".join(f"{_utc(_ts(c))} AS {c}" if c.endswith("_ts") else c for c in RECORD)} FROM classified WHERE reason_found = 'accepted'"""
 
 SQL = {
     "p1_found": P1,
@@ -142,5 +142,5 @@ SQL = {
     "p6_found": P6,
     "p6_attributes": P6_ATTRIBUTES,
     "p7_found": P7,
-    "p7_records": P7_RECORDS,
+    "p7_values": P7_VALUES,
 }
